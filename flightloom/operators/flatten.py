@@ -51,7 +51,9 @@ def flatten_flights(pages: DataFrame, ingestion_date: str | None = None) -> Data
     date, or the page's own insert date, but never today's, so that a rerun gives the same rows.
     """
     stamp = F.lit(ingestion_date) if ingestion_date else F.col("insert_date").cast("string")
-    flights = pages.select("insert_date", F.explode("page.data").alias("doc"))
+    # An inner explode would also filter on the array below the parse, and so parse every page again for the filter.
+    elements = pages.select("insert_date", F.posexplode_outer("page.data").alias("at", "doc"))
+    flights = elements.where(F.col("at").isNotNull())
     flat = []
     for name, path in PATHS.items():
         value = F.col(f"doc.{path}")

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions import category_agrees
+from ..functions import category_agrees, count_rows
 
 
 class CheckResult(NamedTuple):
@@ -24,7 +24,7 @@ def undated_flights(bronze: DataFrame) -> DataFrame:
 
 def duplicate_keys(rows: DataFrame, key: str = "flight_key") -> DataFrame:
     """Keys that occur more than once."""
-    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences")).where(F.col("occurrences") > 1)
+    return rows.groupBy(key).agg(count_rows().alias("occurrences")).where(F.col("occurrences") > 1)
 
 
 def category_mismatches(flights: DataFrame, strict: bool = False) -> DataFrame:
@@ -46,9 +46,9 @@ def check(
     if metadata_root:
         stored_at = f"{metadata_root.rstrip('/')}/{name}"
         seen = Observation()
-        counted = failing.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = failing.observe(seen, count_rows().alias("rows"))
         counted.write.mode("overwrite").parquet(stored_at)
-        failures = int(seen.get.get("rows", 0))
+        failures = seen.get["rows"]
     else:
         stored_at, failures = None, failing.count()
     status = "error" if failures > error_over else "warn" if failures > warn_over else "pass"

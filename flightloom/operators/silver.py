@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import row_hash, surrogate_key
+from ..functions import count_rows, row_hash, surrogate_key
 
 ROUTE = ("dep_iata", "arr_iata")
 FLIGHT = ("flight_iata_full", "flight_date")
@@ -94,7 +94,7 @@ def _roll_cut_groups(
     number = F.col(key).cast("double")
     sizes = (
         rows.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
+        .agg(count_rows().alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
         .where(F.col("_n") > max_group_rows)
         .select(*cell, "_lo", "_hi", F.ceil(F.col("_n") / max_group_rows).alias("_pieces"))
     )
@@ -148,7 +148,7 @@ def _frame_copies(rows: DataFrame) -> DataFrame:
     Copies are adjacent in any order, a frame spans seven rows, and dedup keeps only the first copy, so copies beyond the
     seventh can affect no result. They are counted on the map side: a group of copies never travels as a whole.
     """
-    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = rows.groupBy(*rows.columns).agg(count_rows().alias("_copies"))
     each = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(FRAME_ROWS)).cast("int")))
     return counted.select(*rows.columns, each.alias("_copy")).drop("_copy")
 
@@ -254,7 +254,7 @@ def incremental_window(
     """
     rows, order = _ordered(staged, order_by, ())
     since = fact.agg(F.date_sub(F.max("flight_date"), days)).first()[0]
-    # ``_stored_key`` spreads stored rows evenly over the key range; it is unique up to flight_key, which follows it.
+    # Stored rows of equal date are ordered by their key; its first fifteen hex digits are a number in the same order.
     key, others = order[0], order[1:]
     batch = rows.withColumns(
         {"_in_batch": F.lit(1), "_order_key": F.col(key).cast("bigint"), "_flight_key": surrogate_key(*map(F.col, FLIGHT))}
@@ -270,14 +270,14 @@ def incremental_window(
                 "flight_date",
                 "dep_delay_min",
                 F.col("flight_key").alias("_flight_key"),
-                F.xxhash64("flight_key").alias("_order_key"),
+                F.conv(F.substring("flight_key", 1, 15), 16, 10).cast("bigint").alias("_order_key"),
                 F.lit(0).alias("_in_batch"),
             )
         )
     together = batch.unionByName(history, allowMissingColumns=True)
     rolled = _roll(
         together,
-        ["_order_key", *others, "_flight_key"],
+        ["_order_key", "_flight_key", *others],
         (),
         ["flight_date", "_in_batch"],
         "dep_delay_min",

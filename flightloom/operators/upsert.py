@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import path_exists, shared_dir
 from ..sources.sinks import write_mart
 
 FACT_KEY = "flight_key"
 FACT_PARTITION = "flight_date"
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def touched_dates(batch: DataFrame) -> list:
     """The flight dates a stored batch touches. Reads partition values only; their number is bounded by the calendar."""
     return [r[0] for r in batch.select(FACT_PARTITION).distinct().collect()]
@@ -40,9 +30,9 @@ def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> int:
     if not incoming_rows:
         return 0
     incoming = spark.read.parquet(f"{staging}/batch")
-    fact = _stored(spark, fact_path)
     result = incoming
-    if fact is not None:
+    if path_exists(spark, fact_path):
+        fact = spark.read.parquet(fact_path)
         dates = touched_dates(incoming)
         survivors = fact.where(F.col(FACT_PARTITION).isin(dates)).join(
             incoming.select(FACT_KEY), FACT_KEY, "left_anti"

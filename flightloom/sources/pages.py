@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import count_rows
 from ..schemas import CORRUPT, PAGE
 
 
@@ -29,13 +30,12 @@ def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str
     With ``insert_dates`` only those directories are listed, so the cost of a daily run does not grow with the age of the
     lake. A directory that is missing or unreadable raises ``LandingError``.
     """
-    reader = spark.read.option("pathGlobFilter", "*.json")
     try:
         if insert_dates is None:
-            lines = reader.text(root)
+            lines = spark.read.text(root)
         else:
             dirs = [f"{root.rstrip('/')}/insert_date={day}" for day in insert_dates]
-            lines = reader.option("basePath", root).text(dirs)
+            lines = spark.read.option("basePath", root).text(dirs)
     except AnalysisException as e:
         raise LandingError(f"cannot read pages under {root}: {e}") from e
     insert_date = F.col("insert_date").cast("date") if "insert_date" in lines.columns else F.lit(None).cast("date")
@@ -45,7 +45,7 @@ def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str
 def landing_contract(pages: DataFrame) -> DataFrame:
     """One row of counts that decide whether the landed pages can be used."""
     return pages.agg(
-        F.count(F.lit(1)).alias("pages"),
+        count_rows().alias("pages"),
         F.count_if(F.col(f"page.{CORRUPT}").isNotNull()).alias("corrupt_pages"),
         F.count_if(F.col("page.error").isNotNull()).alias("error_pages"),
         F.count_if(F.col("page.data").isNotNull()).alias("data_pages"),
@@ -78,7 +78,7 @@ def landing_audit(pages: DataFrame, limit: int = 100, max_pages: int = 1) -> Dat
     return (
         pages.groupBy("insert_date")
         .agg(
-            F.count(F.lit(1)).alias("pages_landed"),
+            count_rows().alias("pages_landed"),
             F.sum(F.coalesce(F.array_size("page.data"), F.lit(0))).alias("flights"),
             total.alias("reported_total"),
             F.least(F.lit(max_pages), F.greatest(F.lit(1), needed)).cast("bigint").alias("expected_pages"),

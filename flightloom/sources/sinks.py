@@ -6,7 +6,8 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+
+from ..functions import count_rows
 
 logger = logging.getLogger(__name__)
 
@@ -22,21 +23,22 @@ def _write(
     replace_only_touched: bool = False,
     rebalance: bool = True,
 ) -> int:
-    seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = df
     if max_output_files:
         out = out.coalesce(max_output_files)
     elif partition_by and rebalance:
         # Groups each partition's rows into files of the advisory size: a date with few rows gets one file, a huge date is
         # split over many tasks.
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.mode("overwrite").option("compression", compression)
+    # Observed last: a count taken below a shuffle is lost when the shuffle turns out to be empty.
+    seen = Observation()
+    writer = out.observe(seen, count_rows().alias("rows")).write.mode("overwrite").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if replace_only_touched:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    return int(seen.get.get("rows", 0))
+    return seen.get["rows"]
 
 
 def write_bronze(

@@ -224,16 +224,16 @@ LOOKBACK = [
     (
         "together",
         """
-        SELECT dep_iata, arr_iata, flight_date, dep_delay_min, 0 AS in_batch, NULL AS event_id
+        SELECT dep_iata, arr_iata, flight_date, dep_delay_min, 0 AS in_batch, flight_key, NULL AS event_id
         FROM stored WHERE flight_date >= (SELECT max(flight_date) - 7 FROM stored)
         UNION ALL BY NAME
-        SELECT *, 1 AS in_batch FROM flights WHERE flight_date >= DATE '2024-01-20'
+        SELECT *, 1 AS in_batch, NULL AS flight_key FROM flights WHERE flight_date >= DATE '2024-01-20'
         """,
     ),
 ]
 
 ROUTE_LINES = """
-SELECT o_orderkey, concat_ws(',', o_orderkey % 10, o_orderkey % 100, 'C1', o_custkey, 'C2', o_orderkey, '', o_orderkey % 3)
+SELECT o_orderkey, o_custkey, concat_ws(',', o_orderkey % 10, o_orderkey % 100, 'C1', o_custkey, 'C2', o_orderkey, '', o_orderkey % 3)
          || CASE WHEN o_orderkey % 37 = 0 THEN '' WHEN o_orderkey % 41 = 0 THEN ',738,extra' ELSE ',738' END AS line
 FROM orders
 """
@@ -271,8 +271,7 @@ ORACLE: dict[str, str] = {
     "k_time_of_day": _question(
         TO_FACT,
         """SELECT time_of_day, round(avg(dep_delay_min), 2) AS avg_delay_min FROM fact
-           WHERE dep_delay_min IS NOT NULL GROUP BY ALL
-           ORDER BY list_position(['Morning', 'Afternoon', 'Evening', 'Night'], time_of_day)""",
+           WHERE dep_delay_min IS NOT NULL GROUP BY time_of_day""",
     ),
     "k_top_routes": _question(
         TO_ROUTE_DAILY,
@@ -433,7 +432,7 @@ ORACLE: dict[str, str] = {
             FROM (SELECT *, row_number() OVER (PARTITION BY flight_iata_full, flight_date
                                                ORDER BY ingestion_date DESC, event_id) AS place
                   FROM (SELECT *, avg(dep_delay_min) OVER (PARTITION BY dep_iata, arr_iata
-                                                           ORDER BY flight_date, in_batch, event_id ROWS 6 PRECEDING)
+                                                           ORDER BY flight_date, in_batch, flight_key, event_id ROWS 6 PRECEDING)
                                     AS avg_delay_7d
                         FROM together)
                   WHERE in_batch = 1)
