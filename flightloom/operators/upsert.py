@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +14,14 @@ FACT_KEY = "flight_key"
 FACT_PARTITION = "flight_date"
 
 
-def touched_dates(batch: DataFrame) -> list:
+def touched_dates(batch: DataFrame) -> list[date]:
     """The flight dates a stored batch touches. Reads partition values only; their number is bounded by the calendar."""
     return [r[0] for r in batch.select(FACT_PARTITION).distinct().collect()]
 
 
-def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> int:
-    """Replace the fact's rows that share a key with ``batch``, insert the rest, and return the batch's row count.
+def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> tuple[int, list[date]]:
+    """Replace the fact's rows that share a key with ``batch`` and insert the rest. Returns the batch's row count and the
+    flight dates it touched.
 
     The key contains the flight date, so a key never changes partition and only the touched dates are rewritten. The batch
     and the surviving old rows are first written under the shared folder, and the touched dates are then rebuilt from those
@@ -28,16 +31,16 @@ def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> int:
     staging = shared_dir(spark, "upsert")
     incoming_rows = write_mart(batch, f"{staging}/batch", [FACT_PARTITION])
     if not incoming_rows:
-        return 0
+        return 0, []
     incoming = spark.read.parquet(f"{staging}/batch")
+    touched = touched_dates(incoming)
     result = incoming
     if path_exists(spark, fact_path):
         fact = spark.read.parquet(fact_path)
-        dates = touched_dates(incoming)
-        survivors = fact.where(F.col(FACT_PARTITION).isin(dates)).join(
+        survivors = fact.where(F.col(FACT_PARTITION).isin(touched)).join(
             incoming.select(FACT_KEY), FACT_KEY, "left_anti"
         )
         if write_mart(survivors, f"{staging}/survivors", [FACT_PARTITION]):
             result = incoming.unionByName(spark.read.parquet(f"{staging}/survivors"))
     write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
-    return incoming_rows
+    return incoming_rows, touched

@@ -8,7 +8,7 @@ from .sinks import (
     write_mart,
     write_reference,
 )
-from .tables import read_bronze, read_fact, scan_insert_date
+from .tables import read_bronze, read_fact, scan_insert_date, scan_insert_dates
 
 __all__ = [
     "LandingError",
@@ -23,6 +23,7 @@ __all__ = [
     "rejected",
     "require_landed",
     "scan_insert_date",
+    "scan_insert_dates",
     "store_failures",
     "write_bronze",
     "write_mart",

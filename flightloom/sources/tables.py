@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +13,18 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def scan_insert_date(spark: SparkSession, root: str, insert_date: str) -> DataFrame:
-    """One insert date of a bronze table. Only that directory is listed, however many dates the table holds."""
-    day = f"{root.rstrip('/')}/insert_date={insert_date}"
-    rows = spark.read.option("basePath", root).parquet(day)
+def scan_insert_dates(spark: SparkSession, root: str, insert_dates: Sequence[str]) -> DataFrame:
+    """Some insert dates of a bronze table. Only their directories are listed, however many dates the table holds."""
+    days = [f"{root.rstrip('/')}/insert_date={day}" for day in insert_dates]
+    rows = spark.read.option("basePath", root).parquet(*days)
     return rows.withColumn("insert_date", F.col("insert_date").cast("date"))
 
 
+def scan_insert_date(spark: SparkSession, root: str, insert_date: str) -> DataFrame:
+    """One insert date of a bronze table."""
+    return scan_insert_dates(spark, root, [insert_date])
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """The stored fact (or mart). Filters on ``flight_date`` prune its partitions."""
     return spark.read.parquet(path)

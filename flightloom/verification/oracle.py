@@ -199,6 +199,29 @@ SELECT CAST(event_id AS VARCHAR) AS flight_icao_full, flight_date, flight_status
 FROM paged WHERE NOT is_error AND NOT is_cut AND try_cast(date_text AS DATE) IS NOT NULL
 """
 
+# The landed flights as the daily run stores them: batches by landing date, ties in the order of the identifier's text.
+TO_RUN_FACT = [
+    *TO_PAGED,
+    ("landed", LANDED_STAGED),
+    (
+        "rolled",
+        """
+        SELECT *, avg(dep_delay_min) OVER (PARTITION BY ingestion_date, dep_iata, arr_iata
+                                           ORDER BY flight_date, flight_icao_full ROWS 6 PRECEDING) AS avg_delay_7d
+        FROM landed
+        """,
+    ),
+    (
+        "ranked",
+        """
+        SELECT *, row_number() OVER (PARTITION BY flight_iata_full, flight_date
+                                     ORDER BY ingestion_date DESC, flight_icao_full) AS place
+        FROM rolled
+        """,
+    ),
+    ("fact", FACT.format(stamp="ingestion_date")),
+]
+
 UNDATED = """
 SELECT CAST(event_id AS VARCHAR) AS flight_icao_full, date_text AS flight_date
 FROM paged WHERE NOT is_error AND NOT is_cut AND try_cast(date_text AS DATE) IS NULL
@@ -438,6 +461,8 @@ ORACLE: dict[str, str] = {
                   WHERE in_batch = 1)
             WHERE place = 1""",
     ),
+    "daily_run_fact": _with(TO_RUN_FACT, "SELECT * FROM fact"),
+    "daily_run_route_daily": _with([*TO_RUN_FACT, ("route_daily", ROUTE_DAILY)], "SELECT * FROM route_daily"),
     # checks
     "check_undated": _with(TO_PAGED, UNDATED),
     "check_unique_key": _with(TO_FACT, "SELECT flight_key, count(*) AS occurrences FROM fact GROUP BY 1 HAVING count(*) > 1"),
@@ -461,5 +486,4 @@ ORACLE: dict[str, str] = {
 ORACLE["rolling_route_delay_cut"] = ORACLE["rolling_route_delay"]
 ORACLE["fct_flights_cut"] = ORACLE["fct_flights"]
 ORACLE["backfill"] = ORACLE["upsert_fact"]
-ORACLE["daily_run"] = ORACLE["route_daily"]
 ORACLE["stored_failures"] = ORACLE["check_category"]

@@ -11,6 +11,7 @@ from .. import operators as ops
 from ..functions import surrogate_key
 from ..operators.silver import FLIGHT
 from ..plans import marts, serving
+from ..plans.daily import Layout, run_batches
 from ..schemas import REFERENCE_DATASETS
 from ..session import configure, shared_dir
 from ..sources import (
@@ -167,6 +168,24 @@ def backfill(spark, sf_dir):
     return read_fact(spark, path)
 
 
+def _loaded(spark, sf_dir) -> Layout:
+    """All landed dates, loaded in two runs."""
+    layout = Layout.under(shared_dir(spark, "lake"))
+    derived.land_pages(spark, sf_dir, layout.raw)
+    days = [f"2024-02-0{n}" for n in range(1, 8)]
+    for dates in (days[:4], days[4:]):
+        run_batches(spark, layout, dates, tie_break=("flight_icao_full",))
+    return layout
+
+
+def daily_run_fact(spark, sf_dir):
+    return read_fact(spark, _loaded(spark, sf_dir).fact)
+
+
+def daily_run_route_daily(spark, sf_dir):
+    return read_fact(spark, f"{_loaded(spark, sf_dir).marts}/route_daily")
+
+
 def incremental_window(spark, sf_dir):
     flights = derived.flights(spark, sf_dir)
     from_day = F.lit("2024-01-20").cast("date")
@@ -216,6 +235,8 @@ QUERIES: dict[str, Query] = {
     "upsert_fact": upsert_fact,
     "backfill": backfill,
     "incremental_window": incremental_window,
+    "daily_run_fact": daily_run_fact,
+    "daily_run_route_daily": daily_run_route_daily,
     "check_undated": check_undated,
     "check_unique_key": lambda spark, sf_dir: ops.duplicate_keys(_fact(spark, sf_dir, rolling=False)),
     "duplicate_keys": _duplicates,
