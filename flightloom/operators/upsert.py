@@ -15,7 +15,7 @@ FACT_PARTITION = "flight_date"
 
 
 def touched_dates(batch: DataFrame) -> list[date]:
-    """The flight dates a stored batch touches. Reads partition values only; their number is bounded by the calendar."""
+    """The flight dates a stored batch touches. Their number is bounded by the calendar."""
     return [r[0] for r in batch.select(FACT_PARTITION).distinct().collect()]
 
 
@@ -28,8 +28,9 @@ def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> tuple[
     copies alone. So nothing is read from the partitions being replaced, the batch is computed once, and every step can be
     repeated if it is interrupted.
     """
+    # The copies are not partitioned, so writing them moves no rows; only the final write groups rows by date.
     staging = shared_dir(spark, "upsert")
-    incoming_rows = write_mart(batch, f"{staging}/batch", [FACT_PARTITION])
+    incoming_rows = write_mart(batch, f"{staging}/batch")
     if not incoming_rows:
         return 0, []
     incoming = spark.read.parquet(f"{staging}/batch")
@@ -40,7 +41,7 @@ def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> tuple[
         survivors = fact.where(F.col(FACT_PARTITION).isin(touched)).join(
             incoming.select(FACT_KEY), FACT_KEY, "left_anti"
         )
-        if write_mart(survivors, f"{staging}/survivors", [FACT_PARTITION]):
+        if write_mart(survivors, f"{staging}/survivors"):
             result = incoming.unionByName(spark.read.parquet(f"{staging}/survivors"))
     write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
     return incoming_rows, touched

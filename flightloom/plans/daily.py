@@ -71,17 +71,22 @@ def _graded(result: CheckResult, stop_on_error: bool) -> CheckResult:
 
 
 def rebuild_marts(spark: SparkSession, layout: Layout, touched: Sequence | None = None) -> None:
-    """Rebuild the marts from the stored fact.
+    """Bring the marts up to date with the stored fact.
 
-    ``route_daily`` has the flight date in its key, so only the touched dates are recomputed and replaced. The other two
-    aggregate over all dates; each reads a handful of narrow columns and ends in at most a few hundred or thousand rows.
+    Every measure belongs to one flight date, so only the touched dates of the fact are read: ``route_daily`` and the hourly
+    sums are replaced for those dates, and the heatmap and the weeks are added up from the stored sums.
     """
     fact = read_fact(spark, layout.fact)
-    fresh = touched is None or not path_exists(spark, f"{layout.marts}/route_daily")
-    changed = fact if fresh else fact.where(F.col("flight_date").isin(list(touched)))
-    write_mart(marts.route_daily(changed), f"{layout.marts}/route_daily", ["flight_date"], only_touched=not fresh)
-    write_mart(marts.delay_heatmap(fact), f"{layout.marts}/delay_heatmap")
-    write_mart(marts.weekly_comparison(fact), f"{layout.marts}/weekly_comparison")
+    routes, hours = f"{layout.marts}/route_daily", f"{layout.marts}/day_hours"
+    everything = touched is None or not path_exists(spark, hours)
+    changed = fact if everything else fact.where(F.col("flight_date").isin(list(touched)))
+    write_mart(marts.route_daily(changed), routes, ["flight_date"], only_touched=not everything)
+    write_mart(marts.day_hours(changed), hours, ["flight_date"], only_touched=not everything)
+
+    stored_hours = read_fact(spark, hours)
+    write_mart(marts.heatmap_of_day_hours(stored_hours), f"{layout.marts}/delay_heatmap")
+    weeks = marts.weeks_of_day_hours(stored_hours)
+    write_mart(marts.compare_weeks(weeks), f"{layout.marts}/weekly_comparison")
 
 
 def run_batches(

@@ -12,6 +12,8 @@ from ..functions import (
     ON_TIME_CATEGORIES,
     count_rows,
     count_where,
+    day_number,
+    day_title,
     mean,
     rate_pct,
     rounded,
@@ -66,41 +68,73 @@ def route_daily(fact: DataFrame) -> DataFrame:
     )
 
 
-def delay_heatmap(fact: DataFrame) -> DataFrame:
-    """Delay per weekday and departure hour, for flights whose hour is known."""
-    late = F.col("is_delayed_15")
+def day_hours(fact: DataFrame) -> DataFrame:
+    """Summable measures per date and departure hour: at most 25 rows a date.
+
+    Both marts below add these up, so a stored copy lets them follow the fact by recomputing only the dates that changed.
+    """
+    dep, arr, category = F.col("dep_delay_min"), F.col("arr_delay_min"), F.col("delay_category")
+    return fact.groupBy("flight_date", "dep_hour").agg(
+        count_rows().alias("flights"),
+        F.sum(dep).alias("dep_delay"),
+        F.count(dep).alias("dep_known"),
+        F.sum(arr).alias("arr_delay"),
+        F.count(arr).alias("arr_known"),
+        count_where(F.col("is_delayed_15")).alias("late"),
+        count_where(category.isin(*ON_TIME_CATEGORIES)).alias("ontime"),
+        count_where(category == "severe_delay").alias("severe"),
+    )
+
+
+def _mean_of(total: str, known: str) -> Column:
+    return rounded(F.try_divide(F.sum(total).cast("double"), F.sum(known)), 2)
+
+
+def _share_of(part: str) -> Column:
+    return rounded(F.sum(part).cast("double") * 100.0 / F.sum("flights"), 2)
+
+
+def heatmap_of_day_hours(hours: DataFrame) -> DataFrame:
+    date = F.col("flight_date")
     return (
-        fact.where(F.col("dep_hour").isNotNull())
-        .groupBy("day_of_week", "day_of_week_name", "dep_hour")
+        hours.where(F.col("dep_hour").isNotNull())
+        .groupBy(day_number(date).alias("day_of_week"), day_title(date).alias("day_of_week_name"), "dep_hour")
         .agg(
-            count_rows().alias("total_flights"),
-            mean(F.col("dep_delay_min"), 2).alias("avg_delay_min"),
-            mean(F.col("arr_delay_min"), 2).alias("avg_arr_delay_min"),
-            count_where(late).alias("delayed_flights"),
-            rounded(rate_pct(late), 2).alias("delayed_pct"),
+            F.sum("flights").alias("total_flights"),
+            _mean_of("dep_delay", "dep_known").alias("avg_delay_min"),
+            _mean_of("arr_delay", "arr_known").alias("avg_arr_delay_min"),
+            F.sum("late").alias("delayed_flights"),
+            _share_of("late").alias("delayed_pct"),
         )
     )
 
 
+def weeks_of_day_hours(hours: DataFrame) -> DataFrame:
+    return hours.groupBy(week_start(F.col("flight_date")).alias("week_start")).agg(
+        F.sum("flights").alias("total_flights"),
+        _mean_of("dep_delay", "dep_known").alias("avg_delay_min"),
+        _mean_of("arr_delay", "arr_known").alias("avg_arr_delay_min"),
+        F.sum("ontime").alias("ontime_flights"),
+        F.sum("severe").alias("severe_delay_flights"),
+        _share_of("ontime").alias("ontime_pct"),
+        _share_of("severe").alias("severe_pct"),
+    )
+
+
+def delay_heatmap(fact: DataFrame) -> DataFrame:
+    """Delay per weekday and departure hour, for flights whose hour is known."""
+    return heatmap_of_day_hours(day_hours(fact))
+
+
 def weekly_metrics(fact: DataFrame) -> DataFrame:
     """Volume, delay and punctuality per week."""
-    on_time = F.col("delay_category").isin(*ON_TIME_CATEGORIES)
-    severe = F.col("delay_category") == "severe_delay"
-    return fact.groupBy(week_start(F.col("flight_date")).alias("week_start")).agg(
-        count_rows().alias("total_flights"),
-        mean(F.col("dep_delay_min"), 2).alias("avg_delay_min"),
-        mean(F.col("arr_delay_min"), 2).alias("avg_arr_delay_min"),
-        count_where(on_time).alias("ontime_flights"),
-        count_where(severe).alias("severe_delay_flights"),
-        rounded(rate_pct(on_time), 2).alias("ontime_pct"),
-        rounded(rate_pct(severe), 2).alias("severe_pct"),
-    )
+    return weeks_of_day_hours(day_hours(fact))
 
 
-def weekly_comparison(fact: DataFrame) -> DataFrame:
+def compare_weeks(weeks: DataFrame) -> DataFrame:
     """Each week beside the one before it. The first week's changes are its own values.
 
-    The window has no partition key, but it runs after the aggregation: one row per week of data.
+    The window has no partition key, but it runs on aggregated rows: one per week of data.
     """
     previous = Window.orderBy(F.col("week_start").asc_nulls_last())
     compared = {
@@ -109,10 +143,13 @@ def weekly_comparison(fact: DataFrame) -> DataFrame:
         "ontime_pct": ("prev_week_ontime_pct", "ontime_pct_change", 2),
         "severe_pct": ("prev_week_severe_pct", "severe_pct_change", 2),
     }
-    weeks = weekly_metrics(fact).drop("ontime_flights", "severe_delay_flights")
     before = {prev: F.lag(name).over(previous) for name, (prev, _, _) in compared.items()}
     changes = {}
     for name, (prev, change, digits) in compared.items():
         difference = F.col(name) - F.coalesce(F.col(prev), F.lit(0))
         changes[change] = rounded(difference, digits) if digits else difference
-    return weeks.withColumns(before).withColumns(changes)
+    return weeks.drop("ontime_flights", "severe_delay_flights").withColumns(before).withColumns(changes)
+
+
+def weekly_comparison(fact: DataFrame) -> DataFrame:
+    return compare_weeks(weekly_metrics(fact))

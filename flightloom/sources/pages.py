@@ -21,7 +21,7 @@ def parse_pages(lines: DataFrame) -> DataFrame:
     corrupt-record field, whichever columns a later step asks for."""
     page = F.from_json("value", PAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     others = [c for c in lines.columns if c != "value"]
-    return lines.where(F.length(F.trim("value")) > 0).select(*others, page.alias("page"))
+    return lines.select(*others, page.alias("page"))
 
 
 def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str] | None = None) -> DataFrame:
@@ -39,7 +39,8 @@ def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str
     except AnalysisException as e:
         raise LandingError(f"cannot read pages under {root}: {e}") from e
     insert_date = F.col("insert_date").cast("date") if "insert_date" in lines.columns else F.lit(None).cast("date")
-    return parse_pages(lines.select(insert_date.alias("insert_date"), "value"))
+    filled = lines.where(F.length(F.trim("value")) > 0)
+    return parse_pages(filled.select(insert_date.alias("insert_date"), "value"))
 
 
 def landing_contract(pages: DataFrame) -> DataFrame:

@@ -6,8 +6,6 @@ query's work grows with the tables. ``oracle`` states the same rules in SQL.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,54 +16,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
 def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
-def _truncated(unit: str) -> Column:
-    return F.date_trunc(unit, "ts").cast("timestamp_ntz")
-
-
-STATUS = {"view": "scheduled", "click": "landed", "purchase": "active", "signup": "cancelled"}
+# Flight column → rule over an event, in dependency-free SQL expressions.
+_BLOCK = "60 + user_id % 240"
+_DEPARTS = "CASE WHEN event_id % 53 != 0 THEN CAST(date_trunc('minute', ts) AS timestamp_ntz) END"
+_SECOND = "CAST(date_trunc('second', ts) AS timestamp_ntz)"
+_DELAY = "CASE WHEN event_id % 11 != 0 THEN CAST(floor(value) % 90 - 25 AS int) END"
+_AIRLINE = "CASE WHEN event_id % 97 != 0 THEN upper(substring(event_type, 1, 2)) END"
+_NUMBER = "CAST(100 + user_id % 40 AS string)"
+_STATUS = """CASE event_type WHEN 'view' THEN 'scheduled' WHEN 'click' THEN 'landed' WHEN 'purchase' THEN 'active'
+             WHEN 'signup' THEN 'cancelled' ELSE 'diverted' END"""
+FLIGHT_RULES = {
+    "event_id": "event_id",
+    "flight_date": "CAST(ts AS date)",
+    "flight_status": _STATUS,
+    "dep_airport": "concat('Airport A', user_id % 6)",
+    "dep_iata": "concat('A', user_id % 6)",
+    "dep_scheduled": _DEPARTS,
+    "dep_actual": f"CASE WHEN event_id % 53 != 0 THEN timestampadd(MINUTE, {_DELAY}, {_SECOND}) END",
+    "arr_airport": "concat('Airport B', user_id % 4)",
+    "arr_iata": "concat('B', user_id % 4)",
+    "arr_scheduled": f"timestampadd(MINUTE, {_BLOCK}, {_DEPARTS})",
+    "arr_actual": f"""CASE WHEN event_id % 13 != 0
+                      THEN timestampadd(SECOND, 3600 + 60 * (user_id % 240) + event_id % 60, {_SECOND}) END""",
+    "airline_iata": _AIRLINE,
+    "flight_number": _NUMBER,
+    "flight_iata_full": f"{_AIRLINE} || {_NUMBER}",
+    "dep_delay_min": _DELAY,
+    "arr_delay_min": "CASE WHEN event_id % 13 != 0 THEN CAST(event_id % 31 - 10 AS int) END",
+    "dep_scheduled_ts": _DEPARTS,
+    "arr_scheduled_ts": f"timestampadd(MINUTE, {_BLOCK}, {_DEPARTS})",
+    "ingestion_date": "date_add(CAST(ts AS date), CAST(event_id % 3 AS int))",
+}
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One typed flight per event, with ``event_id`` as tie-break."""
-    event_id, user_id, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    block = 60 + user_id % 240
-    departs = _unless(_every(53), _truncated("minute"))
-    delay = _unless(_every(11), (F.floor("value") % 90 - 25).cast("int"))
-    status = reduce(lambda other, s: F.when(kind == s[0], s[1]).otherwise(other), STATUS.items(), F.lit("diverted"))
-    flown_seconds = 3600 + 60 * (user_id % 240) + event_id % 60
-    airline = _unless(_every(97), F.upper(F.substring(kind, 1, 2)))
-    number = (100 + user_id % 40).cast("string")
-    dep, arr = F.concat(F.lit("A"), user_id % 6), F.concat(F.lit("B"), user_id % 4)
-    date = F.col("ts").cast("date")
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        date.alias("flight_date"),
-        status.alias("flight_status"),
-        F.concat(F.lit("Airport "), dep).alias("dep_airport"),
-        dep.alias("dep_iata"),
-        departs.alias("dep_scheduled"),
-        _unless(_every(53), F.timestamp_add("MINUTE", delay, _truncated("second"))).alias("dep_actual"),
-        F.concat(F.lit("Airport "), arr).alias("arr_airport"),
-        arr.alias("arr_iata"),
-        F.timestamp_add("MINUTE", block, departs).alias("arr_scheduled"),
-        _unless(_every(13), F.timestamp_add("SECOND", flown_seconds, _truncated("second"))).alias("arr_actual"),
-        airline.alias("airline_iata"),
-        number.alias("flight_number"),
-        F.concat(airline, number).alias("flight_iata_full"),
-        delay.alias("dep_delay_min"),
-        _unless(_every(13), (event_id % 31 - 10).cast("int")).alias("arr_delay_min"),
-        departs.alias("dep_scheduled_ts"),
-        F.timestamp_add("MINUTE", block, departs).alias("arr_scheduled_ts"),
-        F.date_add(date, (event_id % 3).cast("int")).alias("ingestion_date"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*[f"{rule} AS {name}" for name, rule in FLIGHT_RULES.items()])
 
 
 def batched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +126,14 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1500 + 100 * (page_no % 7)).alias("total"),
     )
     whole = F.to_json(F.struct(F.when(page_no % 29 != 7, pagination).alias("pagination"), "data"))
+    cut = F.substring("whole", F.lit(1), F.floor(F.length("whole") / 2).cast("int"))
     value = (
         F.when(page_no % 19 == 3, F.lit('{"error": {"code": "rate_limit_reached", "message": "try later"}}'))
-        .when(page_no % 23 == 5, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
-        .otherwise(whole)
+        .when(page_no % 23 == 5, cut)
+        .otherwise(F.col("whole"))
     )
     insert_date = F.date_add(F.lit("2024-02-01").cast("date"), (page_no % 7).cast("int"))
-    return pages.select(insert_date.alias("insert_date"), value.alias("value"))
+    return pages.select("page_no", whole.alias("whole")).select(insert_date.alias("insert_date"), value.alias("value"))
 
 
 def land_pages(spark: SparkSession, sf_dir: str, root: str) -> str:
