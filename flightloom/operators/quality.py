@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import category_agrees, count_rows
+from ..sources.sinks import store_failures
 
 
 class CheckResult(NamedTuple):
@@ -39,17 +40,13 @@ def check(
     warn_over: int = 0,
     error_over: int = 0,
 ) -> CheckResult:
-    """Count failing rows once and grade them: ``error`` above ``error_over``, else ``warn`` above ``warn_over``.
+    """Count failing rows and grade them: ``error`` above ``error_over``, else ``warn`` above ``warn_over``.
 
-    With ``metadata_root`` the failing rows are stored there, and counted by the pass that stores them.
+    The count reads only the columns the check looks at. With ``metadata_root`` the failing rows are stored there whole; only
+    if there are any does that read the rest, and if there are none it replaces what an earlier run left.
     """
+    failures, stored_at = failing.count(), None
     if metadata_root:
-        stored_at = f"{metadata_root.rstrip('/')}/{name}"
-        seen = Observation()
-        counted = failing.observe(seen, count_rows().alias("rows"))
-        counted.write.mode("overwrite").parquet(stored_at)
-        failures = seen.get["rows"]
-    else:
-        stored_at, failures = None, failing.count()
+        stored_at = store_failures(failing if failures else failing.limit(0), metadata_root, name)
     status = "error" if failures > error_over else "warn" if failures > warn_over else "pass"
     return CheckResult(name, status, failures, stored_at)

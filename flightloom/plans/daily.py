@@ -28,6 +28,7 @@ from ..operators import (
 )
 from ..session import path_exists
 from ..sources import (
+    observe_landed,
     read_fact,
     read_flight_pages,
     require_landed,
@@ -102,11 +103,12 @@ def run_batches(
     a failing check raises before the next layer is written; otherwise results are only reported.
     """
     pages = read_flight_pages(spark, layout.raw, insert_dates)
-    landed = require_landed(pages)
+    counted, landed = observe_landed(pages)
     # One date needs no shuffle to keep its files together.
-    bronze_rows = write_bronze(flatten_flights(pages), layout.bronze, rebalance=len(insert_dates) > 1)
+    bronze_rows = write_bronze(flatten_flights(counted), layout.bronze, rebalance=len(insert_dates) > 1)
     if not bronze_rows:
-        return RunReport(landed, 0, 0, [])
+        # Nothing was written or replaced. Either there were no flights that day, or the input is unusable: this raises.
+        return RunReport(require_landed(pages), 0, 0, [])
 
     bronze = scan_insert_dates(spark, layout.bronze, insert_dates)
     undated = check(undated_flights(bronze), "flight_date_not_null", layout.metadata)
@@ -123,7 +125,20 @@ def run_batches(
     checks.append(_graded(check(duplicate_keys(written), "unique_flight_key", layout.metadata), stop_on_error))
 
     rebuild_marts(spark, layout, touched)
-    return RunReport(landed, bronze_rows, fact_rows, checks)
+    return RunReport(landed.get, bronze_rows, fact_rows, checks)
+
+
+def register_tables(spark: SparkSession, layout: Layout) -> None:
+    """Make the stored tables known by the names SQL users query them under."""
+    # Table names.
+    tables = {
+        "fct_flights": layout.fact,
+        "fct_route_daily": f"{layout.marts}/route_daily",
+        "delay_heatmap": f"{layout.marts}/delay_heatmap",
+        "weekly_comparison": f"{layout.marts}/weekly_comparison",
+    }
+    for name, path in tables.items():
+        read_fact(spark, path).createOrReplaceTempView(name)
 
 
 def ask(spark: SparkSession, layout: Layout, question: str) -> DataFrame:

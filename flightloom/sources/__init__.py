@@ -1,7 +1,7 @@
 """Readers and writers."""
 
-from .pages import LandingError, landing_audit, landing_contract, read_flight_pages, require_landed
-from .reference import accepted, read_reference, read_reference_csv, rejected
+from .pages import LandingError, landing_audit, landing_contract, observe_landed, read_flight_pages, require_landed
+from .reference import accepted, name_columns, read_reference, read_reference_csv, rejected
 from .sinks import (
     store_failures,
     write_bronze,
@@ -15,6 +15,8 @@ __all__ = [
     "accepted",
     "landing_audit",
     "landing_contract",
+    "name_columns",
+    "observe_landed",
     "read_bronze",
     "read_fact",
     "read_flight_pages",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import count_rows
@@ -43,14 +43,24 @@ def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str
     return parse_pages(filled.select(insert_date.alias("insert_date"), "value"))
 
 
-def landing_contract(pages: DataFrame) -> DataFrame:
-    """One row of counts that decide whether the landed pages can be used."""
-    return pages.agg(
+def _contract_counts() -> list[Column]:
+    return [
         count_rows().alias("pages"),
         F.count_if(F.col(f"page.{CORRUPT}").isNotNull()).alias("corrupt_pages"),
         F.count_if(F.col("page.error").isNotNull()).alias("error_pages"),
         F.count_if(F.col("page.data").isNotNull()).alias("data_pages"),
-    )
+    ]
+
+
+def landing_contract(pages: DataFrame) -> DataFrame:
+    """One row of counts that decide whether the landed pages can be used."""
+    return pages.agg(*_contract_counts())
+
+
+def observe_landed(pages: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same counts, taken by whatever pass reads ``pages`` next."""
+    seen = Observation()
+    return pages.observe(seen, *_contract_counts()), seen
 
 
 def require_landed(pages: DataFrame, strict: bool = False) -> dict[str, int]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,14 @@ def rejected(lines: DataFrame) -> DataFrame:
     return lines.where(F.col(CORRUPT).isNotNull()).select(F.col(first).alias("first_cell"), F.col(CORRUPT).alias("line"))
 
 
+def name_columns(
+    frames: Mapping[str, DataFrame], datasets: Mapping[str, Dataset] = REFERENCE_DATASETS
+) -> dict[str, DataFrame]:
+    """Name the columns of frames read elsewhere by position. A wrong number of columns raises; an unknown dataset is left
+    as it is."""
+    return {n: df.toDF(*datasets[n].columns) if n in datasets else df for n, df in frames.items()}
+
+
 def read_reference(
     spark: SparkSession, raw_dir: str, datasets: dict[str, Dataset] = REFERENCE_DATASETS
 ) -> dict[str, DataFrame]:

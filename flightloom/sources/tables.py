@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet directory. Partition columns in the path become columns."""
@@ -14,9 +16,13 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_insert_dates(spark: SparkSession, root: str, insert_dates: Sequence[str]) -> DataFrame:
-    """Some insert dates of a bronze table. Only their directories are listed, however many dates the table holds."""
+    """Some insert dates of a bronze table. Only their directories are listed, however many dates the table holds.
+
+    A date without flights has no directory and gives no rows; a table with none of the dates raises.
+    """
     days = [f"{root.rstrip('/')}/insert_date={day}" for day in insert_dates]
-    rows = spark.read.option("basePath", root).parquet(*days)
+    written = [day for day in days if path_exists(spark, day)]
+    rows = spark.read.option("basePath", root).parquet(*(written or days))
     return rows.withColumn("insert_date", F.col("insert_date").cast("date"))
 
 

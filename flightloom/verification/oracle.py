@@ -238,6 +238,12 @@ CATEGORY_RULES = """CASE WHEN dep_delay_min IS NULL THEN 'unknown' WHEN dep_dela
        WHEN dep_delay_min > 15 THEN 'moderate_delay' WHEN dep_delay_min > 0 THEN 'minor_delay'
        WHEN dep_delay_min > -15 THEN 'ontime' ELSE 'early' END"""
 
+MISMATCHED = f"""
+SELECT * FROM recategorised WHERE delay_category <> ({CATEGORY_RULES})
+   AND NOT (dep_delay_min IS NULL AND delay_category IN ('severe_delay', 'moderate_delay', 'minor_delay', 'ontime', 'early'))
+"""
+REPEATED = "SELECT flight_key, count(*) AS occurrences FROM fact GROUP BY 1 HAVING count(*) > 1"
+
 # A new batch (flights from 20 January on) whose frames reach back a week into the stored fact (the flights before).
 LOOKBACK = [
     *TO_FLIGHTS,
@@ -394,6 +400,16 @@ ORACLE: dict[str, str] = {
            FROM generate_series(TIMESTAMP '2024-01-25', TIMESTAMP '2024-02-15', INTERVAL 1 DAY) AS calendar(day)
            WHERE CAST(day AS DATE) NOT IN (SELECT insert_date FROM pages_landed)""",
     ),
+    "scan_insert_date": _with(
+        TO_PAGED,
+        """SELECT CAST(event_id AS VARCHAR) AS flight_icao_full, date_text AS flight_date, dep_iata, arr_iata,
+                  landed_delay AS dep_delay_min, landed_on AS insert_date
+           FROM paged WHERE NOT is_error AND NOT is_cut AND landed_on = DATE '2024-02-05'""",
+    ),
+    "reference_rows_written": """
+        SELECT 'airports' AS dataset, count(*) AS rows FROM customer UNION ALL SELECT 'airlines', count(*) FROM supplier
+        UNION ALL SELECT 'routes', count(*) FROM orders UNION ALL SELECT 'planes', count(*) FROM part
+        UNION ALL SELECT 'countries', count(*) FROM nation""",
     "flight_rejects": _with(
         [*TO_PAGED, ("undated", UNDATED)],
         """SELECT *, CASE WHEN flight_date IS NULL THEN 'missing flight_date' ELSE 'bad flight_date' END AS reject_reason
@@ -465,18 +481,32 @@ ORACLE: dict[str, str] = {
     "daily_run_route_daily": _with([*TO_RUN_FACT, ("route_daily", ROUTE_DAILY)], "SELECT * FROM route_daily"),
     # checks
     "check_undated": _with(TO_PAGED, UNDATED),
-    "check_unique_key": _with(TO_FACT, "SELECT flight_key, count(*) AS occurrences FROM fact GROUP BY 1 HAVING count(*) > 1"),
+    "check_unique_key": _with(TO_FACT, REPEATED),
     "duplicate_keys": _with(
         TO_FLIGHTS,
         """SELECT md5(coalesce(flight_iata_full, '_dbt_utils_surrogate_key_null_') || '-'
                   || CAST(flight_date AS VARCHAR)) AS flight_key, count(*) AS occurrences
            FROM flights GROUP BY 1 HAVING count(*) > 1""",
     ),
-    "check_category": _with(
-        TO_RECATEGORISED,
-        f"""SELECT * FROM recategorised WHERE delay_category <> ({CATEGORY_RULES})
-              AND NOT (dep_delay_min IS NULL
-                       AND delay_category IN ('severe_delay', 'moderate_delay', 'minor_delay', 'ontime', 'early'))""",
+    "check_category": _with(TO_RECATEGORISED, MISMATCHED),
+    "check_results": _with(
+        [
+            *TO_FACT,
+            ("paged", PAGED),
+            ("undated", UNDATED),
+            ("repeated", REPEATED),
+            ("recategorised", RECATEGORISED),
+            ("mismatched", MISMATCHED),
+            (
+                "counted",
+                """SELECT 'flight_date_not_null' AS "check", count(*) AS failures, 0 AS warn_over, 0 AS error_over FROM undated
+                   UNION ALL SELECT 'unique_flight_key', count(*), 0, 0 FROM repeated
+                   UNION ALL SELECT 'delay_category', count(*), 5, 1000000000 FROM mismatched""",
+            ),
+        ],
+        """SELECT "check", failures, failures AS stored,
+                  CASE WHEN failures > error_over THEN 'error' WHEN failures > warn_over THEN 'warn' ELSE 'pass' END AS status
+           FROM counted""",
     ),
     "check_category_strict": _with(
         TO_RECATEGORISED, f"SELECT * FROM recategorised WHERE delay_category IS DISTINCT FROM ({CATEGORY_RULES})"

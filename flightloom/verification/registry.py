@@ -24,6 +24,7 @@ from ..sources import (
     read_reference,
     read_reference_csv,
     rejected,
+    scan_insert_date,
     store_failures,
     write_bronze,
     write_reference,
@@ -114,6 +115,14 @@ def landed_flights(spark, sf_dir):
     return ops.stage_flights(read_bronze(spark, f"{root}/bronze"), keep=("flight_icao_full",))
 
 
+def scan_one_insert_date(spark, sf_dir):
+    """One date of a bronze table that holds seven."""
+    root = shared_dir(spark, "bronze")
+    write_bronze(ops.flatten_flights(_pages(spark, sf_dir)), root)
+    bronze = scan_insert_date(spark, root, "2024-02-05")
+    return bronze.select("flight_icao_full", "flight_date", "dep_iata", "arr_iata", "dep_delay_min", "insert_date")
+
+
 def flight_rejects(spark, sf_dir):
     rejects = ops.reject_flights(ops.flatten_flights(_pages(spark, sf_dir)))
     return rejects.select("flight_icao_full", "flight_date", "reject_reason")
@@ -149,6 +158,25 @@ def _dimension(name: str) -> Query:
     return run
 
 
+def reference_rows_written(spark, sf_dir):
+    """Rows per dataset, as counted by the pass that writes them."""
+    written = write_reference(derived.reference_rows(spark, sf_dir), shared_dir(spark, "reference"))
+    return spark.createDataFrame(list(written.items()), "dataset string, rows bigint")
+
+
+def check_results(spark, sf_dir):
+    """The three checks with their thresholds, failing rows stored."""
+    root = shared_dir(spark, "metadata")
+    bronze = ops.flatten_flights(_pages(spark, sf_dir))
+    results = [
+        ops.check(ops.undated_flights(bronze), "flight_date_not_null", root),
+        ops.check(ops.duplicate_keys(_fact(spark, sf_dir, rolling=False)), "unique_flight_key", root),
+        ops.check(ops.category_mismatches(_recategorised(spark, sf_dir)), "delay_category", root, 5, 10**9),
+    ]
+    rows = [(r.name, r.status, r.failures, spark.read.parquet(r.stored_at).count()) for r in results]
+    return spark.createDataFrame(rows, "check string, status string, failures bigint, stored bigint")
+
+
 def upsert_fact(spark, sf_dir):
     """Three insert dates, one upsert after the other."""
     path = shared_dir(spark, "fact")
@@ -228,10 +256,12 @@ QUERIES: dict[str, Query] = {
     "missing_dates": lambda spark, sf_dir: ops.missing_dates(
         derived.page_lines(spark, sf_dir), "2024-01-25", "2024-02-15"
     ),
+    "scan_insert_date": scan_one_insert_date,
     "flight_rejects": flight_rejects,
     "reference_rejects": lambda spark, sf_dir: rejected(_broken_routes(spark, sf_dir)),
     "reference_accepted": reference_accepted,
     **{f"dim_{name}": _dimension(name) for name in REFERENCE_DATASETS},
+    "reference_rows_written": reference_rows_written,
     "upsert_fact": upsert_fact,
     "backfill": backfill,
     "incremental_window": incremental_window,
@@ -243,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "check_category": lambda spark, sf_dir: ops.category_mismatches(_recategorised(spark, sf_dir)),
     "check_category_strict": lambda spark, sf_dir: ops.category_mismatches(_recategorised(spark, sf_dir), strict=True),
     "stored_failures": stored_failures,
+    "check_results": check_results,
 }
 
 

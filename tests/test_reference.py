@@ -10,6 +10,7 @@ from flightloom.schemas import REFERENCE_DATASETS
 from flightloom.sources import (
     LandingError,
     accepted,
+    name_columns,
     read_bronze,
     read_reference,
     read_reference_csv,
@@ -88,6 +89,14 @@ def test_all_datasets_to_bronze(spark, raw, tmp_path, caplog):
     assert read_bronze(spark, str(tmp_path / "b" / "airports.parquet")).count() == 3
 
 
+def test_columns_are_named_by_position(spark):
+    frames = {"planes": spark.createDataFrame([("a", "b", "c")]), "other": spark.range(1)}
+    named = name_columns(frames)
+    assert named["planes"].columns == ["name", "iata_code", "icao_code"] and named["other"].columns == ["id"]
+    with pytest.raises(Exception):
+        name_columns({"airports": frames["planes"]})
+
+
 def test_missing_files_are_reported_together(spark, tmp_path):
     with pytest.raises(LandingError) as failure:
         read_reference(spark, str(tmp_path))

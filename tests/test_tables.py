@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flightloom.operators import category_mismatches, check, duplicate_keys, upsert_fact
-from flightloom.plans.daily import Layout, QualityError, ask, run_batches
+from flightloom.plans import marts
+from flightloom.plans.daily import Layout, QualityError, ask, register_tables, run_batches
 from flightloom.plans.serving import QUESTIONS
-from flightloom.sources import read_fact, store_failures, write_bronze, write_mart
+from flightloom.sources import LandingError, read_fact, store_failures, write_bronze, write_mart
 from flightloom.streaming import watch_landing
 from tests.test_landing import FULL, flight, land, page
 
@@ -115,6 +116,15 @@ def test_daily_runs_equal_one_backfill(spark, tmp_path):
         tables = [read_fact(spark, p) for p in paths]
         rows = [sorted(str(r.asDict()) for r in t.select(*sorted(t.columns)).collect()) for t in tables]
         assert rows[0] == rows[1] and rows[0]
+    # marts that follow the fact by touched dates equal marts built from all of it
+    fact = read_fact(spark, one.fact)
+    for name, build in (
+        ("route_daily", marts.route_daily),
+        ("delay_heatmap", marts.delay_heatmap),
+        ("weekly_comparison", marts.weekly_comparison),
+    ):
+        whole_mart, followed = build(fact), read_fact(spark, f"{one.marts}/{name}")
+        assert sorted(map(str, whole_mart.collect())) == sorted(map(str, followed.select(*whole_mart.columns).collect()))
     # a repeated run changes nothing
     before = sorted(map(str, read_fact(spark, many.fact).collect()))
     run_batches(spark, many, days[1:])
@@ -124,6 +134,33 @@ def test_daily_runs_equal_one_backfill(spark, tmp_path):
         assert answer or question == "k_top_routes"  # no route has five flights here
 
 
+def test_stored_tables_answer_plain_sql(spark, tmp_path):
+    layout = Layout.under(str(tmp_path))
+    land(tmp_path / "raw", "2024-01-01", page(*[other(str(n), "2024-01-01", 20 * n) for n in range(6)]))
+    run_batches(spark, layout, ["2024-01-01"])
+    register_tables(spark, layout)
+    asked = spark.sql("""
+        SELECT route, ROUND(AVG(delayed_pct), 2) AS avg_delayed_pct, SUM(total_flights) AS total_flights
+        FROM fct_route_daily GROUP BY route HAVING SUM(total_flights) >= 5 ORDER BY 2 DESC LIMIT 10""")
+    assert asked.collect() == ask(spark, layout, "k_top_routes").collect() != []
+    for table in ("fct_flights", "delay_heatmap", "weekly_comparison"):
+        assert spark.sql(f"SELECT * FROM {table}").count() > 0
+
+
+def test_unusable_pages_stop_the_run_and_write_nothing(spark, tmp_path):
+    layout = Layout.under(str(tmp_path))
+    land(tmp_path / "raw", "2024-01-01", {"error": "down"})
+    land(tmp_path / "raw", "2024-01-02", page())
+    with pytest.raises(LandingError):
+        run_batches(spark, layout, ["2024-01-01"])
+    quiet = run_batches(spark, layout, ["2024-01-02"])  # a page without flights is not an error
+    assert (quiet.pages["data_pages"], quiet.bronze_rows, quiet.fact_rows) == (1, 0, 0)
+    land(tmp_path / "raw", "2024-01-01", page(FULL), "cut off {")
+    report = run_batches(spark, layout, ["2024-01-01", "2024-01-02"])
+    assert report.pages == {"pages": 4, "corrupt_pages": 1, "error_pages": 1, "data_pages": 2}
+    assert report.bronze_rows == 1
+
+
 def test_a_failed_check_stops_the_run_before_the_fact(spark, tmp_path):
     layout = Layout.under(str(tmp_path))
     land(tmp_path / "raw", "2024-01-01", page(FULL, flight(flight_date=None)))
