@@ -13,6 +13,7 @@ in by a join. The result is the same to the last digit.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -245,25 +246,27 @@ def incremental_window(
     staged: DataFrame,
     order_by: Sequence[str] | None = None,
     days: int = 7,
+    latest: date | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``silver_flights`` for a new batch whose frames may reach back into the stored fact.
 
-    Only fact rows of the last ``days`` days are read (partition-pruned), without the flights the batch replaces. At equal
-    date, stored rows come before the batch's.
+    Only fact rows of the last ``days`` days before ``latest`` are read (partition-pruned), without the flights the batch
+    replaces. ``latest`` is the fact's last flight date; without it, it is looked up, which opens every file of the fact. At
+    equal date, stored rows come before the batch's.
     """
     rows, order = _ordered(staged, order_by, ())
-    since = fact.agg(F.date_sub(F.max("flight_date"), days)).first()[0]
+    last = latest or fact.agg(F.max("flight_date")).first()[0]
     # Stored rows of equal date are ordered by their key; its first fifteen hex digits are a number in the same order.
     key, others = order[0], order[1:]
     batch = rows.withColumns(
         {"_in_batch": F.lit(1), "_order_key": F.col(key).cast("bigint"), "_flight_key": surrogate_key(*map(F.col, FLIGHT))}
     )
-    if since is None:
+    if last is None:
         history = batch.limit(0)
     else:
         history = (
-            fact.where(F.col("flight_date") >= F.lit(since))
+            fact.where(F.col("flight_date") >= F.lit(last - timedelta(days=days)))
             .join(batch.select(F.col("_flight_key").alias("flight_key")), "flight_key", "left_anti")
             .select(
                 *ROUTE,

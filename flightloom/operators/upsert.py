@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, shared_dir
+from ..session import discard, path_exists, shared_dir
 from ..sources.sinks import write_mart
 
 FACT_KEY = "flight_key"
@@ -26,12 +26,13 @@ def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> tuple[
     The key contains the flight date, so a key never changes partition and only the touched dates are rewritten. The batch
     and the surviving old rows are first written under the shared folder, and the touched dates are then rebuilt from those
     copies alone. So nothing is read from the partitions being replaced, the batch is computed once, and every step can be
-    repeated if it is interrupted.
+    repeated if it is interrupted. The copies are removed only after the fact is complete.
     """
     # The copies are not partitioned, so writing them moves no rows; only the final write groups rows by date.
     staging = shared_dir(spark, "upsert")
     incoming_rows = write_mart(batch, f"{staging}/batch")
     if not incoming_rows:
+        discard(spark, staging)
         return 0, []
     incoming = spark.read.parquet(f"{staging}/batch")
     touched = touched_dates(incoming)
@@ -44,4 +45,5 @@ def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> tuple[
         if write_mart(survivors, f"{staging}/survivors"):
             result = incoming.unionByName(spark.read.parquet(f"{staging}/survivors"))
     write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
+    discard(spark, staging)
     return incoming_rows, touched

@@ -52,7 +52,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/flightloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
+def discard(spark: SparkSession, directory: str) -> None:
+    """Remove a directory that ``shared_dir`` made, once nothing reads it any more."""
+    files, target = _located(spark, directory)
+    files.delete(target, True)

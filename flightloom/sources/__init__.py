@@ -1,6 +1,14 @@
 """Readers and writers."""
 
-from .pages import LandingError, landing_audit, landing_contract, observe_landed, read_flight_pages, require_landed
+from .pages import (
+    LandingError,
+    landed_dates,
+    landing_audit,
+    landing_contract,
+    observe_landed,
+    read_flight_pages,
+    require_landed,
+)
 from .reference import accepted, name_columns, read_reference, read_reference_csv, rejected
 from .sinks import (
     store_failures,
@@ -13,6 +21,7 @@ from .tables import read_bronze, read_fact, scan_insert_date, scan_insert_dates
 __all__ = [
     "LandingError",
     "accepted",
+    "landed_dates",
     "landing_audit",
     "landing_contract",
     "name_columns",

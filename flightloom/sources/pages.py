@@ -43,6 +43,12 @@ def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str
     return parse_pages(filled.select(insert_date.alias("insert_date"), "value"))
 
 
+def landed_dates(spark: SparkSession, root: str) -> DataFrame:
+    """The insert dates that have landed files. Files are listed, not read."""
+    files = spark.read.format("binaryFile").load(root)
+    return files.select(F.col("insert_date").cast("date").alias("insert_date")).distinct()
+
+
 def _contract_counts() -> list[Column]:
     return [
         count_rows().alias("pages"),

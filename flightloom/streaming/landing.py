@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -28,7 +29,13 @@ def watch_landing(
         if dates:
             on_dates(sorted(dates))
 
-    landed = spark.readStream.schema("value string, insert_date date").text(raw_root)
+    # Only file names are taken from this source; the content column is never read.
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .load(f"{raw_root.rstrip('/')}/insert_date=*")
+    )
+    landed = files.select(F.regexp_extract("path", "/insert_date=([^/]+)/", 1).alias("insert_date"))
     return (
         landed.writeStream.foreachBatch(pick_up)
         .option("checkpointLocation", checkpoint)

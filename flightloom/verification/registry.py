@@ -16,6 +16,7 @@ from ..schemas import REFERENCE_DATASETS
 from ..session import configure, shared_dir
 from ..sources import (
     accepted,
+    landed_dates,
     landing_audit,
     landing_contract,
     read_bronze,
@@ -115,6 +116,11 @@ def landed_flights(spark, sf_dir):
     return ops.stage_flights(read_bronze(spark, f"{root}/bronze"), keep=("flight_icao_full",))
 
 
+def missing_dates(spark, sf_dir):
+    landed = landed_dates(spark, derived.land_pages(spark, sf_dir, shared_dir(spark, "landed")))
+    return ops.missing_dates(landed, "2024-01-25", "2024-02-15")
+
+
 def scan_one_insert_date(spark, sf_dir):
     """One date of a bronze table that holds seven."""
     root = shared_dir(spark, "bronze")
@@ -253,9 +259,7 @@ QUERIES: dict[str, Query] = {
     "landed_flights": landed_flights,
     "landing_contract": lambda spark, sf_dir: landing_contract(_pages(spark, sf_dir)),
     "landing_audit": lambda spark, sf_dir: landing_audit(_pages(spark, sf_dir), limit=100, max_pages=20),
-    "missing_dates": lambda spark, sf_dir: ops.missing_dates(
-        derived.page_lines(spark, sf_dir), "2024-01-25", "2024-02-15"
-    ),
+    "missing_dates": missing_dates,
     "scan_insert_date": scan_one_insert_date,
     "flight_rejects": flight_rejects,
     "reference_rejects": lambda spark, sf_dir: rejected(_broken_routes(spark, sf_dir)),

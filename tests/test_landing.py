@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flightloom.operators import flatten_flights, missing_dates, reject_flights, stage_flights, undated_flights
 from flightloom.sources import (
     LandingError,
+    landed_dates,
     landing_audit,
     landing_contract,
     read_flight_pages,
@@ -152,6 +153,8 @@ def test_one_date_is_listed_alone(spark, tmp_path):
 
 
 def test_missing_dates(spark, tmp_path):
-    land(tmp_path, "2024-01-02", page(FULL))
-    gaps = missing_dates(read_flight_pages(spark, str(tmp_path)), "2024-01-01", "2024-01-03")
+    land(tmp_path, "2024-01-02", page(FULL), page(FULL))
+    landed = landed_dates(spark, str(tmp_path))
+    assert "content" not in landed._jdf.queryExecution().executedPlan().toString()
+    gaps = missing_dates(landed, "2024-01-01", "2024-01-03")
     assert sorted(str(r.insert_date) for r in gaps.collect()) == ["2024-01-01", "2024-01-03"]
