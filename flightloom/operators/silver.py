@@ -59,36 +59,56 @@ def _with_piece(
 ) -> DataFrame:
     """Cut each oversize cell into pieces of equal key width. The piece number never decreases as the key grows, so pieces
     follow one another in row order."""
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    share = (F.col(key).cast("double") - F.col("_lo")) / width
-    piece = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1)
-    # a missing key sorts last
-    last = F.when(F.col(key).isNull(), F.col("_pieces") - 1)
+    width = F.col("_hi") - F.col("_lo")
+    last = F.col("_pieces") - 1
+    share = (F.col(key).cast("double") - F.col("_lo")) / F.nullif(width, F.lit(0.0))
+    # Missing keys sort last, so they go to the last piece; so does everything in a cell whose keys are all equal.
+    piece = F.coalesce(F.least(F.floor(share * F.col("_pieces")), last), last)
     return (
         rows.join(F.broadcast(sizes), list(cell), "left")
-        .withColumn(_PIECE, F.coalesce(piece, last, F.lit(0)).cast("bigint"))
+        .withColumn(_PIECE, F.coalesce(piece, F.lit(0)).cast("bigint"))
         .drop("_lo", "_hi", "_pieces")
     )
 
 
+def _frame_copies(rows: DataFrame) -> DataFrame:
+    """Shorten runs of exact copies to seven rows.
+
+    Copies are adjacent in any order, a frame spans seven rows, and dedup keeps only the first copy, so copies beyond the
+    seventh can affect no result. They are counted on the map side: a group of copies never travels as a whole.
+    """
+    counted = rows.groupBy(*rows.columns).agg(count_rows().alias("_copies"))
+    each = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(FRAME_ROWS)).cast("int")))
+    return counted.select("*", each.alias("_copy")).drop("_copies", "_copy")
+
+
+def _without_long_runs(rows: DataFrame, piece: Sequence[str], max_group_rows: int) -> DataFrame:
+    """Shorten copies in the pieces that stayed too large after cutting, which only rows of equal key can cause.
+
+    Their number is at most (rows / max_group_rows), so the list is broadcast. Where there are none, no row is moved.
+    """
+    crowded = rows.groupBy(*piece).count().where(F.col("count") > 2 * max_group_rows).select(*piece)
+    if crowded.isEmpty():
+        return rows
+    crowded = F.broadcast(crowded)
+    runs = _frame_copies(rows.join(crowded, list(piece), "left_semi"))
+    return rows.join(crowded, list(piece), "left_anti").unionByName(runs)
+
+
 def _roll_cut_groups(
     rows: DataFrame,
-    once: DataFrame,
     group: Sequence[str],
     within: Sequence[str],
     order_by: Sequence[str],
     value: str,
     output: str,
     max_group_rows: int,
+    shorten_copies: bool,
 ) -> DataFrame:
-    """The rolling mean for groups too large for one task.
-
-    ``rows`` are all rows of those groups; ``once`` are the rows to return (the same, or with long runs of exact copies
-    shortened to what a frame can see). ``within`` leads the order inside a group.
-    """
+    """The rolling mean for groups too large for one task. ``within`` leads the order inside a group."""
     # One never-null key per group lets the carry join reuse the window's own partitioning.
     group_key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in group])
-    rows, once = rows.withColumn(_GROUP, group_key), once.withColumn(_GROUP, group_key)
+    rows = rows.withColumn(_GROUP, group_key)
     cell, key = [_GROUP, *within], order_by[0]
 
     # Only oversize cells are listed, so there are at most (rows / max_group_rows) of them: safe to broadcast.
@@ -100,6 +120,9 @@ def _roll_cut_groups(
         .select(*cell, "_lo", "_hi", F.ceil(F.col("_n") / max_group_rows).alias("_pieces"))
     )
     piece = [*cell, _PIECE]
+    once = _with_piece(rows, sizes, cell, key)
+    if shorten_copies:
+        once = _without_long_runs(once, piece, max_group_rows)
 
     # The last rows of every piece. Ranking with a limit is cut down on the map side, so only these rows are shuffled.
     backwards = Window.partitionBy(*piece).orderBy(*_descending(order_by))
@@ -118,7 +141,7 @@ def _roll_cut_groups(
 
     in_order = Window.partitionBy(*piece).orderBy(*_ascending(order_by))
     frame = in_order.rowsBetween(-(FRAME_ROWS - 1), Window.currentRow)
-    own = _with_piece(once, sizes, cell, key).withColumns(
+    own = once.withColumns(
         {
             "_sum": F.sum(value).over(frame),
             "_known": F.count(value).over(frame),
@@ -143,17 +166,6 @@ def _roll_cut_groups(
     )
 
 
-def _frame_copies(rows: DataFrame) -> DataFrame:
-    """Shorten runs of exact copies to seven rows.
-
-    Copies are adjacent in any order, a frame spans seven rows, and dedup keeps only the first copy, so copies beyond the
-    seventh can affect no result. They are counted on the map side: a group of copies never travels as a whole.
-    """
-    counted = rows.groupBy(*rows.columns).agg(count_rows().alias("_copies"))
-    each = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(FRAME_ROWS)).cast("int")))
-    return counted.select(*rows.columns, each.alias("_copy")).drop("_copy")
-
-
 def _roll(
     flights: DataFrame,
     order_by: Sequence[str],
@@ -176,9 +188,8 @@ def _roll(
         is_listed = is_listed & F.col(c).eqNullSafe(F.col(f"_large_{c}"))
     small_rows = flights.join(listed, is_listed, "left_anti")
     large_rows = flights.join(listed, is_listed, "left_semi")
-    once = _frame_copies(large_rows) if shorten_copies else large_rows
     whole = _roll_whole_groups(small_rows, group, [*within, *order_by], value, output)
-    cut = _roll_cut_groups(large_rows, once, group, within, order_by, value, output, max_group_rows)
+    cut = _roll_cut_groups(large_rows, group, within, order_by, value, output, max_group_rows, shorten_copies)
     return whole.unionByName(cut)
 
 

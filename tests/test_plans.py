@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from flightloom.operators import flatten_flights, silver_flights, undated_flights
@@ -60,8 +61,17 @@ def test_cut_groups_are_joined_where_they_already_lie(flights):
     text = plan(silver_flights(flights, TIE_BREAK, max_group_rows=50), executed=True)
     assert "SortMergeJoin" not in text and "BroadcastNestedLoopJoin" not in text
     assert len(re.findall(r"Exchange hashpartitioning\(_group#\d+, flight_date#\d+, _piece#\w+, 8\)", text)) == 2
-    copies = [line for line in text.splitlines() if "partial_count(1)" in line and "flight_iata_full" in line]
-    assert len(copies) == 1  # exact copies are counted on the map side, once
+
+
+def test_only_crowded_pieces_are_searched_for_copies(flights):
+    def copy_counts(df):
+        text = plan(silver_flights(df, TIE_BREAK, max_group_rows=50), executed=True)
+        return [line for line in text.splitlines() if "partial_count(1)" in line and "flight_iata_full" in line]
+
+    assert copy_counts(flights) == []  # no row is moved to look for copies
+    each = F.explode(F.sequence(F.lit(1), F.lit(400))).alias("n")
+    copies = flights.where("event_id = 7").select("*", each).drop("n")
+    assert len(copy_counts(flights.unionByName(copies))) == 1  # counted on the map side, once
 
 
 def test_marts_aggregate_before_they_shuffle(flights):
