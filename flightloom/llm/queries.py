@@ -6,12 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, packing, pii, toxicity, url_filter
+from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SEQUENCE_TOKENS = 1024
 
+# The rules of the URL query.
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,5 +42,28 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op8_bpe": op8_bpe}
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    digest = F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *[count(kind) for kind in pii.KINDS], digest, pii.joined("spans").alias("spans"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = (toxicity.fold(F.col("doc_id")) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted", "n_tokens", "best", "units")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
+    "op8_bpe": op8_bpe,
+    "op10_url_filter": op10_url_filter,
+}
 ORACLE: dict[str, str] = {}
