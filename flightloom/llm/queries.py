@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, pii, toxicity, url_filter
+from . import bpe, line_dedup, packing, pii, toxicity, url_filter
 from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +55,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted", "n_tokens", "best", "units")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return deduped.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", digest)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -63,7 +69,40 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op8_bpe": op8_bpe,
     "op10_url_filter": op10_url_filter,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, i - 1 AS i, line[i] AS line
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS line FROM documents WHERE text IS NOT NULL),
+                 LATERAL (SELECT unnest(range(1, len(line) + 1)) AS i)
+        ),
+        solid AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS j, line
+            FROM lines WHERE regexp_matches(line, '[^ \t\r\x0b\x0c]')
+        ),
+        windows AS (
+            SELECT a.doc_id, a.j, a.i AS first_line, c.i AS last_line, a.line AS x, b.line AS y, c.line AS z
+            FROM solid a JOIN solid b ON b.doc_id = a.doc_id AND b.j = a.j + 1 JOIN solid c ON c.doc_id = a.doc_id AND c.j = a.j + 2
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, j) AS place FROM windows),
+        later AS (SELECT * FROM ranked WHERE place > 1),
+        marked AS (
+            SELECT *, CASE WHEN j <= lag(j) OVER (PARTITION BY doc_id ORDER BY j) + 3 THEN 0 ELSE 1 END AS fresh FROM later
+        ),
+        numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY j) AS run FROM marked),
+        runs AS (SELECT doc_id, run, min(first_line) AS first_line, max(last_line) AS last_line FROM numbered GROUP BY ALL),
+        gone AS (SELECT DISTINCT l.doc_id, l.i FROM lines l JOIN runs r ON l.doc_id = r.doc_id AND l.i BETWEEN r.first_line AND r.last_line),
+        kept AS (
+            SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+                   coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS kept
+            FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id
+        )
+        SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+               sha256(coalesce(k.kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+    """,
+}
