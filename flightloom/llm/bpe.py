@@ -17,6 +17,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Callable
+from functools import lru_cache
 from heapq import heappop, heappush
 from operator import or_
 
@@ -165,12 +166,23 @@ def text_encoder(vocabulary: Vocabulary, pattern: str, cache_size: int = CACHE)
     return encode
 
 
+@lru_cache(maxsize=2)
+def _vocabulary_of_worker(ranks_path: str) -> Vocabulary:
+    """Built once per Python worker, which serves many tasks."""
+    return Vocabulary(ranks_path)
+
+
+@lru_cache(maxsize=2)
+def _encoder_of_worker(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
+    return text_encoder(_vocabulary_of_worker(ranks_path), pattern)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id and its ids as little-endian 32-bit integers."""
     small_batches(docs.sparkSession)
 
     def make():
-        to_ids = text_encoder(Vocabulary(ranks_path), pattern)
+        to_ids = _encoder_of_worker(ranks_path, pattern)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [to_ids(t or "") for t in batch.column(1).to_pylist()]
@@ -185,7 +197,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """Inverse of ``encode``: doc_id, ids and the bytes they stand for. Null ids give empty bytes."""
 
     def make():
-        vocabulary = Vocabulary(ranks_path)
+        vocabulary = _vocabulary_of_worker(ranks_path)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [x or b"" for x in batch.column(1).to_pylist()]

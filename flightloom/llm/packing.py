@@ -14,8 +14,9 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Callable
 from array import array
+from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -40,12 +41,13 @@ def byte_characters() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
 
 
+@lru_cache(maxsize=2)
 def document_ids(path: str, pattern: str, cache_size: int = CACHE) -> Callable[[str], bytes]:
     """A function from text to its ids as little-endian 32-bit integers, by the byte-level tokenizer at ``path``.
 
     ``pattern`` is the one by which that tokenizer splits. A match starts at each single space between other characters, so
     the stretches between those spaces are encoded on their own and remembered; each match goes through the tokenizer's own
-    model. Special tokens in a text are ordinary text.
+    model. Special tokens in a text are ordinary text. Built once per Python worker, which serves many tasks.
     """
     import regex
     from tokenizers import Tokenizer

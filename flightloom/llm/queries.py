@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, packing, pii, toxicity, url_filter
+from . import bpe, line_dedup, packing, pii, substring_dedup, toxicity, url_filter
 from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.PATTERN, SEQUENCE_TOKENS)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     decoded = bpe.decode(encoded, RANKS)
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op6_line_dedup": op6_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
     "op10_url_filter": op10_url_filter,
 }
