@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, packing, pii, substring_dedup, toxicity, url_filter
+from . import ann, bpe, line_dedup, packing, pii, substring_dedup, toxicity, url_filter
 from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted", "n_tokens", "best", "units")
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256")
@@ -74,6 +78,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op5_ann": op5_ann,
     "op6_line_dedup": op6_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
