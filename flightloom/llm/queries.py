@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, line_dedup, packing, pii, substring_dedup, toxicity, url_filter
+from . import ann, bpe, line_dedup, packing, pii, substring_dedup, toxicity, url_filter, vector_dedup
 from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +47,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -76,6 +80,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_vector_dedup": op2_vector_dedup,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_ann": op5_ann,
