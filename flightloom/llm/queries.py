@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, line_dedup, packing, pii, substring_dedup, toxicity, url_filter, vector_dedup
+from . import ann, bpe, line_dedup, ngram_join, packing, pii, substring_dedup, toxicity, url_filter, vector_dedup
 from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", digest)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -87,6 +91,7 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
+    "op9_ngram_join": op9_ngram_join,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE: dict[str, str] = {
