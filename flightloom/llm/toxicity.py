@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .boosting import logistic_fit, sigmoid
+from .boosting import logistic_fit
 from .common import column, keyed_texts, map_batches, small_batches, written
 
 MAX_LABELS = 100_000
@@ -263,3 +263,30 @@ def passages(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col:
         return handle
 
     return map_batches(keyed_texts(docs, id_col, text_col), make, "doc_id long, first_token long, end_token long, segment_score double, units double")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", toxic_col: str = "toxic") -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, with all their columns. Scored in a last pass, so no join by id is needed."""
+    _, model = fit(keyed_texts(docs, id_col, text_col), labels, label_id, toxic_col)
+    if model.weights is None:
+        return docs
+    at, (peak, units, constant) = docs.columns.index(text_col), (float(w) for w in model.weights)
+    scorer = model.scorer
+
+    def make():
+        bucket_of = _Buckets()
+
+        def clean(text: str | None) -> bool:
+            scores = _scored(tokens(text or ""), scorer, bucket_of)
+            best, found = scorer.units(best_segment(scores), len(scores)), 0.0
+            if len(scores) and best >= SIGNIFICANT:
+                each = np.array([s for _, _, s in maximal_segments(scores)])
+                found = float(np.maximum(scorer.units(each, len(scores)) - SIGNIFICANT, 0).sum())
+            return peak * max(float(best), -20.0) + units * np.log1p(found) + constant < 0
+
+        def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return handle
+
+    return map_batches(docs, make, docs.schema)
