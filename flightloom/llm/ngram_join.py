@@ -8,13 +8,14 @@ A document's set holds its distinct shingles of ``SHINGLE`` words, A-Z lower-cas
   with a light set can be missed. A set is light up to the size at which that takes more subsets than a heavy set has, so the
   boundary follows from the cost.
 * Heavy sets would have astronomically many such subsets. They enumerate ``TABLES`` subsets of ``SUBSET`` shingles each: the smallest
-  ones under as many fixed orders. Two sets with a Jaccard index of 0.75 share each one with probability 0.316 and fewer than
-  ``LEAST_COMMON`` of them with probability below 1e-6; more alike ones far more rarely. The inverted lists of these subsets are scanned,
-  and a pair with ``LEAST_COMMON`` common subsets is decided by its exact sets.
-* Lists are scanned by stars first: every member against the list's smallest and then its largest document. What is
-  linked needs no further pairs, so a list of thousands of near copies takes thousands of pairs, not millions. Only lists that
-  still hold several components are compared in blocks, member by member, by 16-bit fingerprints of all subsets; just the pairs
-  with enough common subsets leave a block.
+  ones under as many fixed orders. Two sets with a Jaccard index of 0.75 share each one with probability 0.316, so they miss all
+  with probability below 1e-6; more alike ones far more rarely. The inverted lists of these subsets are scanned.
+* Lists are scanned by stars first: every member against a few centers of its list, by exact sets. What is linked needs no
+  further pairs, so a list of thousands of near copies takes thousands of pairs, not millions. Here a pair with fewer than
+  ``LEAST_COMMON`` common subsets may be passed over, since the next step decides it again.
+* Lists that still hold several components are then scanned whole, in blocks of bounded size that meet pairwise: members outside
+  the block's main component count their common shingles with all others, and one link per pair of components leaves the block. These
+  counts use 32 of the 64 bits, so they may only be too high; the links that leave are decided by the full sets.
 
 Shingles are compared by 64-bit hashes. A text of fewer than five words has one shingle, all of it. Null and empty texts, and texts
 without words, have no shingles and link with nothing. Rows that repeat an id count as one document with several sets. A row with a null id
@@ -38,11 +39,12 @@ from .substring_dedup import group_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 75
-TABLES = 64
+TABLES = 40
 SUBSET = 4
-LEAST_COMMON = 5
-#: Members of a list that one task holds at a time.
+LEAST_COMMON = 3
+#: Members of a list, and bytes of their sets, that a task holds at a time for each side of a pair of blocks.
 BLOCK = 2_000
+BLOCK_BYTES = 16 << 20
 _ORDERS = np.random.default_rng(20_240_301).integers(1 << 62, (1 << 63) - 1, TABLES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = np.random.default_rng(20_240_302).integers(0, (1 << 63) - 1, TABLES, dtype=np.int64).astype(np.uint64)
 
@@ -169,40 +171,78 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _blocks(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in one list that pass ``_alike``; lists are cut into blocks that meet pairwise."""
-    sizes = lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    rows = lists.join(sizes, "key").join(classes.select("id", "n", "prints"), "id")
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    rows = rows.withColumn("part", part)
-    # A member meets every block of its list once, as the one that asks or the one that is asked.
-    low = F.least("part", "other").alias("low")
-    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", low, F.greatest("part", "other").alias("high"), "part", "id", "component", "n", "prints")
-
-    def compare(rows: pa.Table) -> pa.Table:
-        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
-        part, ids = rows.column("part").to_numpy(), rows.column("id").to_numpy()
-        comp, n = rows.column("component").to_numpy(), rows.column("n").to_numpy()
-        heavy = np.array([bool(p) for p in rows.column("prints").to_pylist()])
-        marks = np.zeros((len(ids), TABLES), np.uint16)
-        if heavy.any():
-            marks[heavy] = np.frombuffer(b"".join(p for p in rows.column("prints").to_pylist() if p), np.uint16).reshape(-1, TABLES)
-        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
-        found = []
-        for at in range(0, len(left), 256):
-            own = left[at : at + 256]
-            ok = (comp[own, None] != comp[None, right]) & (np.minimum(n[own, None], n[None, right]) * 100 >= np.maximum(n[own, None], n[None, right]) * PERCENT)
-            common = np.zeros(ok.shape, np.int16)
-            for t in range(TABLES):
-                common += marks[own, t, None] == marks[None, right, t]
-            ok &= (common >= LEAST_COMMON) | ~(heavy[own, None] & heavy[None, right])
-            i, j = np.nonzero(ok)
-            found.append((np.minimum(ids[own[i]], ids[right[j]]), np.maximum(ids[own[i]], ids[right[j]])))
-        a, b = (np.concatenate(c) if found else np.zeros(0, np.int64) for c in (zip(*found, strict=True) if found else ((), ())))
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-    return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+def _scan_block(rows: list[tuple[int, int, int, int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links between components of one pair of blocks. Rows: part, other part, id, component, set size, 32-bit shingles."""
+    if len(rows) < 2:
+        return []
+    part, _, ids, comp, n = (np.array(c) for c in list(zip(*rows, strict=True))[:5])
+    if (comp == comp[0]).all():
+        return []
+    one_block = rows[0][0] == rows[0][1] and (part == part[0]).all()
+    labels, counts = np.unique(comp, return_counts=True)
+    main = labels[counts.argmax()]
+    order = np.argsort(comp == main, kind="stable")
+    joined = np.concatenate([r[5] for r in rows])
+    ends = np.cumsum([len(r[5]) for r in rows])
+    starts = ends - np.array([len(r[5]) for r in rows])
+    _, local = np.unique(joined, return_inverse=True)
+    own = np.zeros(int(local.max()) + 1, dtype=bool)
+    found = []
+    for i in order:
+        if comp[i] == main:
+            break
+        mine = local[starts[i] : ends[i]]
+        own[mine] = True
+        common = np.add.reduceat(own[local].astype(np.int32), starts)
+        own[mine] = False
+        linked = (100 * common >= PERCENT * (n[i] + n - common)) & (comp != comp[i])
+        if not one_block:
+            linked &= part != part[i]
+        for label in np.unique(comp[linked]):
+            j = np.flatnonzero(linked & (comp == label))[:1]
+            if len(j):
+                found.append((min(ids[i], ids[j[0]]), max(ids[i], ids[j[0]])))
+                if comp[i] == main or label == main:
+                    comp[(comp == label) | (comp == comp[i])] = main
+                else:
+                    comp[comp == label] = comp[i]
+                linked &= comp != comp[i]
+    return found
+
+
+def _blocks(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect different components of one list; lists are cut into blocks that meet pairwise."""
+    rows = lists.join(sets.select("id", F.octet_length("small").alias("bytes")), "id")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    sizes = rows.groupBy("key").agg(parts.alias("parts"))
+    dealt = lists.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # A member meets every block of its list once.
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "component")
+    full = dealt.join(sets.select("id", "n", "small"), "id").select("key", "low", "high", "part", "id", "component", "n", "small")
+    ordered = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    def run(batches):
+        current, held = None, []
+        for batch in batches:
+            found = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, low, high, part, doc, component, n, small in zip(*columns, strict=True):
+                if (key, low, high) != current:
+                    found += _scan_block(held)
+                    current, held = (key, low, high), []
+                held.append((part, high if part == low else low, doc, component, n, np.frombuffer(small, np.uint32)))
+            if found:
+                yield _pairs(found)
+        if found := _scan_block(held):
+            yield _pairs(found)
+
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(map(int, a), pa.int64()), pa.array(map(int, b), pa.int64())], names=["a", "b"])
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,11 +255,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     classes = linkable.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("prints").alias("prints"), F.first("keys").alias("keys"))
     classes = written(classes, "ngram-classes")
     each = classes.select("id", F.explode("keys").alias("key"))
-    ends = each.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    lists = written(each.join(ends, "key").select("key", "id", "lo", "hi").distinct(), "ngram-lists")
+    ends = each.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.struct(F.xxhash64("id"), "id")).alias("any")).where("lo < hi")
+    lists = written(each.join(ends, "key").select("key", "id", "lo", F.col("any.id").alias("any"), "hi").distinct(), "ngram-lists")
     links: list[DataFrame] = []
     current = sets = None
-    for center in ("lo", "hi"):
+    for center in ("lo", "any", "hi"):
         star = lists.where(F.col("id") != F.col(center)).select(F.least("id", center).alias("a"), F.greatest("id", center).alias("b")).distinct()
         if current is not None:
             star = _apart(star, current)
@@ -230,7 +270,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         current = written(components(_all(links)), "ngram-components")
     labelled = lists.select("key", "id").join(current.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = written(_blocks(written(labelled.join(mixed, "key"), "ngram-mixed"), classes), "ngram-pairs")
+    rest = written(_blocks(written(labelled.join(mixed, "key"), "ngram-mixed"), sets), "ngram-pairs")
     links.append(written(_linked(rest, sets), "ngram-links"))
     current = components(_all(links))
     members = described.select("doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "id"), ["h1", "h2"], "left").join(current, F.col("id") == F.col("node"), "left")
@@ -253,13 +293,16 @@ def _apart(pairs: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def _sets_of(keyed: DataFrame, lists: DataFrame) -> DataFrame:
-    """(id, shingles) of the documents that occur in a list, one row for each of its texts."""
+    """(id, n, shingles, small) of the documents that occur in a list, one row for each of its texts."""
     wanted = keyed.join(lists.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
     def make():
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "shingles"])
+            found = [shingle_set(t) for t in batch.column(1).to_pylist()]
+            small = [(s >> np.uint64(32)).astype(np.uint32).tobytes() for s in found]
+            columns = [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()), pa.array(small, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["id", "n", "shingles", "small"])
 
         return handle
 
-    return written(map_batches(wanted, make, "id long, shingles binary"), "ngram-sets")
+    return written(map_batches(wanted, make, "id long, n long, shingles binary, small binary"), "ngram-sets")
