@@ -6,7 +6,7 @@ from .kpis import kpi_flights
 from .quality import CheckResult, category_mismatches, check, duplicate_keys, undated_flights
 from .silver import dedup_flights, incremental_window, rolling_route_delay, silver_flights
 from .staging import reject_flights, stage_flights, stage_reference
-from .upsert import upsert_fact
+from .upsert import finish_upsert, upsert_fact
 
 __all__ = [
     "CheckResult",
@@ -14,6 +14,7 @@ __all__ = [
     "check",
     "dedup_flights",
     "duplicate_keys",
+    "finish_upsert",
     "flatten_flights",
     "incremental_window",
     "kpi_flights",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import category_agrees, count_rows
-from ..sources.sinks import store_failures
+from ..sources.sinks import failures_path, store_failures
 
 
 class CheckResult(NamedTuple):
@@ -33,20 +33,25 @@ def category_mismatches(flights: DataFrame, strict: bool = False) -> DataFrame:
     return flights.where(~category_agrees(F.col("dep_delay_min"), F.col("delay_category"), strict))
 
 
-def check(
-    failing: DataFrame,
-    name: str,
-    metadata_root: str | None = None,
-    warn_over: int = 0,
-    error_over: int = 0,
-) -> CheckResult:
+#: Failing rows over which a check warns, and over which it is an error.
+POLICY = {
+    "flight_date_not_null": (0, 0),
+    "unique_flight_key": (0, 0),
+    "delay_category": (5, 0),
+}
+
+
+def check(failing: DataFrame, name: str, metadata_root: str | None = None, warn_over: int | None = None, error_over: int | None = None) -> CheckResult:
     """Count failing rows and grade them: ``error`` above ``error_over``, else ``warn`` above ``warn_over``.
 
-    The count reads only the columns the check looks at. With ``metadata_root`` the failing rows are stored there whole; only
-    if there are any does that read the rest, and if there are none it replaces what an earlier run left.
+    The limits are those of ``POLICY`` unless given. With ``metadata_root`` the failing rows are stored there whole, replacing
+    what an earlier run left, and counted in the same pass; without it only the columns the check looks at are read.
     """
-    failures, stored_at = failing.count(), None
+    warn, error = POLICY.get(name, (0, 0))
+    warn, error = warn if warn_over is None else warn_over, error if error_over is None else error_over
     if metadata_root:
-        stored_at = store_failures(failing if failures else failing.limit(0), metadata_root, name)
-    status = "error" if failures > error_over else "warn" if failures > warn_over else "pass"
+        failures, stored_at = store_failures(failing, metadata_root, name), failures_path(metadata_root, name)
+    else:
+        failures, stored_at = failing.count(), None
+    status = "error" if failures > error else "warn" if failures > warn else "pass"
     return CheckResult(name, status, failures, stored_at)

@@ -1,12 +1,14 @@
 """Rolling route delay and dedup.
 
 The rolling mean is taken *before* duplicates are removed, so duplicates sit inside its frame. Both windows need a total
-order to give the same answer in every run; callers name it in ``order_by`` (numeric column first), or leave it out and get a
-hash of the row followed by the row itself.
+order to give the same answer in every run; callers name it in ``order_by`` (columns of any type that sorts), or leave it out
+and get a hash of the row followed by the row itself.
 
 A window group is one task's work and cannot be split by Spark, and a single busy route may hold a large share of all rows.
-So group sizes are checked first (one narrow, map-side combined count). Groups beyond ``max_group_rows`` are cut into
-consecutive pieces, each piece is its own window group, and the last rows of the pieces before it -- six values -- are carried
+So group sizes are checked first (one narrow, map-side combined count, which runs while the plan is built). If there are
+groups beyond ``max_group_rows``, the rows are written once to the shared folder, those of large groups apart; these are then
+dealt into pieces by range partitioning on group and order columns, so pieces follow the rows' own order, whatever the type or
+spread of the key. Each piece is its own window group, and the last rows of the pieces before it -- six values -- are carried
 in by a join. The result is the same to the last digit.
 """
 
@@ -19,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import count_rows, row_hash, surrogate_key
+from ..session import shared_dir
+from ..sources.tables import partition_dates, read_fact
 
 ROUTE = ("dep_iata", "arr_iata")
 FLIGHT = ("flight_iata_full", "flight_date")
@@ -34,6 +38,8 @@ SILVER_COLUMNS = (
 _POSITION = "_position"
 _PIECE = "_piece"
 _GROUP = "_group"
+_COPY = "_copy"
+_LARGE = "_large"
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -54,80 +60,42 @@ def _roll_whole_groups(
     )
 
 
-def _with_piece(
-    rows: DataFrame, sizes: DataFrame, cell: Sequence[str], key: str
-) -> DataFrame:
-    """Cut each oversize cell into pieces of equal key width. The piece number never decreases as the key grows, so pieces
-    follow one another in row order."""
-    width = F.col("_hi") - F.col("_lo")
-    last = F.col("_pieces") - 1
-    share = (F.col(key).cast("double") - F.col("_lo")) / F.nullif(width, F.lit(0.0))
-    # Missing keys sort last, so they go to the last piece; so does everything in a cell whose keys are all equal.
-    piece = F.coalesce(F.least(F.floor(share * F.col("_pieces")), last), last)
-    return (
-        rows.join(F.broadcast(sizes), list(cell), "left")
-        .withColumn(_PIECE, F.coalesce(piece, F.lit(0)).cast("bigint"))
-        .drop("_lo", "_hi", "_pieces")
-    )
+def _stored(rows: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write once to the shared folder and read back."""
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.partitionBy(*partition_by).parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
-def _frame_copies(rows: DataFrame) -> DataFrame:
-    """Shorten runs of exact copies to seven rows.
+def _numbered_copies(rows: DataFrame, at_most: int | None) -> DataFrame:
+    """Tell exact copies apart by a number, so that even they can be cut into pieces.
 
-    Copies are adjacent in any order, a frame spans seven rows, and dedup keeps only the first copy, so copies beyond the
-    seventh can affect no result. They are counted on the map side: a group of copies never travels as a whole.
+    Copies are counted on the map side: a group of copies never travels as a whole. ``at_most`` shortens their runs.
     """
     counted = rows.groupBy(*rows.columns).agg(count_rows().alias("_copies"))
-    each = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(FRAME_ROWS)).cast("int")))
-    return counted.select("*", each.alias("_copy")).drop("_copies", "_copy")
-
-
-def _without_long_runs(rows: DataFrame, piece: Sequence[str], max_group_rows: int) -> DataFrame:
-    """Shorten copies in the pieces that stayed too large after cutting, which only rows of equal key can cause.
-
-    Their number is at most (rows / max_group_rows), so the list is broadcast. Where there are none, no row is moved.
-    """
-    crowded = rows.groupBy(*piece).count().where(F.col("count") > 2 * max_group_rows).select(*piece)
-    if crowded.isEmpty():
-        return rows
-    crowded = F.broadcast(crowded)
-    runs = _frame_copies(rows.join(crowded, list(piece), "left_semi"))
-    return rows.join(crowded, list(piece), "left_anti").unionByName(runs)
+    last = F.least(F.col("_copies"), F.lit(at_most)) if at_most else F.col("_copies")
+    return counted.withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("bigint"), last))).drop("_copies")
 
 
 def _roll_cut_groups(
-    rows: DataFrame,
-    group: Sequence[str],
-    within: Sequence[str],
-    order_by: Sequence[str],
-    value: str,
-    output: str,
-    max_group_rows: int,
-    shorten_copies: bool,
+    rows: DataFrame, total: int, group: Sequence[str], order: Sequence[str], value: str, output: str, max_group_rows: int, shorten_copies: bool
 ) -> DataFrame:
-    """The rolling mean for groups too large for one task. ``within`` leads the order inside a group."""
-    # One never-null key per group lets the carry join reuse the window's own partitioning.
+    """The rolling mean for groups too large for one task. ``total`` is the number of rows."""
+    # Copies are adjacent in any order, a frame spans seven rows, and dedup keeps only the first copy, so where dedup
+    # follows, copies beyond the seventh can affect no result.
+    numbered = _numbered_copies(rows, FRAME_ROWS if shorten_copies else None)
     group_key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in group])
-    rows = rows.withColumn(_GROUP, group_key)
-    cell, key = [_GROUP, *within], order_by[0]
-
-    # Only oversize cells are listed, so there are at most (rows / max_group_rows) of them: safe to broadcast.
-    number = F.col(key).cast("double")
-    sizes = (
-        rows.groupBy(*cell)
-        .agg(count_rows().alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
-        .where(F.col("_n") > max_group_rows)
-        .select(*cell, "_lo", "_hi", F.ceil(F.col("_n") / max_group_rows).alias("_pieces"))
-    )
-    piece = [*cell, _PIECE]
-    once = _with_piece(rows, sizes, cell, key)
-    if shorten_copies:
-        once = _without_long_runs(once, piece, max_group_rows)
+    order = [*order, _COPY]
+    keyed = numbered.withColumn(_GROUP, group_key)
+    # Twice as many pieces as needed: ranges are drawn from a sample.
+    dealt = keyed.repartitionByRange(-(-2 * total // max_group_rows), _GROUP, *_ascending(order))
+    rows = _stored(dealt.withColumn(_PIECE, F.spark_partition_id().cast("bigint")), "pieces")
+    piece = [_GROUP, _PIECE]
 
     # The last rows of every piece. Ranking with a limit is cut down on the map side, so only these rows are shuffled.
-    backwards = Window.partitionBy(*piece).orderBy(*_descending(order_by))
+    backwards = Window.partitionBy(*piece).orderBy(*_descending(order))
     tails = (
-        _with_piece(rows.select(*cell, *order_by, value), sizes, cell, key)
+        rows.select(*piece, *order, value)
         .withColumn("_back", F.row_number().over(backwards))
         .where(F.col("_back") < FRAME_ROWS)
         .groupBy(*piece)
@@ -135,23 +103,22 @@ def _roll_cut_groups(
         .select(*piece, F.col("tail.v").alias("tail"))
     )
     # Every piece has at least one row, so the six pieces before it always hold the six rows before it.
-    before = Window.partitionBy(_GROUP).orderBy(*_ascending([*within, _PIECE])).rowsBetween(-(FRAME_ROWS - 1), -1)
-    carried = F.flatten(F.collect_list("tail").over(before))
-    carry = tails.select(*piece, carried.alias("_carried"))
+    before = Window.partitionBy(_GROUP).orderBy(_PIECE).rowsBetween(-(FRAME_ROWS - 1), -1)
+    carry = tails.select(*piece, F.flatten(F.collect_list("tail").over(before)).alias("_carried"))
 
-    in_order = Window.partitionBy(*piece).orderBy(*_ascending(order_by))
+    in_order = Window.partitionBy(*piece).orderBy(*_ascending(order))
     frame = in_order.rowsBetween(-(FRAME_ROWS - 1), Window.currentRow)
-    own = once.withColumns(
+    own = rows.withColumns(
         {
             "_sum": F.sum(value).over(frame),
             "_known": F.count(value).over(frame),
-            _POSITION: F.row_number().over(in_order).cast("bigint"),
+            "_at": F.row_number().over(in_order).cast("bigint"),
         }
     )
     joined = own.join(carry, piece, "left")
 
     # A row near the start of its piece still lacks (7 - position) rows; they are the last ones carried in.
-    lacking = (F.lit(FRAME_ROWS) - F.col(_POSITION)).cast("int")
+    lacking = (F.lit(FRAME_ROWS) - F.col("_at")).cast("int")
     available = F.coalesce(F.array_size("_carried"), F.lit(0))
     taken = F.when(
         (lacking > 0) & (available > 0),
@@ -159,10 +126,12 @@ def _roll_cut_groups(
     ).otherwise(F.slice("_carried", F.lit(1), F.lit(0)))
     known = F.filter(taken, lambda v: v.isNotNull())
     extra = F.coalesce(F.aggregate(known, F.lit(0).cast("bigint"), lambda a, v: a + v), F.lit(0))
-    total = F.coalesce(F.col("_sum"), F.lit(0)) + extra
+    total_value = F.coalesce(F.col("_sum"), F.lit(0)) + extra
     count = F.col("_known") + F.coalesce(F.array_size(known), F.lit(0))
-    return joined.withColumn(output, F.try_divide(total.cast("double"), count)).drop(
-        _GROUP, _PIECE, "_sum", "_known", "_carried"
+    # Positions grow from piece to piece as well.
+    position = F.shiftleft(F.col(_PIECE), 32) + F.col("_at")
+    return joined.withColumns({output: F.try_divide(total_value.cast("double"), count), _POSITION: position}).drop(
+        _GROUP, _PIECE, _COPY, "_sum", "_known", "_at", "_carried"
     )
 
 
@@ -176,20 +145,21 @@ def _roll(
     max_group_rows: int,
     shorten_copies: bool,
 ) -> DataFrame:
-    group = [*batch, *ROUTE]
+    group, order = [*batch, *ROUTE], [*within, *order_by]
     large = flights.groupBy(*group).count().where(F.col("count") > max_group_rows)
-    if large.isEmpty():
-        return _roll_whole_groups(flights, group, [*within, *order_by], value, output)
+    total = large.agg(F.sum("count")).first()[0]
+    if total is None:
+        return _roll_whole_groups(flights, group, order, value, output)
 
-    # At most (rows / max_group_rows) groups can be large: safe to broadcast.
-    listed = F.broadcast(large.select(*[F.col(c).alias(f"_large_{c}") for c in group]))
+    listed = large.select(*[F.col(c).alias(f"_large_{c}") for c in group], F.lit(True).alias(_LARGE))
     is_listed = F.lit(True)
     for c in group:
         is_listed = is_listed & F.col(c).eqNullSafe(F.col(f"_large_{c}"))
-    small_rows = flights.join(listed, is_listed, "left_anti")
-    large_rows = flights.join(listed, is_listed, "left_semi")
-    whole = _roll_whole_groups(small_rows, group, [*within, *order_by], value, output)
-    cut = _roll_cut_groups(large_rows, group, within, order_by, value, output, max_group_rows, shorten_copies)
+    marked = flights.join(listed, is_listed, "left").select(*flights.columns, F.coalesce(_LARGE, F.lit(False)).alias(_LARGE))
+    copy = _stored(marked, "routes", [_LARGE])
+    part = lambda which: copy.where(F.col(_LARGE) == which).select(*flights.columns)
+    whole = _roll_whole_groups(part(False), group, order, value, output)
+    cut = _roll_cut_groups(part(True), total, group, order, value, output, max_group_rows, shorten_copies)
     return whole.unionByName(cut)
 
 
@@ -253,7 +223,7 @@ def silver_flights(
 
 
 def incremental_window(
-    fact: DataFrame,
+    fact: DataFrame | str,
     staged: DataFrame,
     order_by: Sequence[str] | None = None,
     days: int = 7,
@@ -263,15 +233,17 @@ def incremental_window(
     """``silver_flights`` for a new batch whose frames may reach back into the stored fact.
 
     Only fact rows of the last ``days`` days before ``latest`` are read (partition-pruned), without the flights the batch
-    replaces. ``latest`` is the fact's last flight date; without it, it is looked up, which opens every file of the fact. At
-    equal date, stored rows come before the batch's.
+    replaces. ``latest`` is the fact's last flight date; without it, it is taken from the partition directories if ``fact`` is
+    a path, and looked up in the rows if it is a frame. At equal date, stored rows come before the batch's, by their key.
     """
     rows, order = _ordered(staged, order_by, ())
-    last = latest or fact.agg(F.max("flight_date")).first()[0]
-    # Stored rows of equal date are ordered by their key; its first fifteen hex digits are a number in the same order.
-    key, others = order[0], order[1:]
+    if isinstance(fact, str):
+        last = latest or max(partition_dates(staged.sparkSession, fact, "flight_date"), default=None)
+        fact = read_fact(staged.sparkSession, fact)
+    else:
+        last = latest or fact.agg(F.max("flight_date")).first()[0]
     batch = rows.withColumns(
-        {"_in_batch": F.lit(1), "_order_key": F.col(key).cast("bigint"), "_flight_key": surrogate_key(*map(F.col, FLIGHT))}
+        {"_in_batch": F.lit(1), "_stored_key": F.lit(None).cast("string"), "_flight_key": surrogate_key(*map(F.col, FLIGHT))}
     )
     if last is None:
         history = batch.limit(0)
@@ -279,19 +251,12 @@ def incremental_window(
         history = (
             fact.where(F.col("flight_date") >= F.lit(last - timedelta(days=days)))
             .join(batch.select(F.col("_flight_key").alias("flight_key")), "flight_key", "left_anti")
-            .select(
-                *ROUTE,
-                "flight_date",
-                "dep_delay_min",
-                F.col("flight_key").alias("_flight_key"),
-                F.conv(F.substring("flight_key", 1, 15), 16, 10).cast("bigint").alias("_order_key"),
-                F.lit(0).alias("_in_batch"),
-            )
+            .select(*ROUTE, "flight_date", "dep_delay_min", F.col("flight_key").alias("_stored_key"), F.lit(0).alias("_in_batch"))
         )
     together = batch.unionByName(history, allowMissingColumns=True)
     rolled = _roll(
         together,
-        ["_order_key", "_flight_key", *others],
+        ["_stored_key", *order],
         (),
         ["flight_date", "_in_batch"],
         "dep_delay_min",
@@ -299,6 +264,4 @@ def incremental_window(
         max_group_rows,
         shorten_copies=True,
     ).where(F.col("_in_batch") == 1)
-    return dedup_flights(rolled, [*order, _POSITION]).drop(
-        "_row_hash", _POSITION, "_in_batch", "_order_key", "_flight_key"
-    )
+    return dedup_flights(rolled, [*order, _POSITION]).drop("_row_hash", _POSITION, "_in_batch", "_stored_key", "_flight_key")

@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import discard, path_exists, shared_dir
+from ..session import discard, mark, path_exists
 from ..sources.sinks import write_mart
+from ..sources.tables import read_dates
 
 FACT_KEY = "flight_key"
 FACT_PARTITION = "flight_date"
@@ -19,31 +20,45 @@ def touched_dates(batch: DataFrame) -> list[date]:
     return [r[0] for r in batch.select(FACT_PARTITION).distinct().collect()]
 
 
+def _staging(fact_path: str) -> str:
+    return f"{fact_path.rstrip('/')}.upsert"
+
+
+def finish_upsert(spark: SparkSession, fact_path: str) -> bool:
+    """Complete an upsert that broke off after its rows were staged, or clear one that broke off before. Tells which."""
+    staging = _staging(fact_path)
+    ready = path_exists(spark, f"{staging}/READY")
+    if ready:
+        result = spark.read.parquet(f"{staging}/batch")
+        if path_exists(spark, f"{staging}/survivors"):
+            result = result.unionByName(spark.read.parquet(f"{staging}/survivors"))
+        write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
+    if path_exists(spark, staging):
+        discard(spark, staging)
+    return ready
+
+
 def upsert_fact(spark: SparkSession, fact_path: str, batch: DataFrame) -> tuple[int, list[date]]:
     """Replace the fact's rows that share a key with ``batch`` and insert the rest. Returns the batch's row count and the
     flight dates it touched.
 
-    The key contains the flight date, so a key never changes partition and only the touched dates are rewritten. The batch
-    and the surviving old rows are first written under the shared folder, and the touched dates are then rebuilt from those
-    copies alone. So nothing is read from the partitions being replaced, the batch is computed once, and every step can be
-    repeated if it is interrupted. The copies are removed only after the fact is complete.
+    The key contains the flight date, so a key never changes partition and only the touched dates are listed, read and
+    rewritten. The batch and the surviving old rows are first written beside the fact, under a fixed name, and marked ready;
+    the touched dates are then rebuilt from those copies alone. So nothing is read from the partitions being replaced, and an
+    upsert that breaks off at any point loses nothing: the next one first finishes what is marked ready and clears what is not.
     """
+    finish_upsert(spark, fact_path)
+    staging = _staging(fact_path)
     # The copies are not partitioned, so writing them moves no rows; only the final write groups rows by date.
-    staging = shared_dir(spark, "upsert")
     incoming_rows = write_mart(batch, f"{staging}/batch")
     if not incoming_rows:
         discard(spark, staging)
         return 0, []
     incoming = spark.read.parquet(f"{staging}/batch")
     touched = touched_dates(incoming)
-    result = incoming
-    if path_exists(spark, fact_path):
-        fact = spark.read.parquet(fact_path)
-        survivors = fact.where(F.col(FACT_PARTITION).isin(touched)).join(
-            incoming.select(FACT_KEY), FACT_KEY, "left_anti"
-        )
-        if write_mart(survivors, f"{staging}/survivors"):
-            result = incoming.unionByName(spark.read.parquet(f"{staging}/survivors"))
-    write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
-    discard(spark, staging)
+    stored = read_dates(spark, fact_path, touched, FACT_PARTITION)
+    if stored is not None:
+        write_mart(stored.join(incoming.select(FACT_KEY), FACT_KEY, "left_anti"), f"{staging}/survivors")
+    mark(spark, f"{staging}/READY")
+    finish_upsert(spark, fact_path)
     return incoming_rows, touched

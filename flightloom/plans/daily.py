@@ -20,18 +20,23 @@ from ..operators import (
     category_mismatches,
     check,
     duplicate_keys,
+    finish_upsert,
     flatten_flights,
-    kpi_flights,
     stage_flights,
     undated_flights,
     upsert_fact,
 )
-from ..session import path_exists
+from ..operators.silver import MAX_GROUP_ROWS
+from ..session import discard, path_exists
 from ..sources import (
+    LandingError,
+    contract_failure,
+    landing_contract,
     observe_landed,
+    observed_dates,
+    read_dates,
     read_fact,
     read_flight_pages,
-    require_landed,
     scan_insert_dates,
     write_bronze,
     write_mart,
@@ -55,10 +60,11 @@ class Layout(NamedTuple):
 
 
 class RunReport(NamedTuple):
-    pages: dict[str, int]
+    pages: dict[str, dict[str, int]]  # by insert date
     bronze_rows: int
     fact_rows: int
     checks: list[CheckResult]
+    failed_dates: dict[str, str] = {}  # insert dates whose pages cannot be used, with the reason
 
 
 class QualityError(Exception):
@@ -77,10 +83,11 @@ def rebuild_marts(spark: SparkSession, layout: Layout, touched: Sequence | None
     Every measure belongs to one flight date, so only the touched dates of the fact are read: ``route_daily`` and the hourly
     sums are replaced for those dates, and the heatmap and the weeks are added up from the stored sums.
     """
-    fact = read_fact(spark, layout.fact)
     routes, hours = f"{layout.marts}/route_daily", f"{layout.marts}/day_hours"
     everything = touched is None or not path_exists(spark, hours)
-    changed = fact if everything else fact.where(F.col("flight_date").isin(list(touched)))
+    changed = read_fact(spark, layout.fact) if everything else read_dates(spark, layout.fact, touched)
+    if changed is None:
+        return
     write_mart(marts.route_daily(changed), routes, ["flight_date"], only_touched=not everything)
     write_mart(marts.day_hours(changed), hours, ["flight_date"], only_touched=not everything)
 
@@ -96,36 +103,65 @@ def run_batches(
     insert_dates: Sequence[str],
     tie_break: Sequence[str] | None = None,
     stop_on_error: bool = False,
+    strict: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> RunReport:
-    """Load the given insert dates end to end.
+    """Load the given insert dates end to end. However dates are grouped into runs, the tables come out the same.
 
     ``tie_break`` names bronze columns that order otherwise equal rows (default: a hash of the row). With ``stop_on_error``
-    a failing check raises before the next layer is written; otherwise results are only reported.
+    a failing check raises before the marts are built; otherwise results are only reported. The landing contract holds for each
+    date by itself: a date that breaks it is left out and keeps its old bronze, the others are loaded, and then ``LandingError``
+    is raised, with the report of what was loaded as its ``report``. ``strict`` makes the contract refuse error documents and
+    unparsable pages, and the category check find wrong categories on unknown delays.
     """
     pages = read_flight_pages(spark, layout.raw, insert_dates)
-    counted, landed = observe_landed(pages)
+    if strict:
+        # Decided before anything is written, since a refused date may hold flights.
+        counts = {str(r["insert_date"]): r.asDict() for r in landing_contract(pages, by="insert_date").collect()}
+        refused = {d: reason for d in insert_dates if (reason := contract_failure(counts.get(d, {"pages": 0}), True))}
+        pages = pages.where(~F.col("insert_date").cast("string").isin([*refused])) if refused else pages
+    counted, seen = observe_landed(pages, insert_dates)
     # One date needs no shuffle to keep its files together.
     bronze_rows = write_bronze(flatten_flights(counted), layout.bronze, rebalance=len(insert_dates) > 1)
-    if not bronze_rows:
-        # Nothing was written or replaced. Either there were no flights that day, or the input is unusable: this raises.
-        return RunReport(require_landed(pages), 0, 0, [])
-
+    landed = observed_dates(seen, insert_dates)
+    failed = {day: reason for day, counts in landed.items() if (reason := contract_failure(counts))}
+    if strict:
+        failed = refused
+    loaded = [day for day in insert_dates if day not in failed]
+    for day in loaded:
+        if not landed[day]["flights"] and path_exists(spark, f"{layout.bronze}/insert_date={day}"):
+            discard(spark, f"{layout.bronze}/insert_date={day}")  # the date has no flights any more
+    filled = [day for day in loaded if landed[day]["flights"]]
+    report = _load(spark, layout, filled, tie_break, stop_on_error, strict, max_group_rows) if filled else RunReport({}, 0, 0, [])
+    report = report._replace(pages=landed, bronze_rows=bronze_rows, failed_dates=failed)
+    if failed:
+        error = LandingError("; ".join(f"{day}: {reason}" for day, reason in failed.items()))
+        error.report = report
+        raise error
+    return report
+
+
+def _load(
+    spark: SparkSession, layout: Layout, insert_dates: Sequence[str], tie_break: Sequence[str] | None, stop_on_error: bool, strict: bool, max_group_rows: int
+) -> RunReport:
+    """Bronze of some insert dates → fact → marts, with the checks."""
     bronze = scan_insert_dates(spark, layout.bronze, insert_dates)
     undated = check(undated_flights(bronze), "flight_date_not_null", layout.metadata)
     checks = [_graded(undated, stop_on_error)]
 
+    finish_upsert(spark, layout.fact)
     staged = stage_flights(bronze, keep=("insert_date", *(tie_break or ())))
-    categories = check(category_mismatches(kpi_flights(staged)), "delay_category", layout.metadata, warn_over=5)
-    checks.append(_graded(categories, stop_on_error))
-
-    fact = marts.fact_flights(staged, F.col("insert_date"), tie_break, batch="insert_date")
+    fact = marts.fact_flights(staged, F.col("insert_date"), tie_break, batch="insert_date", max_group_rows=max_group_rows)
     fact_rows, touched = upsert_fact(spark, layout.fact, fact)
-    # A key holds its date, so only the dates just written can have gained a duplicate.
-    written = read_fact(spark, layout.fact).where(F.col("flight_date").isin(touched))
+    if not touched:
+        return RunReport({}, 0, 0, checks)
+    # A key holds its date, so only the dates just written can have gained a duplicate or a wrong category.
+    written = read_dates(spark, layout.fact, touched)
+    checks.append(_graded(check(category_mismatches(written, strict), "delay_category", layout.metadata), stop_on_error))
     checks.append(_graded(check(duplicate_keys(written), "unique_flight_key", layout.metadata), stop_on_error))
 
     rebuild_marts(spark, layout, touched)
-    return RunReport(landed.get, bronze_rows, fact_rows, checks)
+    return RunReport({}, 0, fact_rows, checks)
 
 
 def register_tables(spark: SparkSession, layout: Layout) -> None:

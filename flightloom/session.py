@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +42,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory for written intermediates, inside the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors would not see it.
+    Where it is unset, as in tests, a single-machine session gets a temporary folder of its own; a cluster raises, because
+    its executors would not see such a folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="flightloom-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -63,6 +65,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def directories(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names of the directories right below a path, with their modification times in milliseconds. Files are not listed."""
+    files, target = _located(spark, path)
+    if not files.exists(target):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in files.listStatus(target) if s.isDirectory()}
+
+
+def has_children(spark: SparkSession, path: str) -> bool:
+    """Whether a directory holds anything. Only its first entry is looked at."""
+    files, target = _located(spark, path)
+    return files.listStatusIterator(target).hasNext()
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    files, target = _located(spark, path)
+    files.create(target, True).close()
+
+
 def discard(spark: SparkSession, directory: str) -> None:
     """Remove a directory that ``shared_dir`` made, once nothing reads it any more."""
     files, target = _located(spark, directory)

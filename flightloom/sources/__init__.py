@@ -2,31 +2,40 @@
 
 from .pages import (
     LandingError,
+    contract_failure,
     landed_dates,
     landing_audit,
     landing_contract,
     observe_landed,
+    observed_dates,
     read_flight_pages,
     require_landed,
 )
-from .reference import accepted, name_columns, read_reference, read_reference_csv, rejected
+from .reference import accepted, load_reference, name_columns, read_reference, read_reference_csv, rejected
 from .sinks import (
+    failures_path,
     store_failures,
     write_bronze,
     write_mart,
     write_reference,
 )
-from .tables import read_bronze, read_fact, scan_insert_date, scan_insert_dates
+from .tables import partition_dates, read_bronze, read_dates, read_fact, scan_insert_date, scan_insert_dates
 
 __all__ = [
     "LandingError",
     "accepted",
+    "contract_failure",
+    "failures_path",
     "landed_dates",
     "landing_audit",
     "landing_contract",
+    "load_reference",
     "name_columns",
     "observe_landed",
+    "observed_dates",
+    "partition_dates",
     "read_bronze",
+    "read_dates",
     "read_fact",
     "read_flight_pages",
     "read_reference",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import count_rows
 from ..schemas import CORRUPT, PAGE
+from ..session import directories, has_children
 
 
 class LandingError(Exception):
@@ -44,9 +45,11 @@ def read_flight_pages(spark: SparkSession, root: str, insert_dates: Sequence[str
 
 
 def landed_dates(spark: SparkSession, root: str) -> DataFrame:
-    """The insert dates that have landed files. Files are listed, not read."""
-    files = spark.read.format("binaryFile").load(root)
-    return files.select(F.col("insert_date").cast("date").alias("insert_date")).distinct()
+    """The insert dates that have landed files. One listing of the date directories; the files in them are not listed."""
+    prefix = "insert_date="
+    dates = [name.removeprefix(prefix) for name in directories(spark, root) if name.startswith(prefix)]
+    filled = [(day,) for day in dates if has_children(spark, f"{root.rstrip('/')}/{prefix}{day}")]
+    return spark.createDataFrame(filled, "insert_date string").select(F.col("insert_date").cast("date"))
 
 
 def _contract_counts() -> list[Column]:
@@ -58,29 +61,52 @@ def _contract_counts() -> list[Column]:
     ]
 
 
-def landing_contract(pages: DataFrame) -> DataFrame:
-    """One row of counts that decide whether the landed pages can be used."""
-    return pages.agg(*_contract_counts())
+def landing_contract(pages: DataFrame, by: str | None = None) -> DataFrame:
+    """One row of counts that decide whether the landed pages can be used, or one for each value of ``by``."""
+    return (pages.groupBy(by) if by else pages).agg(*_contract_counts())
 
 
-def observe_landed(pages: DataFrame) -> tuple[DataFrame, Observation]:
-    """The same counts, taken by whatever pass reads ``pages`` next."""
+def contract_failure(counts: Mapping[str, int], strict: bool = False) -> str | None:
+    """Why pages with these counts cannot be used: there are none, or none of them carries flight data. ``strict`` also
+    refuses any error document or unparsable page."""
+    if not counts["pages"]:
+        return "no pages found"
+    if not counts["data_pages"]:
+        return f"no page has flight data: {dict(counts)}"
+    if strict and (counts["corrupt_pages"] or counts["error_pages"]):
+        return f"unusable pages: {dict(counts)}"
+    return None
+
+
+def observe_landed(pages: DataFrame, insert_dates: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """The contract's counts and the flights of each insert date, taken by whatever pass reads ``pages`` next. Read them with
+    ``observed_dates``."""
     seen = Observation()
-    return pages.observe(seen, *_contract_counts()), seen
+    flights = F.coalesce(F.array_size("page.data"), F.lit(0))
+    measures = []
+    for at, day in enumerate(insert_dates):
+        own = F.col("insert_date") == F.lit(day).cast("date")
+        measures += [
+            F.count_if(own).alias(f"pages_{at}"),
+            F.count_if(own & F.col(f"page.{CORRUPT}").isNotNull()).alias(f"corrupt_pages_{at}"),
+            F.count_if(own & F.col("page.error").isNotNull()).alias(f"error_pages_{at}"),
+            F.count_if(own & F.col("page.data").isNotNull()).alias(f"data_pages_{at}"),
+            F.sum(F.when(own, flights).otherwise(0)).alias(f"flights_{at}"),
+        ]
+    return pages.observe(seen, *measures), seen
+
+
+def observed_dates(seen: Observation, insert_dates: Sequence[str]) -> dict[str, dict[str, int]]:
+    """What ``observe_landed`` counted, by insert date."""
+    names, values = ("pages", "corrupt_pages", "error_pages", "data_pages", "flights"), seen.get
+    return {day: {n: values.get(f"{n}_{at}") or 0 for n in names} for at, day in enumerate(insert_dates)}
 
 
 def require_landed(pages: DataFrame, strict: bool = False) -> dict[str, int]:
-    """Raise ``LandingError`` unless there is at least one page and at least one of them carries flight data.
-
-    ``strict`` also refuses any error document or unparsable page.
-    """
+    """Raise ``LandingError`` unless the pages fulfil the contract, see ``contract_failure``."""
     counts = landing_contract(pages).first().asDict()
-    if not counts["pages"]:
-        raise LandingError("no pages found")
-    if not counts["data_pages"]:
-        raise LandingError(f"no page has flight data: {counts}")
-    if strict and (counts["corrupt_pages"] or counts["error_pages"]):
-        raise LandingError(f"unusable pages: {counts}")
+    if failure := contract_failure(counts, strict):
+        raise LandingError(failure)
     return counts
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import CORRUPT, REFERENCE_DATASETS, Dataset
 from .pages import LandingError
+from .sinks import store_failures, write_reference
 
 logger = logging.getLogger(__name__)
 
@@ -27,7 +28,9 @@ def read_reference_csv(spark: SparkSession, path: str, dataset: Dataset) -> Data
     schema = ", ".join(f"`{name}` string" for name in (*dataset.columns, CORRUPT))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "nullValue": NULL_MARKER}
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    return lines.select(F.from_csv("value", schema, options).alias("line")).select("line.*")
+    # A filter on the corrupt-record column cannot pass the generator; below the parse it would parse every line again.
+    parsed = F.posexplode_outer(F.array(F.from_csv("value", schema, options))).alias("at", "line")
+    return lines.select(parsed).select("line.*")
 
 
 def accepted(lines: DataFrame) -> DataFrame:
@@ -66,3 +69,14 @@ def read_reference(
     if failures:
         raise LandingError("cannot read " + "; ".join(failures))
     return frames
+
+
+def load_reference(
+    spark: SparkSession, raw_dir: str, bronze_root: str, metadata_root: str | None = None, datasets: dict[str, Dataset] = REFERENCE_DATASETS
+) -> dict[str, tuple[int, int]]:
+    """Load every dataset in one go: well-formed lines to ``<bronze_root>/<name>.parquet``, malformed ones to
+    ``<metadata_root>/<name>_rejects``. Returns the rows of both for each dataset."""
+    frames = read_reference(spark, raw_dir, datasets)
+    written = write_reference({name: accepted(df) for name, df in frames.items()}, bronze_root)
+    rejects = {name: store_failures(rejected(df), metadata_root, f"{name}_rejects") if metadata_root else rejected(df).count() for name, df in frames.items()}
+    return {name: (written.get(name, 0), rejects[name]) for name in frames}

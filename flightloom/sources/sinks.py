@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 
 from ..functions import count_rows
+from ..session import discard
 
 logger = logging.getLogger(__name__)
 
@@ -65,15 +66,25 @@ def write_reference(
     frames: Mapping[str, DataFrame | None],
     root: str,
     compression: str = DEFAULT_COMPRESSION,
-    max_output_files: int = 2,
+    max_output_files: int | None = None,
 ) -> dict[str, int]:
-    """Write each dataset to ``<root>/<name>.parquet``; absent and empty ones are skipped. Returns rows per dataset written."""
+    """Write each dataset to ``<root>/<name>.parquet``. Returns rows per dataset; absent and empty ones are left out, and an
+    empty one leaves no table behind.
+
+    Files get the advisory size. ``max_output_files`` caps their number instead, and with it the writing tasks, so it is for
+    small datasets only.
+    """
     written: dict[str, int] = {}
     for name, df in frames.items():
-        if df is None or df.isEmpty():
-            logger.warning("skipping %s: no rows", name)
+        path = f"{root.rstrip('/')}/{name}.parquet"
+        sized = None if df is None else df if max_output_files else df.hint("rebalance")
+        rows = 0 if sized is None else _write(sized, path, [], compression, max_output_files)
+        if rows:
+            written[name] = rows
             continue
-        written[name] = _write(df, f"{root.rstrip('/')}/{name}.parquet", [], compression, max_output_files)
+        logger.warning("skipping %s: no rows", name)
+        if df is not None:
+            discard(df.sparkSession, path)
     logger.info("%d datasets, %d rows written", len(written), sum(written.values()))
     return written
 
@@ -85,8 +96,10 @@ def write_mart(
     return _write(df, path, partition_by, DEFAULT_COMPRESSION, None, only_touched)
 
 
-def store_failures(failing: DataFrame, metadata_root: str, check: str) -> str:
-    """Keep a check's failing rows under ``<metadata_root>/<check>`` and return that path."""
-    path = f"{metadata_root.rstrip('/')}/{check}"
-    failing.write.mode("overwrite").parquet(path)
-    return path
+def failures_path(metadata_root: str, check: str) -> str:
+    return f"{metadata_root.rstrip('/')}/{check}"
+
+
+def store_failures(failing: DataFrame, metadata_root: str, check: str) -> int:
+    """Keep a check's failing rows under ``failures_path`` and return their number, counted as they are written."""
+    return _write(failing, failures_path(metadata_root, check), [], DEFAULT_COMPRESSION)

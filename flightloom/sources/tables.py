@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import directories, path_exists
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -34,3 +35,17 @@ def scan_insert_date(spark: SparkSession, root: str, insert_date: str) -> DataFr
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """The stored fact (or mart). Filters on ``flight_date`` prune its partitions."""
     return spark.read.parquet(path)
+
+
+def partition_dates(spark: SparkSession, path: str, column: str) -> list[date]:
+    """The dates for which a table partitioned by ``column`` has a directory. One listing, however many files it holds."""
+    prefix = f"{column}="
+    values = [name.removeprefix(prefix) for name in directories(spark, path) if name.startswith(prefix)]
+    return sorted(date.fromisoformat(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def read_dates(spark: SparkSession, path: str, dates: Sequence[date], column: str = "flight_date") -> DataFrame | None:
+    """Some dates of a partitioned table, listing only their directories; nothing if it has none of them."""
+    wanted = [f"{path.rstrip('/')}/{column}={day}" for day in dates]
+    there = [d for d in wanted if path_exists(spark, d)]
+    return spark.read.option("basePath", path).parquet(*there) if there else None

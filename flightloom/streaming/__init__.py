@@ -1,5 +1,5 @@
 """Incremental pickup of landed files."""
 
-from .landing import watch_landing
+from .landing import changed_dates, watch_landing
 
-__all__ = ["watch_landing"]
+__all__ = ["changed_dates", "watch_landing"]

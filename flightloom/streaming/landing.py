@@ -13,15 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import path_exists
+
 
 def watch_landing(
     spark: SparkSession,
     raw_root: str,
     checkpoint: str,
     on_dates: Callable[[list[str]], object],
+    max_file_age: str = "36500d",
+    max_files_per_trigger: int = 100_000,
 ) -> StreamingQuery:
     """Call ``on_dates`` with the insert dates of all files not seen before, then stop. Run it again to pick up what has
-    landed since."""
+    landed since.
+
+    A file counts as seen by its path, so one that is landed again under its own name is not picked up: ``changed_dates``
+    finds it, as does running its date by hand. ``max_file_age`` is how far behind the newest file seen a new file's time stamp
+    may lie; Spark's own default of seven days would pass over files that were copied with an older one.
+    """
 
     def pick_up(files: DataFrame, _: int) -> None:
         # Bounded by the calendar.
@@ -33,6 +42,8 @@ def watch_landing(
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFileAge", max_file_age)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(f"{raw_root.rstrip('/')}/insert_date=*")
     )
     landed = files.select(F.regexp_extract("path", "/insert_date=([^/]+)/", 1).alias("insert_date"))
@@ -42,3 +53,22 @@ def watch_landing(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def changed_dates(spark: SparkSession, raw_root: str, state: str) -> list[str]:
+    """The insert dates whose landed files are not those of the last call: new, gone, or landed again under the same name.
+
+    Files are listed by Spark, not read. ``state`` is a directory that remembers one fingerprint a date; it is replaced on each
+    call, so load the dates before the next one, or call again with the old state after a failure.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(f"{raw_root.rstrip('/')}/insert_date=*")
+    day = F.regexp_extract("path", "/insert_date=([^/]+)/", 1).alias("insert_date")
+    mark = F.xxhash64("path", "modificationTime", "length")
+    found = files.groupBy(day).agg(F.bit_xor(mark).alias("mark"), F.count(F.lit(1)).alias("files"))
+    now = {r["insert_date"]: (r["mark"], r["files"]) for r in found.collect()}  # bounded by the calendar
+    before = {}
+    if path_exists(spark, state):
+        before = {r["insert_date"]: (r["mark"], r["files"]) for r in spark.read.parquet(state).collect()}
+    rows = [(d, *v) for d, v in sorted(now.items())]
+    spark.createDataFrame(rows, "insert_date string, mark bigint, files bigint").coalesce(1).write.mode("overwrite").parquet(state)
+    return sorted(d for d in now.keys() | before.keys() if now.get(d) != before.get(d))

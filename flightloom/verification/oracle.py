@@ -43,22 +43,25 @@ SELECT event_id,
 FROM derived_events
 """
 
-MEASURES = """
+# The limits of the delay bands and of the parts of a day, and all column and answer names below.
+CATEGORY_RULES = """CASE WHEN dep_delay_min IS NULL THEN 'unknown' WHEN dep_delay_min <= -15 THEN 'early'
+       WHEN dep_delay_min <= 0 THEN 'ontime' WHEN dep_delay_min <= 15 THEN 'minor_delay'
+       WHEN dep_delay_min <= 45 THEN 'moderate_delay' ELSE 'severe_delay' END"""
+
+MEASURES = f"""
        CAST(dayofweek(flight_date) AS BIGINT) AS day_of_week,
        dayname(flight_date) AS day_of_week_name,
        coalesce(dayofweek(flight_date) IN (0, 6), FALSE) AS is_weekend,
        CAST(hour(dep_scheduled) AS BIGINT) AS dep_hour,
-       CASE WHEN hour(dep_scheduled) IN (5, 6, 7, 8, 9, 10, 11) THEN 'Morning'
-            WHEN hour(dep_scheduled) IN (12, 13, 14, 15, 16) THEN 'Afternoon'
-            WHEN hour(dep_scheduled) IN (17, 18, 19, 20, 21) THEN 'Evening'
+       CASE WHEN hour(dep_scheduled) BETWEEN 5 AND 11 THEN 'Morning'
+            WHEN hour(dep_scheduled) BETWEEN 12 AND 16 THEN 'Afternoon'
+            WHEN hour(dep_scheduled) BETWEEN 17 AND 21 THEN 'Evening'
             ELSE 'Night' END AS time_of_day,
        datediff('minute', dep_scheduled, arr_scheduled) AS scheduled_duration_min,
        datediff('minute', dep_actual, arr_actual) AS actual_duration_min,
        datediff('minute', dep_actual, arr_actual)
          - datediff('minute', dep_scheduled, arr_scheduled) AS duration_diff_min,
-       CASE WHEN dep_delay_min <= -15 THEN 'early' WHEN dep_delay_min <= 0 THEN 'ontime'
-            WHEN dep_delay_min <= 15 THEN 'minor_delay' WHEN dep_delay_min <= 45 THEN 'moderate_delay'
-            WHEN dep_delay_min IS NOT NULL THEN 'severe_delay' ELSE 'unknown' END AS delay_category,
+       {CATEGORY_RULES} AS delay_category,
        ifnull(dep_delay_min > 15, FALSE) AS is_delayed_15
 """
 
@@ -234,10 +237,6 @@ FROM (SELECT *, {MEASURES} FROM flights)
 """
 TO_RECATEGORISED = [*TO_FLIGHTS, ("recategorised", RECATEGORISED)]
 
-CATEGORY_RULES = """CASE WHEN dep_delay_min IS NULL THEN 'unknown' WHEN dep_delay_min > 45 THEN 'severe_delay'
-       WHEN dep_delay_min > 15 THEN 'moderate_delay' WHEN dep_delay_min > 0 THEN 'minor_delay'
-       WHEN dep_delay_min > -15 THEN 'ontime' ELSE 'early' END"""
-
 MISMATCHED = f"""
 SELECT * FROM recategorised WHERE delay_category <> ({CATEGORY_RULES})
    AND NOT (dep_delay_min IS NULL AND delay_category IN ('severe_delay', 'moderate_delay', 'minor_delay', 'ontime', 'early'))
@@ -300,7 +299,8 @@ ORACLE: dict[str, str] = {
     "k_time_of_day": _question(
         TO_FACT,
         """SELECT time_of_day, round(avg(dep_delay_min), 2) AS avg_delay_min FROM fact
-           WHERE dep_delay_min IS NOT NULL GROUP BY time_of_day""",
+           WHERE dep_delay_min IS NOT NULL GROUP BY time_of_day
+           ORDER BY CASE time_of_day WHEN 'Morning' THEN 1 WHEN 'Afternoon' THEN 2 WHEN 'Evening' THEN 3 ELSE 4 END""",
     ),
     "k_top_routes": _question(
         TO_ROUTE_DAILY,
@@ -423,10 +423,17 @@ ORACLE: dict[str, str] = {
     "reference_accepted": _with(
         [("route_lines", ROUTE_LINES)],
         """SELECT CAST(o_orderkey % 10 AS VARCHAR) AS airline_code, CAST(o_orderkey % 100 AS INTEGER) AS airline_id,
-                  CAST(o_custkey AS INTEGER) AS source_airport_id, CAST(o_orderkey AS INTEGER) AS destination_airport_id,
-                  CAST(o_orderkey % 3 AS SMALLINT) AS stops
+                  'C1' AS source_airport_code, CAST(o_custkey AS INTEGER) AS source_airport_id, 'C2' AS destination_airport_code,
+                  CAST(o_orderkey AS INTEGER) AS destination_airport_id, CAST(NULL AS VARCHAR) AS codeshare,
+                  CAST(o_orderkey % 3 AS SMALLINT) AS stops, '738' AS plane_type
            FROM route_lines WHERE NOT (o_orderkey % 37 = 0 OR o_orderkey % 41 = 0)""",
     ),
+    "reference_load": """
+        SELECT 'airports' AS dataset, count(*) AS rows, 0::BIGINT AS rejects FROM customer
+        UNION ALL SELECT 'airlines', count(*), 0 FROM supplier
+        UNION ALL SELECT 'routes', count(*) FILTER (NOT (o_orderkey % 37 = 0 OR o_orderkey % 41 = 0)),
+                         count(*) FILTER (o_orderkey % 37 = 0 OR o_orderkey % 41 = 0) FROM orders
+        UNION ALL SELECT 'planes', count(*), 0 FROM part UNION ALL SELECT 'countries', count(*), 0 FROM nation""",
     "dim_airports": """
         SELECT CAST(c_custkey AS INTEGER) AS airport_id, 'Aéroport, ' || c_name AS airport_name,
                c_mktsegment AS airport_city, 'Country ' || c_nationkey AS airport_country,
@@ -479,6 +486,18 @@ ORACLE: dict[str, str] = {
     ),
     "daily_run_fact": _with(TO_RUN_FACT, "SELECT * FROM fact"),
     "daily_run_route_daily": _with([*TO_RUN_FACT, ("route_daily", ROUTE_DAILY)], "SELECT * FROM route_daily"),
+    "daily_run_heatmap": _with([*TO_RUN_FACT, ("delay_heatmap", HEATMAP)], "SELECT * FROM delay_heatmap"),
+    "daily_run_weekly": _with([*TO_RUN_FACT, ("weeks", WEEKS), ("weekly_comparison", COMPARED)], "SELECT * FROM weekly_comparison"),
+    "daily_run_checks": _with(
+        [
+            *TO_PAGED,
+            ("runs", "SELECT * FROM (VALUES (1, DATE '2024-02-01', DATE '2024-02-04'), (2, DATE '2024-02-05', DATE '2024-02-07')) v(run, lo, hi)"),
+            ("dated", """SELECT run, count(*) FILTER (NOT is_error AND NOT is_cut AND try_cast(date_text AS DATE) IS NULL) AS failures
+                         FROM runs LEFT JOIN paged ON landed_on BETWEEN lo AND hi GROUP BY run"""),
+        ],
+        """SELECT run, 'flight_date_not_null' AS "check", failures, CASE WHEN failures > 0 THEN 'error' ELSE 'pass' END AS status FROM dated
+           UNION ALL SELECT run, 'delay_category', 0, 'pass' FROM runs UNION ALL SELECT run, 'unique_flight_key', 0, 'pass' FROM runs""",
+    ),
     # checks
     "check_undated": _with(TO_PAGED, UNDATED),
     "check_unique_key": _with(TO_FACT, REPEATED),
@@ -501,7 +520,7 @@ ORACLE: dict[str, str] = {
                 "counted",
                 """SELECT 'flight_date_not_null' AS "check", count(*) AS failures, 0 AS warn_over, 0 AS error_over FROM undated
                    UNION ALL SELECT 'unique_flight_key', count(*), 0, 0 FROM repeated
-                   UNION ALL SELECT 'delay_category', count(*), 5, 1000000000 FROM mismatched""",
+                   UNION ALL SELECT 'delay_category', count(*), 5, 0 FROM mismatched""",
             ),
         ],
         """SELECT "check", failures, failures AS stored,
@@ -514,6 +533,11 @@ ORACLE: dict[str, str] = {
 }
 # The same results by another way.
 ORACLE["rolling_route_delay_cut"] = ORACLE["rolling_route_delay"]
+ORACLE["rolling_route_delay_text_key"] = _with(
+    [*TO_FLIGHTS, ("rolled", ROLLED.format(batch="").replace("event_id ROWS", "'AAL' || event_id ROWS"))],
+    "SELECT event_id, dep_iata, arr_iata, flight_date, dep_delay_min, avg_delay_7d FROM rolled",
+)
+ORACLE["daily_run_fact_cut"] = ORACLE["daily_run_fact"]
 ORACLE["fct_flights_cut"] = ORACLE["fct_flights"]
 ORACLE["backfill"] = ORACLE["upsert_fact"]
 ORACLE["stored_failures"] = ORACLE["check_category"]

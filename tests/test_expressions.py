@@ -119,7 +119,7 @@ def test_category_agreement(spark):
 
 def test_kpis_of_a_known_flight(spark):
     flight = spark.createDataFrame(
-        [("2023-10-27", "2023-10-27T11:00:00+00:00", "2023-10-27T16:00:00+00:00", None, 13)],
+        [("2024-03-05", "2024-03-05T18:20:00+00:00", "2024-03-05T20:15:00+00:00", None, 31)],
         "flight_date string, dep_scheduled string, arr_scheduled string, missing string, dep_delay_min int",
     )
     others = [
@@ -128,7 +128,7 @@ def test_kpis_of_a_known_flight(spark):
     ]
     bronze = flight.withColumns({c: F.col("missing") for c in others})
     row = kpi_flights(stage_flights(bronze)).first()
-    assert (row.day_of_week, row.day_of_week_name, row.is_weekend) == (5, "Friday", False)
-    assert (row.dep_hour, row.time_of_day) == (11, "Morning")
-    assert (row.scheduled_duration_min, row.actual_duration_min, row.duration_diff_min) == (300, None, None)
-    assert (row.delay_category, row.is_delayed_15, row.avg_delay) == ("minor_delay", False, 13)
+    assert (row.day_of_week, row.day_of_week_name, row.is_weekend) == (2, "Tuesday", False)
+    assert (row.dep_hour, row.time_of_day) == (18, "Evening")
+    assert (row.scheduled_duration_min, row.actual_duration_min, row.duration_diff_min) == (115, None, None)
+    assert (row.delay_category, row.is_delayed_15, row.avg_delay) == ("moderate_delay", True, 31)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from flightloom.verification.registry import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -30,10 +31,11 @@ def in_order(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     frame = entry.queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)
@@ -46,6 +48,8 @@ def test_query(spark, duck, name):
 
     assert sorted(described) == columns
     assert in_order(got) == in_order(want)
+    if "ORDER BY" in entry.oracle_sql()[name].rpartition(")\n")[2] and name.startswith("k_"):
+        assert got == want  # the answer's own order
     kinds = {f.name: f.dataType.simpleString() for f in frame.schema}
     assert {c: TYPES.get(kinds[c], kinds[c].upper()) for c in columns} == {c: described[c] for c in columns}
 

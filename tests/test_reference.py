@@ -10,6 +10,7 @@ from flightloom.schemas import REFERENCE_DATASETS
 from flightloom.sources import (
     LandingError,
     accepted,
+    load_reference,
     name_columns,
     read_bronze,
     read_reference,
@@ -102,3 +103,15 @@ def test_missing_files_are_reported_together(spark, tmp_path):
         read_reference(spark, str(tmp_path))
     for dataset in REFERENCE_DATASETS.values():
         assert dataset.filename in str(failure.value)
+
+
+def test_one_load_for_all_files(spark, raw, tmp_path):
+    loaded = load_reference(spark, raw, str(tmp_path / "b"), str(tmp_path / "m"))
+    assert loaded == {"airports": (3, 2), "airlines": (1, 0), "routes": (1, 0), "planes": (1, 0), "countries": (0, 0)}
+    assert {r.first_cell for r in read_bronze(spark, str(tmp_path / "m" / "airports_rejects")).collect()} == {"3", "5"}
+
+
+def test_each_line_is_parsed_once(spark, raw):
+    lines = read_reference_csv(spark, f"{raw}/airports.dat", REFERENCE_DATASETS["airports"])
+    for frame in (accepted(lines), rejected(lines)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1

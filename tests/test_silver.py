@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,40 @@ def test_incremental_window_reaches_into_the_fact(spark, max_group_rows):
         if row.event_id in got:
             assert got[row.event_id] == (sum(known) / len(known) if known else None)
     assert len(got) == len({(r.flight_iata_full, r.flight_date) for r in incoming})
+
+
+@pytest.mark.parametrize("max_group_rows", [50, 1])
+@pytest.mark.parametrize("kind", ["digits", "letters", "timestamp", "nulls", "far off"])
+def test_any_key_gives_the_same_rows_at_any_limit(spark, kind, max_group_rows):
+    ids = F.col("event_id")
+    keys = {
+        "digits": ids.cast("string"),
+        "letters": F.concat(F.lit("AAL"), ids.cast("string")),
+        "timestamp": F.expr("timestampadd(SECOND, cast(event_id * 97 as int), timestamp_ntz'2024-01-01 00:00:00')"),
+        "nulls": F.when(ids != 5, ids.cast("string")),
+        "far off": F.when(ids == 7, F.lit(10**12)).otherwise(ids),
+    }
+    df = spark.createDataFrame(make_flights(9, n=150, hot_share=0.9), SCHEMA).withColumn("k", keys[kind])
+    whole = results(rolling_route_delay(df, ["k"]))
+    assert results(rolling_route_delay(df, ["k"], max_group_rows=max_group_rows)) == whole
+
+
+def test_pieces_stay_small_whatever_the_keys_look_like(spark):
+    """One far-off key and many exact copies."""
+    rows = make_flights(10, n=300, hot_share=1.0)
+    df = spark.createDataFrame(rows + [rows[3]] * 300, SCHEMA)
+    df = df.withColumn("k", F.when(F.col("event_id") == 7, F.lit(10**12)).otherwise(F.col("event_id")))
+    rolling_route_delay(df, ["k"], max_group_rows=50).collect()
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "flightloom"
+    newest = max(root.glob("pieces-*"), key=lambda p: p.stat().st_mtime)
+    sizes = [r["count"] for r in spark.read.parquet(str(newest)).groupBy("_group", "_piece").count().collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 600
+
+
+def test_incremental_window_orders_by_text(spark, tmp_path):
+    df = spark.createDataFrame(make_flights(11, n=120), SCHEMA).withColumn("k", F.concat(F.lit("AAL"), F.col("event_id").cast("string")))
+    split = F.lit("2024-01-03").cast("date")
+    fact_flights(df.where(F.col("flight_date") < split), "2024-02-01", ["k"]).write.partitionBy("flight_date").parquet(str(tmp_path / "f"))
+    batch = df.where(F.col("flight_date") >= split)
+    pairs = lambda frame: sorted((r.k, r.avg_delay_7d) for r in incremental_window(frame, batch, ["k"]).collect())
+    assert pairs(str(tmp_path / "f")) == pairs(spark.read.parquet(str(tmp_path / "f"))) != []

@@ -1,17 +1,19 @@
 """Sinks, upsert, checks, the daily run and the streaming pickup."""
 
 import hashlib
+import json
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from flightloom.operators import category_mismatches, check, duplicate_keys, upsert_fact
+from flightloom.operators import category_mismatches, check, duplicate_keys, finish_upsert, upsert_fact
 from flightloom.plans import marts
 from flightloom.plans.daily import Layout, QualityError, ask, register_tables, run_batches
 from flightloom.plans.serving import QUESTIONS
-from flightloom.sources import LandingError, read_fact, store_failures, write_bronze, write_mart
-from flightloom.streaming import watch_landing
+from flightloom.sources import LandingError, failures_path, read_fact, store_failures, write_bronze, write_mart
+from flightloom.streaming import changed_dates, watch_landing
 from tests.test_landing import FULL, flight, land, page
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
@@ -80,7 +82,8 @@ def test_check_grades(spark, tmp_path):
     assert check(failing.limit(0), "a", str(tmp_path))[1:3] == ("pass", 0)
     kept = check(failing, "b", str(tmp_path))
     assert kept.failures == 3 and spark.read.parquet(kept.stored_at).count() == 3
-    assert spark.read.parquet(store_failures(failing, str(tmp_path), "c")).count() == 3
+    assert store_failures(failing, str(tmp_path), "c") == 3
+    assert spark.read.parquet(failures_path(str(tmp_path), "c")).count() == 3
 
 
 def test_seeded_faults_are_found(spark):
@@ -139,26 +142,71 @@ def test_stored_tables_answer_plain_sql(spark, tmp_path):
     land(tmp_path / "raw", "2024-01-01", page(*[other(str(n), "2024-01-01", 20 * n) for n in range(6)]))
     run_batches(spark, layout, ["2024-01-01"])
     register_tables(spark, layout)
-    asked = spark.sql("""
-        SELECT route, ROUND(AVG(delayed_pct), 2) AS avg_delayed_pct, SUM(total_flights) AS total_flights
-        FROM fct_route_daily GROUP BY route HAVING SUM(total_flights) >= 5 ORDER BY 2 DESC LIMIT 10""")
-    assert asked.collect() == ask(spark, layout, "k_top_routes").collect() != []
+    asked = spark.sql("SELECT route, total_flights FROM fct_route_daily WHERE delayed_pct > 40 AND dep_iata = 'OSL'")
+    stored = read_fact(spark, f"{layout.marts}/route_daily")
+    assert [tuple(r) for r in asked.collect()] == [("OSL-TOS", 6)] and stored.count() == 1
+    assert [r.route for r in ask(spark, layout, "k_top_routes").collect()] == ["OSL-TOS"]
     for table in ("fct_flights", "delay_heatmap", "weekly_comparison"):
         assert spark.sql(f"SELECT * FROM {table}").count() > 0
 
 
-def test_unusable_pages_stop_the_run_and_write_nothing(spark, tmp_path):
+def test_the_contract_holds_for_each_date(spark, tmp_path):
+    """Whether dates are loaded one by one or together, the same ones fail and the others are loaded."""
     layout = Layout.under(str(tmp_path))
     land(tmp_path / "raw", "2024-01-01", {"error": "down"})
     land(tmp_path / "raw", "2024-01-02", page())
+    land(tmp_path / "raw", "2024-01-03", page(FULL))
     with pytest.raises(LandingError):
         run_batches(spark, layout, ["2024-01-01"])
     quiet = run_batches(spark, layout, ["2024-01-02"])  # a page without flights is not an error
-    assert (quiet.pages["data_pages"], quiet.bronze_rows, quiet.fact_rows) == (1, 0, 0)
+    assert (quiet.pages["2024-01-02"]["data_pages"], quiet.bronze_rows, quiet.fact_rows) == (1, 0, 0)
+    with pytest.raises(LandingError, match="2024-01-01") as failure:
+        run_batches(spark, layout, ["2024-01-01", "2024-01-02", "2024-01-03"])
+    report = failure.value.report
+    assert list(report.failed_dates) == ["2024-01-01"] and (report.bronze_rows, report.fact_rows) == (1, 1)
     land(tmp_path / "raw", "2024-01-01", page(FULL), "cut off {")
     report = run_batches(spark, layout, ["2024-01-01", "2024-01-02"])
-    assert report.pages == {"pages": 4, "corrupt_pages": 1, "error_pages": 1, "data_pages": 2}
-    assert report.bronze_rows == 1
+    assert report.pages["2024-01-01"] == {"pages": 3, "corrupt_pages": 1, "error_pages": 1, "data_pages": 1, "flights": 1}
+    with pytest.raises(LandingError, match="2024-01-01: unusable") as failure:
+        run_batches(spark, layout, ["2024-01-01", "2024-01-03"], strict=True)
+    assert failure.value.report.fact_rows == 1
+
+
+def test_a_date_that_lost_its_flights_loses_its_bronze(spark, tmp_path):
+    layout = Layout.under(str(tmp_path))
+    for day in ("2024-01-01", "2024-01-02"):
+        land(tmp_path / "raw", day, page(FULL))
+    run_batches(spark, layout, ["2024-01-01", "2024-01-02"])
+    (tmp_path / "raw" / "insert_date=2024-01-01" / "flights_page_0.json").write_text(json.dumps(page()))
+    run_batches(spark, layout, ["2024-01-01", "2024-01-02"])
+    assert [str(r.insert_date) for r in spark.read.parquet(layout.bronze).collect()] == ["2024-01-02"]
+
+
+def test_a_run_without_any_dated_flight_reports(spark, tmp_path):
+    layout = Layout.under(str(tmp_path))
+    land(tmp_path / "raw", "2024-01-01", page(flight(flight_date=None)))
+    report = run_batches(spark, layout, ["2024-01-01"])
+    assert (report.fact_rows, [c.status for c in report.checks]) == (0, ["error"])
+
+
+def test_an_upsert_that_breaks_off_loses_nothing(spark, tmp_path):
+    path, rows = str(tmp_path / "fact"), "flight_key string, flight_date date, n int"
+    day = date(2024, 1, 1)
+    upsert_fact(spark, path, spark.createDataFrame([("a", day, 1), ("b", day, 1)], rows))
+    # Staged and marked, the old partition already deleted: as a writer that dies between delete and move leaves it.
+    staging = f"{path}.upsert"
+    spark.createDataFrame([("b", day, 2), ("c", day, 2)], rows).write.parquet(f"{staging}/batch")
+    spark.createDataFrame([("a", day, 1)], rows).write.parquet(f"{staging}/survivors")
+    (tmp_path / "fact.upsert" / "READY").touch()
+    for part in (tmp_path / "fact" / "flight_date=2024-01-01").iterdir():
+        part.unlink()
+    upsert_fact(spark, path, spark.createDataFrame([("d", day, 3)], rows))
+    assert sorted((r.flight_key, r.n) for r in read_fact(spark, path).collect()) == [("a", 1), ("b", 2), ("c", 2), ("d", 3)]
+    assert not (tmp_path / "fact.upsert").exists()
+    # Broken off before the mark: cleared, nothing applied.
+    spark.createDataFrame([("z", day, 9)], rows).write.parquet(f"{staging}/batch")
+    assert finish_upsert(spark, path) is False
+    assert read_fact(spark, path).count() == 4
 
 
 def test_a_failed_check_stops_the_run_before_the_fact(spark, tmp_path):
@@ -194,3 +242,20 @@ def test_streaming_pickup_loads_each_landed_date(spark, tmp_path):
     assert loaded[1:] == [["2024-01-02"]]
     assert read_fact(spark, layout.fact).count() == 3
     assert spark.read.parquet(layout.bronze).count() == 3
+
+
+def test_pickup_of_old_time_stamps_and_of_pages_landed_again(spark, tmp_path):
+    raw, seen = tmp_path / "raw", []
+    pick_up = lambda: watch_landing(spark, str(raw), str(tmp_path / "seen"), seen.append).awaitTermination()
+    changed = lambda: changed_dates(spark, str(raw), str(tmp_path / "state"))
+    land(raw, "2024-01-01", page(FULL))
+    pick_up()
+    assert changed() == ["2024-01-01"]
+    land(raw, "2024-01-02", page(FULL))
+    old = (raw / "insert_date=2024-01-02" / "flights_page_0.json").stat().st_mtime - 10 * 86400
+    os.utime(raw / "insert_date=2024-01-02" / "flights_page_0.json", (old, old))
+    pick_up()
+    assert seen == [["2024-01-01"], ["2024-01-02"]]
+    assert changed() == ["2024-01-02"]
+    (raw / "insert_date=2024-01-01" / "flights_page_0.json").write_text(json.dumps(page(FULL, FULL)))
+    assert changed() == ["2024-01-01"] and changed() == []
