@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame
 
 from .common import keyed_texts, map_batches, small_batches
 
-#: Entries of a task's cache.
-CACHE = 300_000
+#: Plain words that each generation of a worker's cache holds.
+CACHE = 350_000
+#: Below this character ``str.isalpha`` and the pattern's letters are the same in every Unicode version.
+_PLAIN_BELOW = "\u0250"
 _SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 ENCODED = "doc_id long, ids binary"
@@ -130,38 +132,65 @@ def text_encoder(vocabulary: Vocabulary, pattern: str, cache_size: int = CACHE)
     """Ids of a text as little-endian 32-bit integers; each match of ``pattern`` is encoded on its own.
 
     A single space between two other characters always starts a match, so the stretches between those spaces are encoded
-    apart and remembered.
+    apart. A stretch of letters is one match with its space. Matches are remembered, and so are short stretches of several.
     """
     import regex
 
-    find = regex.compile(pattern).findall
-    of_match: dict[str, bytes] = {}
+    find, merge = regex.compile(pattern).findall, vocabulary.encode
+    others: dict[str, bytes] = {}  # matches and stretches that are not plain words
 
     class Stretches(dict):
+        """Plain words by what follows their space, in two generations: a full one becomes the old one, from which words that
+        occur again come back."""
+
+        old: dict[str, bytes] = {}
+
         def __missing__(self, stretch: str) -> bytes:
-            ids = b""
-            for match in find(stretch):
-                known = of_match.get(match)
-                if known is None:
-                    known = array("I", vocabulary.encode(match.encode())).tobytes()
-                    if len(of_match) >= cache_size:
-                        of_match.clear()
-                    if len(match) < 64:
-                        of_match[match] = known
-                ids += known
+            if not (stretch.isalpha() and max(stretch) < _PLAIN_BELOW):
+                return mixed(stretch)
+            ids = self.old.get(stretch)
+            if ids is None:
+                ids = array("I", merge(b" " + stretch.encode())).tobytes()
             if len(self) >= cache_size:
+                self.old = dict(self)
                 self.clear()
             if len(stretch) < 64:
                 self[stretch] = ids
             return ids
 
-    later, first = Stretches(), Stretches()
+    def mixed(stretch: str) -> bytes:
+        whole = " " + stretch
+        ids = others.get(whole)
+        if ids is not None:
+            return ids
+        before, ids = len(others), b""
+        for match in find(whole):
+            plain = match[0] == " " and match[1:].isalpha() and max(match) < _PLAIN_BELOW
+            ids += later[match[1:]] if plain else other(match)
+        if len(others) == before and len(whole) < 24:
+            remember(whole, ids)
+        return ids
+
+    def other(match: str) -> bytes:
+        ids = others.get(match)
+        if ids is None:
+            ids = array("I", merge(match.encode())).tobytes()
+            if len(match) < 64:
+                remember(match, ids)
+        return ids
+
+    def remember(text: str, ids: bytes) -> None:
+        if len(others) >= cache_size // 3:
+            others.clear()
+        others[text] = ids
+
+    later = Stretches()
 
     def encode(text: str) -> bytes:
         if not text:
             return b""
         parts = text.split(" ") if not _SPACES.search(text) and text[-1] != " " else _SAFE_CUT.split(text)
-        return first[parts[0]] + b"".join([later[" " + p] for p in parts[1:]])
+        return b"".join([*map(other, find(parts[0])), *map(later.__getitem__, parts[1:])])
 
     return encode
 
@@ -210,5 +239,22 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return map_batches(encoded.select("doc_id", "ids"), make, ENCODED + ", decoded binary")
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in one pass over the documents: doc_id, ids, and the bytes that the ids stand for."""
+    small_batches(docs.sparkSession)
+
+    def make():
+        vocabulary, to_ids = _vocabulary_of_worker(ranks_path), _encoder_of_worker(ranks_path, pattern)
+
+        def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
+            ids = [to_ids(t or "") for t in batch.column(1).to_pylist()]
+            decoded = pa.array([vocabulary.decode(x) for x in ids], pa.binary())
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), decoded], names=["doc_id", "ids", "decoded"])
+
+        return handle
+
+    return map_batches(keyed_texts(docs, id_col, text_col), make, ENCODED + ", decoded binary")
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
