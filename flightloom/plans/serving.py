@@ -1,5 +1,6 @@
 """The saved questions. Each takes the table it reads (F = fact, R = route_daily, H = delay_heatmap, W = weekly_comparison) and
-returns the answer in the order it is shown. Column names are the ones the answers have always been shown under.
+returns the answer in the order it is shown. Fixed values: the column names are the ones the answers have always been shown
+under.
 
 Every ``limit`` is part of its question; the group key breaks ties, so the answer does not change between runs.
 """

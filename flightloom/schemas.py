@@ -19,7 +19,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _S, _D, _L = T.StringType(), T.DoubleType(), T.LongType()
 
-# Only the fields some operator reads are named, so the JSON parser skips the others. ``delay`` stays text: declared as
+# The JSON field names of a page. Only the fields some operator reads are named, so the JSON parser skips the others. ``delay`` stays text: declared as
 # a number, a quoted "7" would be lost.
 _STOP = dict(airport=_S, iata=_S, icao=_S, scheduled=_S, actual=_S, delay=_S)
 

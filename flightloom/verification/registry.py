@@ -231,7 +231,7 @@ def backfill(spark, sf_dir):
     return read_fact(spark, path)
 
 
-def _loaded(spark, sf_dir, **options) -> tuple[Layout, list]:
+def loaded_lake(spark, sf_dir, **options) -> tuple[Layout, list]:
     """All landed dates, loaded in two runs, with their reports."""
     layout = Layout.under(shared_dir(spark, "lake"))
     derived.land_pages(spark, sf_dir, layout.raw)
@@ -248,20 +248,20 @@ def _loaded(spark, sf_dir, **options) -> tuple[Layout, list]:
 
 
 def daily_run_fact(spark, sf_dir):
-    return read_fact(spark, _loaded(spark, sf_dir)[0].fact)
+    return read_fact(spark, loaded_lake(spark, sf_dir)[0].fact)
 
 
 def daily_run_fact_cut(spark, sf_dir):
-    return read_fact(spark, _loaded(spark, sf_dir, max_group_rows=SMALL_GROUP)[0].fact)
+    return read_fact(spark, loaded_lake(spark, sf_dir, max_group_rows=SMALL_GROUP)[0].fact)
 
 
 def _daily_run_mart(name: str) -> Query:
-    return lambda spark, sf_dir: read_fact(spark, f"{_loaded(spark, sf_dir)[0].marts}/{name}")
+    return lambda spark, sf_dir: read_fact(spark, f"{loaded_lake(spark, sf_dir)[0].marts}/{name}")
 
 
 def daily_run_checks(spark, sf_dir):
     """The checks of both runs, under the run's own policy."""
-    layout, reports = _loaded(spark, sf_dir)
+    _, reports = loaded_lake(spark, sf_dir)
     rows = [(n, c.name, c.status, c.failures) for n, report in enumerate(reports, 1) for c in report.checks]
     return spark.createDataFrame(rows, "run int, check string, status string, failures bigint")
 
