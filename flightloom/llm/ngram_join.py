@@ -10,7 +10,7 @@ A document's set holds its distinct shingles of ``SHINGLE`` words, A-Z lower-cas
 * Heavy sets would have astronomically many such subsets. They enumerate ``TABLES`` subsets of ``SUBSET`` shingles each: the smallest
   ones under as many fixed orders. Two sets with a Jaccard index of 0.75 share each one with probability 0.316, so they miss all
   with probability below 1e-6; more alike ones far more rarely. The inverted lists of these subsets are scanned.
-* Lists are scanned by stars first: every member against a few centers of its list, by exact sets. What is linked needs no
+* Lists are scanned by stars first: every member against two centers of its list, by exact sets. What is linked needs no
   further pairs, so a list of thousands of near copies takes thousands of pairs, not millions. Here a pair with fewer than
   ``LEAST_COMMON`` common subsets may be passed over, since the next step decides it again.
 * Lists that still hold several components are then scanned whole, in blocks of bounded size that meet pairwise: members outside
@@ -255,43 +255,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     classes = linkable.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("prints").alias("prints"), F.first("keys").alias("keys"))
     classes = written(classes, "ngram-classes")
     each = classes.select("id", F.explode("keys").alias("key"))
-    ends = each.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.struct(F.xxhash64("id"), "id")).alias("any")).where("lo < hi")
-    lists = written(each.join(ends, "key").select("key", "id", "lo", F.col("any.id").alias("any"), "hi").distinct(), "ngram-lists")
-    links: list[DataFrame] = []
-    current = sets = None
-    for center in ("lo", "any", "hi"):
-        star = lists.where(F.col("id") != F.col(center)).select(F.least("id", center).alias("a"), F.greatest("id", center).alias("b")).distinct()
-        if current is not None:
-            star = _apart(star, current)
-        promising = written(_promising(star, classes), "ngram-pairs")
-        if sets is None:
-            sets = _sets_of(keyed, lists)
-        links.append(written(_linked(promising, sets), "ngram-links"))
-        current = written(components(_all(links)), "ngram-components")
+    ends = each.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.struct(F.xxhash64("id"), "id")).alias("any")).where("lo < hi").drop("hi")
+    lists = written(each.join(ends, "key").select("key", "id", "lo", F.col("any.id").alias("any")).distinct(), "ngram-lists")
+    # Two centers a list: its smallest document, and one that no order favours.
+    stars = [lists.where(F.col("id") != F.col(c)).select(F.least("id", c).alias("a"), F.greatest("id", c).alias("b")) for c in ("lo", "any")]
+    promising = written(_promising(stars[0].union(stars[1]).distinct(), classes), "ngram-pairs")
+    sets = _sets_of(keyed, lists)
+    links = written(_linked(promising, sets), "ngram-links")
+    current = components(links)
     labelled = lists.select("key", "id").join(current.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
     rest = written(_blocks(written(labelled.join(mixed, "key"), "ngram-mixed"), sets), "ngram-pairs")
-    links.append(written(_linked(rest, sets), "ngram-links"))
-    current = components(_all(links))
+    current = components(links.union(written(_linked(rest, sets), "ngram-links")))
     members = described.select("doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "id"), ["h1", "h2"], "left").join(current, F.col("id") == F.col("node"), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).otherwise(F.col("doc_id"))
     return members.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _all(links: list[DataFrame]) -> DataFrame:
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return out
-
-
-def _apart(pairs: DataFrame, current: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    side = lambda name: current.select(F.col("node").alias(f"x_{name}"), F.col("component").alias(f"c_{name}"))
-    both = pairs.join(side("a"), F.col("a") == F.col("x_a"), "left").join(side("b"), F.col("b") == F.col("x_b"), "left")
-    return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-
-
 def _sets_of(keyed: DataFrame, lists: DataFrame) -> DataFrame:
     """(id, n, shingles, small) of the documents that occur in a list, one row for each of its texts."""
     wanted = keyed.join(lists.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
