@@ -179,69 +179,82 @@ def _scored(words: list[str], scorer: Scorer, bucket_of: _Buckets) -> np.ndarray
     return scorer.scores[np.fromiter((bucket_of[w] for w in words), np.int64, len(words))]
 
 
-def segment_statistics(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """Per row: doc_id, tokens, best segment score, and the sum of extreme-value units over significant segments."""
+def _statistics(text: str | None, scorer: Scorer, bucket_of: _Buckets) -> tuple[int, float, float]:
+    """Of one text: tokens, best segment score, and the sum of extreme-value units over significant segments."""
+    scores = _scored(tokens(text or ""), scorer, bucket_of)
+    n, best, units = len(scores), best_segment(scores), 0.0
+    if n and scorer.units(best, n) >= SIGNIFICANT:
+        each = np.array([s for _, _, s in maximal_segments(scores)])
+        units = float(np.maximum(scorer.units(each, n) - SIGNIFICANT, 0).sum())
+    return n, best, units
+
+
+@dataclass
+class Model:
+    scorer: Scorer
+    weights: np.ndarray | None = None
+
+    def inputs(self, n, best, units) -> np.ndarray:
+        """What the calibration weighs, one row per text."""
+        return np.c_[np.maximum(self.scorer.units(np.asarray(best), np.asarray(n)), -20), np.log1p(units)]
+
+    def probability(self, n, best, units) -> np.ndarray:
+        if self.weights is None:
+            return np.zeros(len(n))
+        total = self.inputs(n, best, units) @ self.weights[:2] + self.weights[2]
+        return 1 / (1 + np.exp(np.minimum(-total, 700)))
+
+
+def segment_statistics(docs: DataFrame, model: Model) -> DataFrame:
+    """Per row: doc_id, tokens, best segment score, the sum of extreme-value units over significant segments, and the score."""
 
     def make():
         bucket_of = _Buckets()
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows: list[tuple[int, float, float]] = []
-            for text in batch.column(1).to_pylist():
-                scores = _scored(tokens(text or ""), scorer, bucket_of)
-                n, best, units = len(scores), best_segment(scores), 0.0
-                if n and scorer.units(best, n) >= SIGNIFICANT:
-                    each = np.array([s for _, _, s in maximal_segments(scores)])
-                    units = float(np.maximum(scorer.units(each, n) - SIGNIFICANT, 0).sum())
-                rows.append((n, best, units))
-            n, best, units = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(units, pa.float64())],
-                                              names=["doc_id", "n_tokens", "best", "units"])
+            n, best, units = zip(*(_statistics(text, model.scorer, bucket_of) for text in batch.column(1).to_pylist()), strict=True)
+            columns = [batch.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.float64()) for c in (best, units, model.probability(n, best, units)))]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "best", "units", "score"])
 
         return handle
 
-    return map_batches(docs, make, "doc_id long, n_tokens long, best double, units double")
-
-
-@dataclass
-class Model:
-    scorer: Scorer | None
-    weights: np.ndarray | None
-
-    def probability(self) -> F.Column:
-        """Of the columns of ``segment_statistics``."""
-        if self.weights is None:
-            return F.lit(0.0)
-        w = [float(x) for x in self.weights]
-        peak = F.greatest(self.scorer.decay * F.col("best") - self.scorer.log_k - F.log(F.greatest("n_tokens", F.lit(1))), F.lit(-20.0))
-        total = w[0] * peak + w[1] * F.log1p("units") + w[2]
-        return 1 / (1 + F.exp(-total))
+    return map_batches(docs, make, "doc_id long, n_tokens long, best double, units double, score double")
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
           toxic_col: str = "toxic", held_out: bool = True) -> DataFrame:
     """doc_id, n_tokens, best, units, score (0 to 1) and predicted (1 from 0.5 on), one row per row of ``docs``."""
-    statistics, model = fit(keyed_texts(docs, id_col, text_col), labels, label_id, toxic_col, held_out)
-    return statistics.withColumn("score", model.probability()).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    keyed = keyed_texts(docs, id_col, text_col)
+    scored = segment_statistics(keyed, fit(keyed, labels, label_id, toxic_col, held_out))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def fit(keyed: DataFrame, labels: DataFrame, label_id: str = "doc_id", toxic_col: str = "toxic", held_out: bool = True) -> tuple[DataFrame, Model]:
-    """The segment statistics of every row, and the model that was learned."""
+def fit(keyed: DataFrame, labels: DataFrame, label_id: str = "doc_id", toxic_col: str = "toxic", held_out: bool = True) -> Model:
+    """The model learned from the labels: token scores from the counting folds, all else from fold 4.
+
+    Best segments do not depend on ``log_k``, so it is fitted first; the units that the calibration weighs are then taken with it,
+    as everywhere else.
+    """
     small_batches(keyed.sparkSession)
     known = written(training_labels(labels, label_id, toxic_col, held_out=held_out), "toxicity-labels")
     share, toxic, clean = count_tokens(keyed, known)
     scorer = log_odds(share, toxic, clean)
-    statistics = written(segment_statistics(keyed, scorer), "toxicity")
-    marked = statistics.join(F.broadcast(known.where("fold = 4")), F.col("doc_id") == F.col("l_id"))
-    rows = marked.select("n_tokens", "best", "units", "toxic").orderBy(F.xxhash64("l_id"), "best", "units").limit(MAX_LABELS).collect()
-    x = np.array([tuple(r) for r in rows], dtype=float).reshape(-1, 4)
-    y = x[:, 3]
-    if not toxic.any() or not clean.any() or not 0 < y.sum() < len(y):
-        return statistics, Model(scorer, None)
-    n, best = np.maximum(x[y == 0, 0], 1), x[y == 0, 1]
-    scorer.log_k = float(scorer.decay * best.mean() - 0.5772156649 - np.log(n).mean())
-    peak = np.maximum(scorer.units(x[:, 1], x[:, 0]), -20)
-    return statistics, Model(scorer, logistic_fit(np.c_[peak, np.log1p(x[:, 2])], y, ridge=1e-2))
+    if not toxic.any() or not clean.any():
+        return Model(scorer)
+    calibrating = F.broadcast(known.where("fold = 4").select("l_id", "toxic"))
+    texts = written(keyed.join(calibrating, F.col("doc_id") == F.col("l_id"), "left_semi"), "toxicity-calibration")
+
+    def measured() -> np.ndarray:
+        marked = segment_statistics(texts, Model(scorer)).join(calibrating, F.col("doc_id") == F.col("l_id"))
+        rows = marked.select("n_tokens", "best", "units", "toxic").orderBy(F.xxhash64("l_id"), "l_id", "best", "n_tokens", "units").limit(MAX_LABELS).collect()
+        return np.array([tuple(r) for r in rows], dtype=float).reshape(-1, 4)
+
+    n, best, _, y = measured().T
+    if not 0 < y.sum() < len(y):
+        return Model(scorer)
+    scorer.log_k = float(scorer.decay * best[y == 0].mean() - 0.5772156649 - np.log(np.maximum(n[y == 0], 1)).mean())
+    n, best, units, y = measured().T
+    return Model(scorer, logistic_fit(Model(scorer).inputs(n, best, units), y, ridge=1e-2))
 
 
 def passages(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,25 +280,17 @@ def passages(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", toxic_col: str = "toxic") -> DataFrame:
     """The rows of ``docs`` that score below 0.5, with all their columns. Scored in a last pass, so no join by id is needed."""
-    _, model = fit(keyed_texts(docs, id_col, text_col), labels, label_id, toxic_col)
+    model = fit(keyed_texts(docs, id_col, text_col), labels, label_id, toxic_col)
     if model.weights is None:
         return docs
-    at, (peak, units, constant) = docs.columns.index(text_col), (float(w) for w in model.weights)
-    scorer = model.scorer
+    at = docs.columns.index(text_col)
 
     def make():
         bucket_of = _Buckets()
 
-        def clean(text: str | None) -> bool:
-            scores = _scored(tokens(text or ""), scorer, bucket_of)
-            best, found = scorer.units(best_segment(scores), len(scores)), 0.0
-            if len(scores) and best >= SIGNIFICANT:
-                each = np.array([s for _, _, s in maximal_segments(scores)])
-                found = float(np.maximum(scorer.units(each, len(scores)) - SIGNIFICANT, 0).sum())
-            return peak * max(float(best), -20.0) + units * np.log1p(found) + constant < 0
-
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+            found = zip(*(_statistics(t, model.scorer, bucket_of) for t in batch.column(at).to_pylist()), strict=True)
+            return batch.filter(pa.array(model.probability(*found) < 0.5))
 
         return handle
 

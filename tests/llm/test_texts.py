@@ -318,6 +318,14 @@ def test_toxicity_edges(spark, edge_docs, no_docs):
     assert toxicity.keep_clean(edge_docs, labels).count() == edge_docs.count()
 
 
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_toxicity_filter_keeps_what_scores_as_clean(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    want = Counter(r.doc_id for r in toxicity.score(docs, labels).where("score < 0.5").collect())
+    got = Counter(r.doc_id for r in toxicity.keep_clean(docs, labels).select("doc_id").collect())
+    assert got == want and 0 < sum(got.values()) < docs.count()
+
+
 # URL filter
 
 
