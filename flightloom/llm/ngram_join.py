@@ -8,14 +8,15 @@ A document's set holds its distinct shingles of ``SHINGLE`` words, A-Z lower-cas
   with a light set can be missed. A set is light up to the size at which that takes more subsets than a heavy set has, so the
   boundary follows from the cost.
 * Heavy sets would have astronomically many such subsets. They enumerate ``TABLES`` subsets of ``SUBSET`` shingles each: the smallest
-  ones under as many fixed orders. Two sets with a Jaccard index of 0.75 share each one with probability 0.316, so they miss all
-  with probability below 1e-6; more alike ones far more rarely. The inverted lists of these subsets are scanned.
+  ones under as many fixed orders. Two large sets with a Jaccard index of 0.75 share each one with probability 0.316, the smallest
+  heavy ones (9 of 12 shingles common) with 0.254, so linked sets miss all with probability below 1e-6, most far more rarely, as far
+  as the orders are independent. The inverted lists of these subsets are scanned.
 * Lists are scanned by stars first: every member against two centers of its list, by exact sets. What is linked needs no
   further pairs, so a list of thousands of near copies takes thousands of pairs, not millions. Here a pair with fewer than
   ``LEAST_COMMON`` common subsets may be passed over, since the next step decides it again.
 * Lists that still hold several components are then scanned whole, in blocks of bounded size that meet pairwise: members outside
-  the block's main component count their common shingles with all others, and one link per pair of components leaves the block. These
-  counts use 32 of the 64 bits, so they may only be too high; the links that leave are decided by the full sets.
+  the block's main component count their common shingles with all others by the full sets, and one link per pair of components leaves
+  the block.
 
 Shingles are compared by 64-bit hashes. A text of fewer than five words has one shingle, all of it. Null and empty texts, and texts
 without words, have no shingles and link with nothing. Rows that repeat an id count as one document with several sets. A row with a null id
@@ -39,7 +40,7 @@ from .substring_dedup import group_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 75
-TABLES = 40
+TABLES = 48
 SUBSET = 4
 LEAST_COMMON = 3
 #: Members of a list, and bytes of their sets, that a task holds at a time for each side of a pair of blocks.
@@ -172,7 +173,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _scan_block(rows: list[tuple[int, int, int, int, int, np.ndarray]]) -> list[tuple[int, int]]:
-    """Links between components of one pair of blocks. Rows: part, other part, id, component, set size, 32-bit shingles."""
+    """Links between components of one pair of blocks. Rows: part, other part, id, component, set size, shingles."""
     if len(rows) < 2:
         return []
     part, _, ids, comp, n = (np.array(c) for c in list(zip(*rows, strict=True))[:5])
@@ -189,8 +190,9 @@ def _scan_block(rows: list[tuple[int, int, int, int, int, np.ndarray]]) -> list[
     own = np.zeros(int(local.max()) + 1, dtype=bool)
     found = []
     for i in order:
+        # Components merge while the list is scanned, so a member may have joined the main one since; those after it may not have.
         if comp[i] == main:
-            break
+            continue
         mine = local[starts[i] : ends[i]]
         own[mine] = True
         common = np.add.reduceat(own[local].astype(np.int32), starts)
@@ -212,14 +214,14 @@ def _scan_block(rows: list[tuple[int, int, int, int, int, np.ndarray]]) -> list[
 
 def _blocks(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect different components of one list; lists are cut into blocks that meet pairwise."""
-    rows = lists.join(sets.select("id", F.octet_length("small").alias("bytes")), "id")
+    rows = lists.join(sets.select("id", F.octet_length("shingles").alias("bytes")), "id")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
     sizes = rows.groupBy("key").agg(parts.alias("parts"))
     dealt = lists.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     # A member meets every block of its list once.
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "component")
-    full = dealt.join(sets.select("id", "n", "small"), "id").select("key", "low", "high", "part", "id", "component", "n", "small")
+    full = dealt.join(sets.select("id", "n", "shingles"), "id").select("key", "low", "high", "part", "id", "component", "n", "shingles")
     ordered = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
 
     def run(batches):
@@ -227,11 +229,11 @@ def _blocks(lists: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             columns = [c.to_pylist() for c in batch.columns]
-            for key, low, high, part, doc, component, n, small in zip(*columns, strict=True):
+            for key, low, high, part, doc, component, n, shingles in zip(*columns, strict=True):
                 if (key, low, high) != current:
                     found += _scan_block(held)
                     current, held = (key, low, high), []
-                held.append((part, high if part == low else low, doc, component, n, np.frombuffer(small, np.uint32)))
+                held.append((part, high if part == low else low, doc, component, n, np.frombuffer(shingles, np.uint64)))
             if found:
                 yield _pairs(found)
         if found := _scan_block(held):
@@ -265,24 +267,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     current = components(links)
     labelled = lists.select("key", "id").join(current.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = written(_blocks(written(labelled.join(mixed, "key"), "ngram-mixed"), sets), "ngram-pairs")
-    current = components(links.union(written(_linked(rest, sets), "ngram-links")))
+    rest = written(_blocks(written(labelled.join(mixed, "key"), "ngram-mixed"), sets), "ngram-links")
+    current = components(links.union(rest))
     members = described.select("doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "id"), ["h1", "h2"], "left").join(current, F.col("id") == F.col("node"), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).otherwise(F.col("doc_id"))
     return members.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def _sets_of(keyed: DataFrame, lists: DataFrame) -> DataFrame:
-    """(id, n, shingles, small) of the documents that occur in a list, one row for each of its texts."""
+    """(id, n, shingles) of the documents that occur in a list, one row for each of its texts."""
     wanted = keyed.join(lists.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
     def make():
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [shingle_set(t) for t in batch.column(1).to_pylist()]
-            small = [(s >> np.uint64(32)).astype(np.uint32).tobytes() for s in found]
-            columns = [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()), pa.array(small, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["id", "n", "shingles", "small"])
+            columns = [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["id", "n", "shingles"])
 
         return handle
 
-    return written(map_batches(wanted, make, "id long, n long, shingles binary, small binary"), "ngram-sets")
+    return written(map_batches(wanted, make, "id long, n long, shingles binary"), "ngram-sets")

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 from itertools import product
+from math import comb
 
 import duckdb
 import numpy as np
@@ -216,6 +217,25 @@ def test_light_sets_miss_no_partner_size():
                 assert ngram_join.needed(a, b) in ngram_join.subset_sizes(b, ngram_join.LIGHT)
 
 
+def test_ngram_scan_goes_on_behind_members_that_joined_the_main_component():
+    """Components 10 and 20 of several members hang on the main one (1), each by one member only."""
+    shared = lambda base, *own: np.array(sorted([*range(base, base + 20), *own]), np.uint64)
+    sets = {1: (1, shared(0)), 2: (1, shared(100)), 3: (1, shared(200)), 4: (1, shared(300))}
+    sets |= {10: (10, shared(0, 90)), 11: (10, shared(400)), 12: (10, shared(500)), 20: (20, shared(600)), 21: (20, shared(100, 91))}
+    rows = [(0, 0, i, c, len(s), s) for i, (c, s) in sets.items()]
+    assert sorted(ngram_join._scan_block(rows)) == [(1, 10), (2, 21)]
+
+
+def test_ngram_tables_hold_the_bound():
+    light, percent = ngram_join.LIGHT, ngram_join.PERCENT
+    for a in range(light + 1, 300):
+        for b in ngram_join.partner_sizes(a):
+            common = ngram_join.needed(a, b)
+            if b > light and common <= min(a, b):
+                share = comb(common, ngram_join.SUBSET) / comb(a + b - common, ngram_join.SUBSET)
+                assert 100 * common >= percent * (a + b - common) and (1 - share) ** ngram_join.TABLES < 1e-6
+
+
 # PII
 
 
