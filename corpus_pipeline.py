@@ -27,8 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later runs of lines that stood before go. A document of which nothing is left goes with them; empty ones that were so stay."""
-    deduped = line_dedup.dedup_lines(docs)
+    """Later runs of three lines, or of 50 words in fewer, that stood before go. A document of which nothing is left goes with them; empty ones that were so stay."""
+    deduped = line_dedup.dedup_lines(docs, min_words=line_dedup.LONG_WORDS)
     gone = (F.col("n_removed") > 0) & (F.trim("kept") == "")
     return _with_text(deduped.where(~F.coalesce(gone, F.lit(False))).select("row.*", "kept"), F.col("kept")).select(docs.columns)
 

@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from flightloom.llm import line_dedup, ngram_join, pii, queries, substring_dedup, toxicity, url_filter
 from flightloom.llm.automaton import SuffixAutomaton
 from flightloom.llm.common import word_list
@@ -75,6 +76,44 @@ def test_line_dedup_against_brute_force(spark):
     assert got == lines_by_hand(docs)
 
 
+def long_lines_by_hand(docs, least, words):
+    """``lines_by_hand`` where a window may have fewer lines if it holds ``words`` words."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(docs):
+        lines = text.split("\n")
+        solid = [i for i, line in enumerate(lines) if line.strip(" ")]
+        spans = []
+        for j in range(len(solid)):
+            for n in range(1, least + 1):
+                own = tuple(lines[i] for i in solid[j : j + n])
+                if len(own) == n and (n == least or sum(len(x.split()) for x in own) >= words):
+                    if own in seen:
+                        spans.append((j, j + n))
+                    seen.add(own)
+        gone, end = set(), None
+        for j, stop in sorted(spans):
+            gone.update(range(solid[j] if end is None or j > end else solid[end - 1], solid[stop - 1] + 1))
+            end = max(stop, end or 0)
+        out[doc_id] = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    return out
+
+
+def test_line_dedup_of_long_lines(spark):
+    rng = np.random.default_rng(9)
+    pool = [f"w{i} " * int(n) for i, n in enumerate([1, 2, 3, 4, 5, 6, 7, 8])] + ["", "  "]
+    docs = [(i, "\n".join(rng.choice(pool, rng.integers(0, 7)))) for i in range(80)]
+    docs += [(80, "passage " * 60), (81, "passage " * 60), (82, "head\n" + "passage " * 60 + "\nend")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r["row"].doc_id: r.kept for r in line_dedup.dedup_lines(df, min_words=6).collect()}
+    assert got == long_lines_by_hand(docs, 3, 6) and got[81] == "" and got[82] == "head\nend"
+
+
+def test_pipeline_drops_long_repeated_lines(spark):
+    docs = spark.createDataFrame([(1, "long " * 50 + "\nown", 254), (2, "long " * 50, 250), (3, "short", 5), (4, "short", 5)], "doc_id long, text string, n_chars long")
+    kept = corpus_pipeline.dedup_lines(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+
+
 def test_line_dedup_keeps_rows_and_columns(edge_docs, no_docs):
     got = line_dedup.dedup_lines(edge_docs).select("row.*", "kept", "n_removed")
     assert got.columns[:-2] == edge_docs.columns and got.count() == edge_docs.count()
