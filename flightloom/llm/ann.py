@@ -3,7 +3,8 @@
 Each of ``tables`` tables turns unit vectors by a pseudo-rotation, three rounds of random signs and a fast Hadamard transform, and
 hashes them to the nearest signed axis. A query probes the axes it is nearest to, ``probes`` in each table. Candidates of a
 probed bucket are scored by exact inner products in double precision; each block of a bucket keeps a query's best ``k``, and the
-best ``k`` of all blocks are its answer. Every row is indexed; nothing is fitted.
+best ``k`` of all blocks are its answer. Every row is indexed; nothing is fitted. A query that finds fewer than ``k`` rows, or than
+there are, probes ``WIDER`` times the axes until it is full, at last every axis of one table, which meets every row.
 
 Nearness is the inner product, so a vector's length counts: candidates get one more component that brings them all to the length of
 the longest, which turns the largest inner product into the smallest angle.
@@ -30,6 +31,8 @@ from .vectors import common_width, keyed_vectors, matrix, usable
 TABLES = 10
 #: Axes probed in a table, as a share of all signed axes.
 PROBED = 0.06
+#: Times the axes that a query probes next if it found too few.
+WIDER = 4
 BLOCK = 8_000
 QUERY_BLOCK = 2_000
 SEED = 20_240_229
@@ -70,8 +73,9 @@ class Rotations:
         return np.argsort(-both, axis=1, kind="stable")[:, :count]
 
 
-def _hashed(vectors: DataFrame, width: int, tables: int, longest: float, probes: int) -> DataFrame:
-    """One row per vector, table and bucket. ``probes`` 0: candidates, each in one bucket of every table."""
+def _hashed(vectors: DataFrame, width: int, tables: int, longest: float, probes: int, used: int | None = None) -> DataFrame:
+    """One row per vector, table (of the first ``used``) and bucket. ``probes`` 0: candidates, each in one bucket of every table."""
+    used = used or tables
 
     def make():
         rotations = Rotations(width + 1, tables)
@@ -81,9 +85,9 @@ def _hashed(vectors: DataFrame, width: int, tables: int, longest: float, probes:
             rest = np.zeros(len(x)) if probes else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
             x = np.c_[x, rest]
             count = max(probes, 1)
-            buckets = np.stack([rotations.ranked(x, t, count) for t in range(tables)], axis=1)
-            rows = np.repeat(np.arange(len(x)), tables * count)
-            table = np.tile(np.repeat(np.arange(tables), count), len(x))
+            buckets = np.stack([rotations.ranked(x, t, count) for t in range(used)], axis=1)
+            rows = np.repeat(np.arange(len(x)), used * count)
+            table = np.tile(np.repeat(np.arange(used), count), len(x))
             return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
                                                pa.array((table * 2 * rotations.size + buckets.ravel()).astype(np.int64))],
                                               names=["vec_id", "vector", "bucket"])
@@ -137,10 +141,30 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     longest = good.agg(F.max(norm)).first()[0] if width else None
     if not longest:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    probes = max(1, round(probed * 2 * Rotations(width + 1, 1).size))
+    axes = 2 * Rotations(width + 1, 1).size
+    probes = min(axes, max(1, round(probed * axes)))
     index = written(_hashed(good, width, tables, float(longest), 0), "ann-index")
     asked = good.where(is_query).groupBy("vec_id").agg(F.min_by("vector", F.xxhash64("vector")).alias("vector"))
-    asked = written(_hashed(asked, width, tables, float(longest), probes), "ann-queries")
+    # A query is a candidate itself, but not its own.
+    full = min(k, good.select("vec_id").distinct().limit(k + 1).count() - 1)
+    settled = []
+    while True:
+        used = tables if probes < axes else 1
+        hashed = written(_hashed(asked, width, tables, float(longest), probes, used), "ann-queries")
+        answers = written(_answers(index, hashed, k, width), "ann-answers")
+        counts = answers.groupBy("query_id").agg(F.count(F.lit(1)).alias("found"))
+        short = asked.join(counts.where(F.col("found") >= full), F.col("vec_id") == F.col("query_id"), "left_anti")
+        if probes >= axes or full < 1 or short.isEmpty():
+            break
+        settled.append(answers.join(counts.where(F.col("found") >= full), "query_id", "left_semi"))
+        asked, probes = written(short, "ann-short"), min(axes, WIDER * probes)
+    for part in settled:
+        answers = answers.unionByName(part)
+    return answers
+
+
+def _answers(index: DataFrame, asked: DataFrame, k: int, width: int) -> DataFrame:
+    """query_id, rank, vec_id, score: the best ``k`` of each query among the candidates of its buckets."""
     # tables × signed axes rows, whatever the data: both counts can be broadcast.
     counts = index.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("c_blocks"))
     counts = counts.join(asked.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("q_blocks")), "bucket")

@@ -1,5 +1,7 @@
 """Vector near-dedup and nearest neighbours against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +95,17 @@ def test_ann_recall(spark):
     assert hit / sum(map(len, want.values())) >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["2", "12", "40", "clumped"])
+def test_ann_fills_every_query_with_registered_parameters(spark, kind):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(260 if kind == "clumped" else int(kind), 100))
+    if kind == "clumped":
+        x[5:] = x[5]  # nearly all rows in one bucket of each table
+    df = table(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    found = Counter(r.query_id for r in ann.search(df, F.col("vec_id") < 5, k=20).collect())
+    assert found == {i: min(20, len(x) - 1) for i in range(min(5, len(x)))}
+
+
 def test_ann_with_every_axis_probed_is_exact_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 40)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 3)
