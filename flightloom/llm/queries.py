@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, line_dedup, ngram_join, packing, pii, substring_dedup, toxicity, url_filter, vector_dedup
+from . import ann, bpe, decontamination, lexical_search, line_dedup, merkle, ngram_join, packing, pii, substring_dedup, toxicity, url_filter, vector_dedup
 from .url_filter import Rule
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,6 +83,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    changed = F.when(tampered, merkle.leaf_of(changes={"text": merkle.lower_ascii}))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), changed)
+    folded = found.withColumn("folded_root", merkle.fold(F.col("checked"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontamination.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return marked.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names.cast("binary"), 256).alias("items_sha256"),
+                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_vector_dedup": op2_vector_dedup,
@@ -92,8 +114,121 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_ngram_join": op9_ngram_join,
     "op10_url_filter": op10_url_filter,
+    "op11_merkle": op11_merkle,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_decontamination": op13_decontamination,
 }
+
+
+
+
+# DuckDB has no crc32: eight steps a byte over the ids' digits.
+_CRC32 = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+
+
+def _merkle_sql(levels: int = 6, group_levels: int = 4) -> str:
+    """Levels written out one by one: up to 16 ** ``levels`` rows a source and 16 ** ``group_levels`` sources."""
+
+    def framed(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(framed(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    def tree(name: str, depth: int) -> list[str]:
+        """Levels ``name``0 (tree, n, i, h) upwards, the tops and each node's siblings before and after it."""
+        parts = [f"{name}{d + 1} AS (SELECT tree, n, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name}{d} WHERE n > {16 ** d} GROUP BY tree, n, i // 16)"
+                 for d in range(depth)]
+        tops = " UNION ALL ".join(f"SELECT tree, h FROM {name}{d} WHERE n <= {16 ** d}" + (f" AND n > {16 ** (d - 1)}" if d else "") for d in range(depth + 1))
+        parts.append(f"{name}_top AS ({tops})")
+        parts += [f"""{name}_step{d} AS (
+            SELECT a.tree, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS before,
+                   coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS after
+            FROM {name}{d} a JOIN {name}{d} b ON a.tree = b.tree AND a.i // 16 = b.i // 16 WHERE a.n > {16 ** d} GROUP BY a.tree, a.i)""" for d in range(depth)]
+        return parts
+
+    steps, proof, joins = [], [], []
+    for name, depth, owner, rank in (("node", levels, "d.tree", "d.i"), ("src", group_levels, "''", "s.i")):
+        if name == "src":
+            joins.append("JOIN src_leaf s ON s.owner = d.tree")
+        for d in range(depth):
+            at = f"{name}_at{d}"
+            steps.append(at)
+            joins.append(f"LEFT JOIN {name}_step{d} {at} ON {at}.tree = {owner} AND {at}.i = {rank} // {16 ** d}")
+            proof.append(f"coalesce({at}.before || {at}.after, '')")
+    folds, source = [], "path"
+    for n, at in enumerate(steps):
+        folds.append(f"fold{n} AS (SELECT * EXCLUDE (checked), CASE WHEN {at}_b IS NULL THEN checked ELSE sha256({at}_b || checked || {at}_a) END AS checked FROM {source})")
+        source = f"fold{n}"
+    columns = ", ".join(f"{at}.before AS {at}_b, {at}.after AS {at}_a" for at in steps)
+    return f"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce('1' || source, '0') AS tree, {leaf('text')} AS h,
+                   CASE WHEN {_CRC32} % 5 = 0 THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS changed
+            FROM documents
+        ),
+        leaf AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+        node0 AS (SELECT tree, n, i, h FROM leaf),
+        {', '.join(tree('node', levels))},
+        src_leaf AS (SELECT '' AS tree, tree AS owner, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM node_top),
+        src0 AS (SELECT tree, n, i, h FROM src_leaf),
+        {', '.join(tree('src', group_levels))},
+        path AS (
+            SELECT d.doc_id, d.h AS leaf, s.h AS subroot, r.h AS root, coalesce(d.changed, d.h) AS checked, sha256({' || '.join(proof)}) AS proof_sha256, {columns}
+            FROM leaf d {' '.join(joins)} CROSS JOIN src_top r
+        ),
+        {', '.join(folds)}
+        SELECT doc_id, leaf, subroot, root, proof_sha256, checked AS folded_root, checked = root AS verified FROM {source}
+    """
+
+
+#: Terms of a lower-cased text, as a list.
+_TERMS = f"""list_filter(string_split(regexp_replace(translate(text, '{_UPPER}', '{_LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), lambda t: t <> '')"""
+
 ORACLE: dict[str, str] = {
+    "op11_merkle": _merkle_sql(),
+    "op12_lexical_search": f"""
+        WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+        filled AS (SELECT rid, doc_id, terms, len(terms)::BIGINT AS n FROM doc WHERE len(terms) > 0),
+        total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM filled),
+        occurrence AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT rid, doc_id, n, unnest(terms) AS term FROM filled) GROUP BY ALL),
+        holding AS (SELECT term, count(*)::BIGINT AS df FROM occurrence GROUP BY term),
+        item AS (SELECT row_number() OVER () AS item_at, item_id, {_TERMS} AS terms FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+        asked AS (SELECT item_at, item_id, term, count(*)::BIGINT AS often FROM (SELECT item_at, item_id, unnest(terms) AS term FROM item) GROUP BY ALL),
+        weighed AS (
+            SELECT a.item_at, a.item_id, a.term, a.often * floor(1000 * ln((2 * t.docs + 2) / (2 * h.df + 1)::DOUBLE))::BIGINT AS w
+            FROM asked a JOIN holding h USING (term) CROSS JOIN total t
+        ),
+        scored AS (
+            SELECT w.item_at, w.item_id, o.rid, o.doc_id,
+                   sum(w.w * ((1000000000 * o.tf) // (1000 * o.tf + 12 * (75 + (25 * o.n * t.docs) // t.words))))::BIGINT AS score
+            FROM weighed w JOIN occurrence o USING (term) CROSS JOIN total t GROUP BY ALL
+        ),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY item_at ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+        SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 20
+    """,
+    "op13_decontamination": f"""
+        WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_TERMS}, []) AS words FROM documents),
+        item AS (SELECT item_id, {_TERMS} AS words FROM benchmark WHERE text IS NOT NULL),
+        wanted AS (
+            SELECT DISTINCT item_id, least(len(words), 10) AS width, list_slice(words, i, i + 9) AS w
+            FROM item, LATERAL (SELECT unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i) WHERE len(words) > 0
+        ),
+        widths AS (SELECT DISTINCT width FROM wanted),
+        held AS (
+            SELECT d.rid, p.i, s.width, list_slice(d.words, p.i, p.i + s.width - 1) AS w
+            FROM doc d CROSS JOIN widths s, LATERAL (SELECT unnest(range(1, len(d.words) - s.width + 2)) AS i) p
+        ),
+        occurring AS (SELECT h.rid, h.i, h.width, t.item_id FROM held h JOIN wanted t ON h.w = t.w),
+        hit AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT DISTINCT rid, i, width FROM occurring) o, LATERAL (SELECT unnest(range(o.i, o.i + o.width)) AS j) GROUP BY rid),
+        named AS (SELECT rid, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+                  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS name FROM occurring WHERE item_id IS NOT NULL) GROUP BY rid)
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(n.n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(n.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+        FROM doc d LEFT JOIN hit h USING (rid) LEFT JOIN named n USING (rid)
+    """,
     "op6_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, i - 1 AS i, line[i] AS line
