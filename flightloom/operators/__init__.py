@@ -6,7 +6,7 @@ from .kpis import kpi_flights
 from .quality import CheckResult, category_mismatches, check, duplicate_keys, undated_flights
 from .silver import dedup_flights, incremental_window, rolling_route_delay, silver_flights
 from .staging import reject_flights, stage_flights, stage_reference
-from .upsert import finish_upsert, upsert_fact
+from .upsert import LeaseLost, UpsertDamaged, UpsertLocked, finish_upsert, leased, stage_upsert, upsert_fact
 
 __all__ = [
     "CheckResult",
@@ -15,6 +15,11 @@ __all__ = [
     "dedup_flights",
     "duplicate_keys",
     "finish_upsert",
+    "stage_upsert",
+    "leased",
+    "UpsertLocked",
+    "UpsertDamaged",
+    "LeaseLost",
     "flatten_flights",
     "incremental_window",
     "kpi_flights",

@@ -197,6 +197,7 @@ def test_an_upsert_that_breaks_off_loses_nothing(spark, tmp_path):
     staging = f"{path}.upsert"
     spark.createDataFrame([("b", day, 2), ("c", day, 2)], rows).write.parquet(f"{staging}/batch")
     spark.createDataFrame([("a", day, 1)], rows).write.parquet(f"{staging}/survivors")
+    assert finish_upsert(spark, str(tmp_path / "other")) is False
     (tmp_path / "fact.upsert" / "READY").touch()
     for part in (tmp_path / "fact" / "flight_date=2024-01-01").iterdir():
         part.unlink()
