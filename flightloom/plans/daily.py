@@ -31,12 +31,12 @@ from ..session import discard, path_exists
 from ..sources import (
     LandingError,
     contract_failure,
-    landing_contract,
-    observe_landed,
-    observed_dates,
+    date_counts,
     read_dates,
     read_fact,
     read_flight_pages,
+    read_ledger,
+    refresh_ledger,
     scan_insert_dates,
     write_bronze,
     write_mart,
@@ -53,6 +53,11 @@ class Layout(NamedTuple):
     marts: str
     metadata: str
 
+    @property
+    def ledger(self) -> str:
+        """What has landed, one row per file."""
+        return f"{self.metadata}/page_ledger"
+
     @classmethod
     def under(cls, root: str) -> Layout:
         root = root.rstrip("/")
@@ -110,28 +115,24 @@ def run_batches(
 
     ``tie_break`` names bronze columns that order otherwise equal rows (default: a hash of the row). With ``stop_on_error``
     a failing check raises before the marts are built; otherwise results are only reported. The landing contract holds for each
-    date by itself: a date that breaks it is left out and keeps its old bronze, the others are loaded, and then ``LandingError``
+    date by itself, and is decided from the page ledger: a date that breaks it is left out and keeps its old bronze, the others are loaded, and then ``LandingError``
     is raised, with the report of what was loaded as its ``report``. ``strict`` makes the contract refuse error documents and
     unparsable pages, and the category check find wrong categories on unknown delays.
     """
-    pages = read_flight_pages(spark, layout.raw, insert_dates)
-    if strict:
-        # Decided before anything is written, since a refused date may hold flights.
-        counts = {str(r["insert_date"]): r.asDict() for r in landing_contract(pages, by="insert_date").collect()}
-        refused = {d: reason for d in insert_dates if (reason := contract_failure(counts.get(d, {"pages": 0}), True))}
-        pages = pages.where(~F.col("insert_date").cast("string").isin([*refused])) if refused else pages
-    counted, seen = observe_landed(pages, insert_dates)
-    # One date needs no shuffle to keep its files together.
-    bronze_rows = write_bronze(flatten_flights(counted), layout.bronze, rebalance=len(insert_dates) > 1)
-    landed = observed_dates(seen, insert_dates)
-    failed = {day: reason for day, counts in landed.items() if (reason := contract_failure(counts))}
-    if strict:
-        failed = refused
+    # Decided from the ledger, before anything is written.
+    refresh_ledger(spark, layout.raw, layout.ledger, insert_dates)
+    landed = date_counts(read_ledger(spark, layout.ledger, insert_dates), insert_dates)
+    failed = {day: reason for day, counts in landed.items() if (reason := contract_failure(counts, strict))}
     loaded = [day for day in insert_dates if day not in failed]
-    for day in loaded:
-        if not landed[day]["flights"] and path_exists(spark, f"{layout.bronze}/insert_date={day}"):
-            discard(spark, f"{layout.bronze}/insert_date={day}")  # the date has no flights any more
     filled = [day for day in loaded if landed[day]["flights"]]
+    for day in set(loaded) - set(filled):
+        if path_exists(spark, f"{layout.bronze}/insert_date={day}"):
+            discard(spark, f"{layout.bronze}/insert_date={day}")  # the date has no flights any more
+    bronze_rows = 0
+    if filled:
+        pages = read_flight_pages(spark, layout.raw, filled)
+        # One date needs no shuffle to keep its files together.
+        bronze_rows = write_bronze(flatten_flights(pages), layout.bronze, rebalance=len(filled) > 1)
     report = _load(spark, layout, filled, tie_break, stop_on_error, strict, max_group_rows) if filled else RunReport({}, 0, 0, [])
     report = report._replace(pages=landed, bronze_rows=bronze_rows, failed_dates=failed)
     if failed:

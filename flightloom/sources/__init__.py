@@ -1,13 +1,12 @@
 """Readers and writers."""
 
+from .ledger import audit_ledger, date_counts, landed_files, read_ledger, refresh_ledger
 from .pages import (
     LandingError,
     contract_failure,
     landed_dates,
     landing_audit,
     landing_contract,
-    observe_landed,
-    observed_dates,
     read_flight_pages,
     require_landed,
 )
@@ -24,22 +23,25 @@ from .tables import partition_dates, read_bronze, read_dates, read_fact, scan_in
 __all__ = [
     "LandingError",
     "accepted",
+    "audit_ledger",
     "contract_failure",
+    "date_counts",
     "failures_path",
     "landed_dates",
+    "landed_files",
     "landing_audit",
     "landing_contract",
     "load_reference",
     "name_columns",
-    "observe_landed",
-    "observed_dates",
     "partition_dates",
     "read_bronze",
     "read_dates",
     "read_fact",
     "read_flight_pages",
+    "read_ledger",
     "read_reference",
     "read_reference_csv",
+    "refresh_ledger",
     "rejected",
     "require_landed",
     "scan_insert_date",

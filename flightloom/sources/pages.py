@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import count_rows
@@ -78,30 +78,6 @@ def contract_failure(counts: Mapping[str, int], strict: bool = False) -> str | N
     return None
 
 
-def observe_landed(pages: DataFrame, insert_dates: Sequence[str]) -> tuple[DataFrame, Observation]:
-    """The contract's counts and the flights of each insert date, taken by whatever pass reads ``pages`` next. Read them with
-    ``observed_dates``."""
-    seen = Observation()
-    flights = F.coalesce(F.array_size("page.data"), F.lit(0))
-    measures = []
-    for at, day in enumerate(insert_dates):
-        own = F.col("insert_date") == F.lit(day).cast("date")
-        measures += [
-            F.count_if(own).alias(f"pages_{at}"),
-            F.count_if(own & F.col(f"page.{CORRUPT}").isNotNull()).alias(f"corrupt_pages_{at}"),
-            F.count_if(own & F.col("page.error").isNotNull()).alias(f"error_pages_{at}"),
-            F.count_if(own & F.col("page.data").isNotNull()).alias(f"data_pages_{at}"),
-            F.sum(F.when(own, flights).otherwise(0)).alias(f"flights_{at}"),
-        ]
-    return pages.observe(seen, *measures), seen
-
-
-def observed_dates(seen: Observation, insert_dates: Sequence[str]) -> dict[str, dict[str, int]]:
-    """What ``observe_landed`` counted, by insert date."""
-    names, values = ("pages", "corrupt_pages", "error_pages", "data_pages", "flights"), seen.get
-    return {day: {n: values.get(f"{n}_{at}") or 0 for n in names} for at, day in enumerate(insert_dates)}
-
-
 def require_landed(pages: DataFrame, strict: bool = False) -> dict[str, int]:
     """Raise ``LandingError`` unless the pages fulfil the contract, see ``contract_failure``."""
     counts = landing_contract(pages).first().asDict()
@@ -110,21 +86,22 @@ def require_landed(pages: DataFrame, strict: bool = False) -> dict[str, int]:
     return counts
 
 
-def landing_audit(pages: DataFrame, limit: int = 100, max_pages: int = 1) -> DataFrame:
-    """Per insert date, what landed against what the provider reported.
+def expected_pages(total: Column, limit: int, max_pages: int) -> Column:
+    """The number of pages a complete download has: enough for the reported total, at least one, at most ``max_pages``."""
+    needed = F.ceil(total.cast("double") / limit)
+    return F.least(F.lit(max_pages), F.greatest(F.lit(1), needed)).cast("bigint")
 
-    ``expected_pages`` is the number of pages a complete download has: enough for the reported total, at least one, at most
-    ``max_pages``.
-    """
+
+def landing_audit(pages: DataFrame, limit: int = 100, max_pages: int = 1) -> DataFrame:
+    """Per insert date, what landed against what the provider reported."""
     total = F.coalesce(F.max("page.pagination.total"), F.lit(0))
-    needed = F.ceil(total.cast("double") / limit)
     return (
         pages.groupBy("insert_date")
         .agg(
             count_rows().alias("pages_landed"),
             F.sum(F.coalesce(F.array_size("page.data"), F.lit(0))).alias("flights"),
             total.alias("reported_total"),
-            F.least(F.lit(max_pages), F.greatest(F.lit(1), needed)).cast("bigint").alias("expected_pages"),
+            expected_pages(total, limit, max_pages).alias("expected_pages"),
             F.count_if(F.col("page.error").isNotNull()).alias("error_pages"),
             F.count_if(F.col(f"page.{CORRUPT}").isNotNull()).alias("corrupt_pages"),
             F.count_if(F.col("page.pagination").isNull()).alias("unpaginated_pages"),

@@ -15,13 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import path_exists
 
+#: How far behind the newest file a new one may lie, and how long the stream remembers a file.
+MAX_FILE_AGE = "60d"
+
 
 def watch_landing(
     spark: SparkSession,
     raw_root: str,
     checkpoint: str,
     on_dates: Callable[[list[str]], object],
-    max_file_age: str = "36500d",
+    max_file_age: str = MAX_FILE_AGE,
     max_files_per_trigger: int = 100_000,
 ) -> StreamingQuery:
     """Call ``on_dates`` with the insert dates of all files not seen before, then stop. Run it again to pick up what has
@@ -29,7 +32,8 @@ def watch_landing(
 
     A file counts as seen by its path, so one that is landed again under its own name is not picked up: ``changed_dates``
     finds it, as does running its date by hand. ``max_file_age`` is how far behind the newest file seen a new file's time stamp
-    may lie; Spark's own default of seven days would pass over files that were copied with an older one.
+    may lie; Spark's own default of seven days would pass over files that were copied with an older one. The stream remembers files of that age
+    only, so what it holds does not grow with the lake; still older ones are found by ``refresh_ledger`` as well.
     """
 
     def pick_up(files: DataFrame, _: int) -> None:
