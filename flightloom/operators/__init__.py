@@ -1,10 +1,11 @@
 """The engine's steps, each a function from DataFrames to a DataFrame."""
 
 from .backfill import missing_dates
+from .bucketed import create_fact_table, table_path, upsert_table
 from .flatten import flatten_flights
 from .kpis import kpi_flights
 from .quality import CheckResult, category_mismatches, check, duplicate_keys, undated_flights
-from .silver import dedup_flights, incremental_window, rolling_route_delay, silver_flights
+from .silver import carried_window, dedup_flights, incremental_window, keep_tails, rolling_route_delay, route_tails, silver_flights
 from .staging import reject_flights, stage_flights, stage_reference
 from .upsert import LeaseLost, UpsertDamaged, UpsertLocked, finish_upsert, leased, stage_upsert, upsert_fact
 
@@ -14,6 +15,12 @@ __all__ = [
     "check",
     "dedup_flights",
     "duplicate_keys",
+    "carried_window",
+    "create_fact_table",
+    "keep_tails",
+    "route_tails",
+    "table_path",
+    "upsert_table",
     "finish_upsert",
     "stage_upsert",
     "leased",

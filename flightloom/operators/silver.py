@@ -17,17 +17,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import count_rows, row_hash, surrogate_key
 from ..session import shared_dir
-from ..sources.tables import partition_dates, read_fact
+from ..sources.sinks import write_mart
+from ..sources.tables import partition_dates, read_dates, read_fact
 
 ROUTE = ("dep_iata", "arr_iata")
 FLIGHT = ("flight_iata_full", "flight_date")
 FRAME_ROWS = 7  # fixed value: this row and the six before it
 MAX_GROUP_ROWS = 5_000_000
+#: Rows that a stored tail holds beyond those a frame reaches.
+TAIL_SPARE = 6
 
 # What the fact needs of a staged flight; the rest is dropped before the first shuffle.
 SILVER_COLUMNS = (
@@ -242,17 +245,30 @@ def incremental_window(
         fact = read_fact(staged.sparkSession, fact)
     else:
         last = latest or fact.agg(F.max("flight_date")).first()[0]
-    batch = rows.withColumns(
-        {"_in_batch": F.lit(1), "_stored_key": F.lit(None).cast("string"), "_flight_key": surrogate_key(*map(F.col, FLIGHT))}
-    )
+    batch = _keyed_batch(rows)
     if last is None:
         history = batch.limit(0)
     else:
-        history = (
-            fact.where(F.col("flight_date") >= F.lit(last - timedelta(days=days)))
-            .join(batch.select(F.col("_flight_key").alias("flight_key")), "flight_key", "left_anti")
-            .select(*ROUTE, "flight_date", "dep_delay_min", F.col("flight_key").alias("_stored_key"), F.lit(0).alias("_in_batch"))
-        )
+        history = _as_history(_without(fact.where(F.col("flight_date") >= F.lit(last - timedelta(days=days))), batch))
+    return _framed(batch, history, order, max_group_rows)
+
+
+def _keyed_batch(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {"_in_batch": F.lit(1), "_stored_key": F.lit(None).cast("string"), "_flight_key": surrogate_key(*map(F.col, FLIGHT))}
+    )
+
+
+def _without(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored rows but for the flights that the batch replaces."""
+    return stored.join(batch.select(F.col("_flight_key").alias("flight_key")), "flight_key", "left_anti")
+
+
+def _as_history(stored: DataFrame) -> DataFrame:
+    return stored.select(*ROUTE, "flight_date", "dep_delay_min", F.col("flight_key").alias("_stored_key"), F.lit(0).alias("_in_batch"))
+
+
+def _framed(batch: DataFrame, history: DataFrame, order: Sequence[str], max_group_rows: int) -> DataFrame:
     together = batch.unionByName(history, allowMissingColumns=True)
     rolled = _roll(
         together,
@@ -265,3 +281,63 @@ def incremental_window(
         shorten_copies=True,
     ).where(F.col("_in_batch") == 1)
     return dedup_flights(rolled, [*order, _POSITION]).drop("_row_hash", _POSITION, "_in_batch", "_stored_key", "_flight_key")
+
+
+def route_tails(fact: DataFrame, spare: int = TAIL_SPARE) -> DataFrame:
+    """Per route and date the last stored rows that a later frame can reach: six, and ``spare`` ones in place of flights that a batch replaces.
+
+    Spark limits the rank on the map side, so a busy route arrives as a few rows per input partition. ``place`` counts from the last row.
+    """
+    last_first = Window.partitionBy(*ROUTE, "flight_date").orderBy(F.col("flight_key").desc())
+    narrow = fact.select(*ROUTE, "dep_delay_min", "flight_key", "flight_date")
+    return narrow.withColumn("place", F.row_number().over(last_first)).where(F.col("place") < FRAME_ROWS + spare)
+
+
+def carried_window(
+    tails_path: str,
+    fact_path: str,
+    staged: DataFrame,
+    order_by: Sequence[str] | None = None,
+    days: int = 7,
+    spare: int = TAIL_SPARE,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``incremental_window`` with the frames' beginnings carried by a stored table of ``route_tails``, a few rows a route and date, instead of all
+    rows of the last days.
+
+    At equal date stored rows stand before the batch's, so a frame takes of a date's stored rows the last ones only. The fact is read for those
+    dates alone on which a batch replaces more of a route's tail than the spare rows make up for.
+    """
+    spark = staged.sparkSession
+    rows, order = _ordered(staged, order_by, ())
+    batch = _keyed_batch(rows)
+    stored_dates = partition_dates(spark, tails_path, "flight_date")
+    recent = [day for day in stored_dates if day >= max(stored_dates) - timedelta(days=days)]
+    if not recent:
+        return _framed(batch, batch.limit(0), order, max_group_rows)
+    tails = read_dates(spark, tails_path, recent)
+    left = _without(tails, batch)
+    group = [*ROUTE, "flight_date"]
+    # Cut tails are full ones of which too little is left. One narrow aggregate over a few rows a route.
+    full = tails.groupBy(*group).agg(count_rows().alias("held")).where(F.col("held") == FRAME_ROWS - 1 + spare)
+    kept = left.groupBy(*[F.col(c).alias(f"_kept_{c}") for c in group]).agg(count_rows().alias("kept"))
+    same = F.lit(True)
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_kept_{c}"))
+    cut = full.join(kept, same, "left").where(F.coalesce("kept", F.lit(0)) < FRAME_ROWS - 1).select(*[F.col(c).alias(f"_cut_{c}") for c in group])
+    cut_dates = [r[0] for r in cut.select("_cut_flight_date").distinct().collect()]  # at most ``days`` and one
+    history = _as_history(left)
+    if cut_dates:
+        is_cut = F.lit(True)
+        for c in group:
+            is_cut = is_cut & F.col(c).eqNullSafe(F.col(f"_cut_{c}"))
+        deeper = _without(read_dates(spark, fact_path, cut_dates), batch).join(cut, is_cut, "left_semi")
+        history = _as_history(left.join(cut, is_cut, "left_anti")).unionByName(_as_history(deeper))
+    return _framed(batch, history, order, max_group_rows)
+
+
+def keep_tails(spark: SparkSession, fact_path: str, tails_path: str, touched: Sequence[date] | None = None, spare: int = TAIL_SPARE) -> None:
+    """Bring the stored tails up to date with the fact, for the dates an upsert touched or for all."""
+    changed = read_fact(spark, fact_path) if touched is None else read_dates(spark, fact_path, touched)
+    if changed is not None:
+        write_mart(route_tails(changed, spare), tails_path, ["flight_date"], only_touched=touched is not None)

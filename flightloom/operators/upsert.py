@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import date
 
@@ -123,14 +123,23 @@ def _marked(spark: SparkSession, fact_path: str) -> list[str] | None:
     return parts
 
 
-def _finish(spark: SparkSession, fact_path: str, lease: Lease) -> bool:
+#: Replaces the touched dates of a fact by these rows.
+Apply = Callable[[DataFrame], object]
+#: The stored rows of some dates, if there are any.
+Stored = Callable[[list[date]], DataFrame | None]
+
+
+def _finish(spark: SparkSession, fact_path: str, lease: Lease, apply: Apply | None = None) -> bool:
     parts = _marked(spark, fact_path)
     if parts:
         lease.renew()
         result = spark.read.parquet(parts[0])
         for part in parts[1:]:
             result = result.unionByName(spark.read.parquet(part))
-        write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
+        if apply:
+            apply(result)
+        else:
+            write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
         lease.renew()
         # The mark goes first and alone: a folder is removed in no promised order, and a mark must never outlive its copies.
         discard(spark, _mark_path(fact_path))
@@ -147,7 +156,12 @@ def finish_upsert(spark: SparkSession, fact_path: str, owner: str | None = None,
         return _finish(spark, fact_path, lease)
 
 
-def stage_upsert(spark: SparkSession, fact_path: str, batch: DataFrame, lease: Lease) -> tuple[int, list[date]]:
+def survivors(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The stored rows whose key is not among the incoming ones."""
+    return stored.join(incoming.select(FACT_KEY), FACT_KEY, "left_anti")
+
+
+def stage_upsert(spark: SparkSession, fact_path: str, batch: DataFrame, lease: Lease, stored_of: Stored | None = None) -> tuple[int, list[date]]:
     """Steps 3 and 4: write what the touched dates will hold, and mark it. Returns the batch's rows and the dates it touches.
 
     The key contains the flight date, so a key never changes partition and only the touched dates are listed and read. The copies are not
@@ -160,10 +174,10 @@ def stage_upsert(spark: SparkSession, fact_path: str, batch: DataFrame, lease: L
         return 0, []
     incoming = spark.read.parquet(f"{staged}/batch")
     touched = touched_dates(incoming)
-    stored = read_dates(spark, fact_path, touched, FACT_PARTITION)
+    stored = stored_of(touched) if stored_of else read_dates(spark, fact_path, touched, FACT_PARTITION)
     parts = ["batch"]
     if stored is not None:
-        write_mart(stored.join(incoming.select(FACT_KEY), FACT_KEY, "left_anti"), f"{staged}/survivors")
+        write_mart(survivors(stored, incoming), f"{staged}/survivors")
         parts.append("survivors")
     lease.renew()
     mark(spark, _mark_path(fact_path), json.dumps({"folder": folder, "parts": parts}))
@@ -171,16 +185,23 @@ def stage_upsert(spark: SparkSession, fact_path: str, batch: DataFrame, lease: L
 
 
 def upsert_fact(
-    spark: SparkSession, fact_path: str, batch: DataFrame, owner: str | None = None, lease_seconds: float = LEASE_SECONDS
+    spark: SparkSession,
+    fact_path: str,
+    batch: DataFrame,
+    owner: str | None = None,
+    lease_seconds: float = LEASE_SECONDS,
+    stored_of: Stored | None = None,
+    apply: Apply | None = None,
 ) -> tuple[int, list[date]]:
     """Replace the fact's rows that share a key with ``batch`` and insert the rest. Returns the batch's row count and the flight dates it
     touched.
 
     Only the touched dates are rewritten, and nothing is read from a partition that is being replaced. ``owner`` names the writer: a retry that
-    gives the same name goes on at once after a crash, another writer gets ``UpsertLocked`` until the lease runs out.
+    gives the same name goes on at once after a crash, another writer gets ``UpsertLocked`` until the lease runs out. ``stored_of`` and ``apply``
+    read and replace dates where the fact is more than a directory (``operators.bucketed``).
     """
     with leased(spark, fact_path, owner, lease_seconds) as lease:
-        _finish(spark, fact_path, lease)
-        rows, touched = stage_upsert(spark, fact_path, batch, lease)
-        _finish(spark, fact_path, lease)
+        _finish(spark, fact_path, lease, apply)
+        rows, touched = stage_upsert(spark, fact_path, batch, lease, stored_of)
+        _finish(spark, fact_path, lease, apply)
     return rows, touched

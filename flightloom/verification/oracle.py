@@ -541,3 +541,26 @@ ORACLE["daily_run_fact_cut"] = ORACLE["daily_run_fact"]
 ORACLE["fct_flights_cut"] = ORACLE["fct_flights"]
 ORACLE["backfill"] = ORACLE["upsert_fact"]
 ORACLE["stored_failures"] = ORACLE["check_category"]
+
+ORACLE |= {
+    # The same rows as another query's, reached in another way.
+    "upsert_fact_recovered": ORACLE["upsert_fact"],
+    "upsert_fact_bucketed": ORACLE["upsert_fact"],
+    "carried_window": ORACLE["incremental_window"],
+    "ledger_audit": ORACLE["landing_audit"],
+    "complete_dates": f"""SELECT insert_date, 'complete' AS status, pages_landed AS pages, expected_pages AS expected
+                          FROM ({ORACLE["landing_audit"]}) WHERE complete""",
+    "named_columns": """
+        SELECT 'S' || o_orderkey % 10 AS airline, CASE WHEN o_orderkey % 8 != 0 THEN o_orderkey % 100 END AS airline_id, 'C' || o_custkey % 100 AS source_airport,
+               o_orderkey AS destination_airport_id, o_orderkey % 3 AS stops, '738 ' || o_orderpriority AS equipment
+        FROM orders""",
+    # The place of each row in the order the answer is shown in.
+    **{
+        f"{name}_order": f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS place, * FROM ({ORACLE[name].rstrip().rstrip(';')})"
+        for name, order in {
+            "k_flights_by_date": "flight_date",
+            "k_delay_category": '"count" DESC, delay_category',
+            "k_time_of_day": "list_position(['Morning', 'Afternoon', 'Evening', 'Night'], time_of_day)",
+        }.items()
+    },
+}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import operators as ops
 from ..functions import surrogate_key
@@ -17,16 +18,20 @@ from ..session import configure, discard, shared_dir
 from ..sources import (
     LandingError,
     accepted,
+    audit_ledger,
     failures_path,
     landed_dates,
     landing_audit,
     landing_contract,
     load_reference,
+    name_columns,
     read_bronze,
     read_fact,
     read_flight_pages,
+    read_ledger,
     read_reference,
     read_reference_csv,
+    refresh_ledger,
     rejected,
     scan_insert_date,
     store_failures,
@@ -35,12 +40,14 @@ from ..sources import (
 )
 from ..sources.pages import parse_pages
 from ..sources.reference import NULL_MARKER
+from ..streaming import watch_complete
 from . import derived
 from .derived import TIE_BREAK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "2024-02-01"
+BATCH_DAYS = ("2024-02-01", "2024-02-02", "2024-02-03")
 SMALL_GROUP = 200  # forces the cut path on tables of any size
 
 
@@ -126,6 +133,41 @@ def landed_flights(spark, sf_dir):
     return ops.stage_flights(read_bronze(spark, f"{root}/bronze"), keep=("flight_icao_full",))
 
 
+def ledger_audit(spark, sf_dir):
+    """The audit answered from the page ledger, which read each landed file once."""
+    root = shared_dir(spark, "landed")
+    derived.land_pages(spark, sf_dir, f"{root}/raw")
+    refresh_ledger(spark, f"{root}/raw", f"{root}/ledger")
+    refresh_ledger(spark, f"{root}/raw", f"{root}/ledger")
+    return audit_ledger(read_ledger(spark, f"{root}/ledger"), limit=100, max_pages=20)
+
+
+def complete_dates(spark, sf_dir):
+    """What the waiting stream releases of the landed dates; the others wait on."""
+    root = shared_dir(spark, "landed")
+    derived.land_pages(spark, sf_dir, f"{root}/raw")
+    released = []
+    watch_complete(spark, f"{root}/raw", f"{root}/seen", released.extend, limit=100, max_pages=20).awaitTermination()
+    return spark.createDataFrame(released, "insert_date string, status string, pages bigint, expected bigint").withColumn("insert_date", F.col("insert_date").cast("date"))
+
+
+def named_columns(spark, sf_dir):
+    """Reference data read without names, which it gets by position."""
+    nameless = {name: df.toDF(*[f"_c{n}" for n in range(len(df.columns))]) for name, df in derived.reference_rows(spark, sf_dir).items()}
+    return name_columns(nameless)["routes"].select("airline", "airline_id", "source_airport", "destination_airport_id", "stops", "equipment")
+
+
+def _in_shown_order(name: str) -> Query:
+    """A question's answer with the place of each row. An answer has a row a date or category."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        answer = _question(name)(spark, sf_dir)
+        rows = [(place, *row) for place, row in enumerate(answer.collect(), 1)]
+        return spark.createDataFrame(rows, T.StructType([T.StructField("place", T.IntegerType()), *answer.schema]))
+
+    return run
+
+
 def missing_dates(spark, sf_dir):
     root = shared_dir(spark, "landed")
     landed = landed_dates(spark, derived.land_pages(spark, sf_dir, root))
@@ -216,12 +258,39 @@ def upsert_fact(spark, sf_dir):
     """Three insert dates, one upsert after the other."""
     path = shared_dir(spark, "fact")
     flights = derived.batched_flights(spark, sf_dir)
-    for day in ("2024-02-01", "2024-02-02", "2024-02-03"):
+    for day in BATCH_DAYS:
         batch = flights.where(F.col("insert_date") == F.lit(day).cast("date"))
         ops.upsert_fact(spark, path, marts.fact_flights(batch, day, TIE_BREAK))
     return read_fact(spark, path)
 
 
+def upsert_fact_recovered(spark, sf_dir):
+    """The same three insert dates, of which the second breaks off once it is marked, and leftovers of unmarked ones lie about."""
+    path = shared_dir(spark, "fact")
+    flights = derived.batched_flights(spark, sf_dir)
+    batches = [marts.fact_flights(flights.where(F.col("insert_date") == F.lit(day).cast("date")), day, TIE_BREAK) for day in BATCH_DAYS]
+    ops.upsert_fact(spark, path, batches[0])
+    with ops.leased(spark, path, "broken off") as lease:
+        ops.stage_upsert(spark, path, batches[1], lease)
+    batches[0].limit(5).write.parquet(f"{path}.upsert/unmarked/batch")
+    ops.upsert_fact(spark, path, batches[2])
+    batches[0].limit(5).write.parquet(f"{path}.upsert/unmarked/batch")
+    ops.finish_upsert(spark, path)
+    return read_fact(spark, path)
+
+
+def upsert_fact_bucketed(spark, sf_dir):
+    """The same three insert dates into a catalog table bucketed by key."""
+    path = shared_dir(spark, "bucketed")
+    table = f"fct_flights_{path[-32:]}"
+    flights = derived.batched_flights(spark, sf_dir)
+    for day in BATCH_DAYS:
+        fact = marts.fact_flights(flights.where(F.col("insert_date") == F.lit(day).cast("date")), day, TIE_BREAK)
+        ops.create_fact_table(spark, table, path, fact, buckets=4)
+        ops.upsert_table(spark, table, fact)
+    return spark.table(table)
+
+
 def backfill(spark, sf_dir):
     """The same three insert dates in one job."""
     path = shared_dir(spark, "fact")
@@ -266,14 +335,25 @@ def daily_run_checks(spark, sf_dir):
     return spark.createDataFrame(rows, "run int, check string, status string, failures bigint")
 
 
-def incremental_window(spark, sf_dir):
+def _stored_and_batch(spark, sf_dir):
     flights = derived.flights(spark, sf_dir)
     from_day = F.lit("2024-01-20").cast("date")
     path = shared_dir(spark, "fact")
     stored = marts.fact_flights(flights.where(F.col("flight_date") < from_day), RUN_DATE, TIE_BREAK)
     ops.upsert_fact(spark, path, stored)
-    batch = flights.where(F.col("flight_date") >= from_day)
-    return ops.incremental_window(path, batch, TIE_BREAK)
+    return path, flights.where(F.col("flight_date") >= from_day)
+
+
+def incremental_window(spark, sf_dir):
+    return ops.incremental_window(*_stored_and_batch(spark, sf_dir), TIE_BREAK)
+
+
+def carried_window(spark, sf_dir):
+    """The same frames, carried by the stored tails of the routes."""
+    path, batch = _stored_and_batch(spark, sf_dir)
+    tails = shared_dir(spark, "tails")
+    ops.keep_tails(spark, path, tails)
+    return ops.carried_window(tails, path, batch, TIE_BREAK)
 
 
 def _recategorised(spark, sf_dir):
@@ -304,21 +384,28 @@ QUERIES: dict[str, Query] = {
     "fct_flights_cut": fct_flights_cut,
     **{name: _mart(build) for name, build in MARTS.items()},
     **{name: _question(name) for name in serving.QUESTIONS},
+    **{f"{name}_order": _in_shown_order(name) for name in ("k_flights_by_date", "k_delay_category", "k_time_of_day")},
     "bronze_flights": bronze_flights,
     "landed_flights": landed_flights,
     "landing_contract": lambda spark, sf_dir: landing_contract(_pages(spark, sf_dir)),
     "landing_audit": lambda spark, sf_dir: landing_audit(_pages(spark, sf_dir), limit=100, max_pages=20),
+    "ledger_audit": ledger_audit,
+    "complete_dates": complete_dates,
     "missing_dates": missing_dates,
     "scan_insert_date": scan_one_insert_date,
     "flight_rejects": flight_rejects,
     "reference_rejects": lambda spark, sf_dir: rejected(_broken_routes(spark, sf_dir)),
     "reference_accepted": reference_accepted,
+    "named_columns": named_columns,
     **{f"dim_{name}": _dimension(name) for name in REFERENCE_DATASETS},
     "reference_load": reference_load,
     "reference_rows_written": reference_rows_written,
     "upsert_fact": upsert_fact,
+    "upsert_fact_recovered": upsert_fact_recovered,
+    "upsert_fact_bucketed": upsert_fact_bucketed,
     "backfill": backfill,
     "incremental_window": incremental_window,
+    "carried_window": carried_window,
     "daily_run_fact": daily_run_fact,
     "daily_run_fact_cut": daily_run_fact_cut,
     "daily_run_route_daily": _daily_run_mart("route_daily"),
