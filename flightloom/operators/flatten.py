@@ -44,11 +44,24 @@ def whole_minutes(text: Column) -> Column:
     return text.try_cast("double").try_cast("int")
 
 
-def flatten_flights(pages: DataFrame, ingestion_date: str | None = None) -> DataFrame:
+def failed_casts(flight: str = "doc") -> Column:
+    """Names of the columns whose cell is there but cannot be read as what it should be: the date, the clocks, the delays."""
+    cell = lambda name: F.col(f"{flight}.{PATHS[name]}")
+    read = {
+        "flight_date": cell("flight_date").try_cast("date"),
+        **{name: F.try_to_timestamp(cell(name)) for name in CLOCKS},
+        **{name: whole_minutes(cell(name)) for name in DELAYS},
+    }
+    named = [F.when(cell(name).isNotNull() & value.isNull(), F.lit(name)) for name, value in read.items()]
+    return F.filter(F.array(*named), lambda name: name.isNotNull())
+
+
+def flatten_flights(pages: DataFrame, ingestion_date: str | None = None, audit: bool = False) -> DataFrame:
     """One row per element of each page's ``data``; pages without flights give no rows.
 
     Adds the four clock texts as timestamps, makes the delays whole minutes and stamps ``ingestion_date`` -- the given run
-    date, or the page's own insert date, but never today's, so that a rerun gives the same rows.
+    date, or the page's own insert date, but never today's, so that a rerun gives the same rows. ``audit`` adds ``failed_casts``, the columns
+    of each row that became null because their cell could not be read.
     """
     stamp = F.lit(ingestion_date) if ingestion_date else F.col("insert_date").cast("string")
     # An inner explode would also filter on the array below the parse, and so parse every page again for the filter.
@@ -59,4 +72,5 @@ def flatten_flights(pages: DataFrame, ingestion_date: str | None = None) -> Data
         value = F.col(f"doc.{path}")
         flat.append((whole_minutes(value) if name in DELAYS else value).alias(name))
     parsed = [F.try_to_timestamp(F.col(f"doc.{PATHS[c]}")).alias(f"{c}_ts") for c in CLOCKS]
-    return flights.select(*flat, *parsed, stamp.alias("ingestion_date"), "insert_date")
+    audited = [failed_casts().alias("failed_casts")] if audit else []
+    return flights.select(*flat, *parsed, *audited, stamp.alias("ingestion_date"), "insert_date")

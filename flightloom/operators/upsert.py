@@ -30,6 +30,8 @@ from ..sources.tables import read_dates
 
 FACT_KEY = "flight_key"
 FACT_PARTITION = "flight_date"
+#: By what the rows of a date are sorted.
+FACT_CLUSTER = ("dep_iata", "arr_iata")
 #: How long after its last sign of life a writer's lease still holds.
 LEASE_SECONDS = 6 * 3600
 
@@ -139,7 +141,8 @@ def _finish(spark: SparkSession, fact_path: str, lease: Lease, apply: Apply | No
         if apply:
             apply(result)
         else:
-            write_mart(result, fact_path, [FACT_PARTITION], only_touched=True)
+            clustered = [c for c in FACT_CLUSTER if c in result.columns]
+            write_mart(result, fact_path, [FACT_PARTITION], only_touched=True, cluster_by=clustered, bloom=[FACT_KEY])
         lease.renew()
         # The mark goes first and alone: a folder is removed in no promised order, and a mark must never outlive its copies.
         discard(spark, _mark_path(fact_path))

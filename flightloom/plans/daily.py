@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     CheckResult,
-    category_mismatches,
+    cast_failures,
     check,
-    duplicate_keys,
+    check_fact,
     finish_upsert,
     flatten_flights,
     stage_flights,
@@ -38,6 +38,7 @@ from ..sources import (
     read_ledger,
     refresh_ledger,
     scan_insert_dates,
+    store_failures,
     write_bronze,
     write_mart,
 )
@@ -70,6 +71,7 @@ class RunReport(NamedTuple):
     fact_rows: int
     checks: list[CheckResult]
     failed_dates: dict[str, str] = {}  # insert dates whose pages cannot be used, with the reason
+    cast_failures: int = 0  # cells that could not be read, kept under ``metadata/cast_failures``
 
 
 class QualityError(Exception):
@@ -132,7 +134,7 @@ def run_batches(
     if filled:
         pages = read_flight_pages(spark, layout.raw, filled)
         # One date needs no shuffle to keep its files together.
-        bronze_rows = write_bronze(flatten_flights(pages), layout.bronze, rebalance=len(filled) > 1)
+        bronze_rows = write_bronze(flatten_flights(pages, audit=True), layout.bronze, rebalance=len(filled) > 1)
     report = _load(spark, layout, filled, tie_break, stop_on_error, strict, max_group_rows) if filled else RunReport({}, 0, 0, [])
     report = report._replace(pages=landed, bronze_rows=bronze_rows, failed_dates=failed)
     if failed:
@@ -149,20 +151,20 @@ def _load(
     bronze = scan_insert_dates(spark, layout.bronze, insert_dates)
     undated = check(undated_flights(bronze), "flight_date_not_null", layout.metadata)
     checks = [_graded(undated, stop_on_error)]
+    unread = store_failures(cast_failures(bronze), layout.metadata, "cast_failures")
 
     finish_upsert(spark, layout.fact)
     staged = stage_flights(bronze, keep=("insert_date", *(tie_break or ())))
     fact = marts.fact_flights(staged, F.col("insert_date"), tie_break, batch="insert_date", max_group_rows=max_group_rows)
     fact_rows, touched = upsert_fact(spark, layout.fact, fact)
     if not touched:
-        return RunReport({}, 0, 0, checks)
+        return RunReport({}, 0, 0, checks, cast_failures=unread)
     # A key holds its date, so only the dates just written can have gained a duplicate or a wrong category.
     written = read_dates(spark, layout.fact, touched)
-    checks.append(_graded(check(category_mismatches(written, strict), "delay_category", layout.metadata), stop_on_error))
-    checks.append(_graded(check(duplicate_keys(written), "unique_flight_key", layout.metadata), stop_on_error))
+    checks += [_graded(result, stop_on_error) for result in check_fact(written, layout.metadata, strict)]
 
     rebuild_marts(spark, layout, touched)
-    return RunReport({}, 0, fact_rows, checks)
+    return RunReport({}, 0, fact_rows, checks, cast_failures=unread)
 
 
 def register_tables(spark: SparkSession, layout: Layout) -> None:

@@ -23,6 +23,8 @@ def _write(
     max_output_files: int | None = None,
     replace_only_touched: bool = False,
     rebalance: bool = True,
+    cluster_by: Sequence[str] = (),
+    bloom: Sequence[str] = (),
 ) -> int:
     out = df
     if max_output_files:
@@ -31,9 +33,14 @@ def _write(
         # Groups each partition's rows into files of the advisory size: a date with few rows gets one file, a huge date is
         # split over many tasks.
         out = out.hint("rebalance", *partition_by)
+    if cluster_by:
+        # The writer sorts by partition anyway; sorting on within it gives each row group a narrow range of these columns.
+        out = out.sortWithinPartitions(*partition_by, *cluster_by)
     # Observed last: a count taken below a shuffle is lost when the shuffle turns out to be empty.
     seen = Observation()
     writer = out.observe(seen, count_rows().alias("rows")).write.mode("overwrite").option("compression", compression)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if replace_only_touched:
@@ -90,10 +97,14 @@ def write_reference(
 
 
 def write_mart(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), only_touched: bool = False
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), only_touched: bool = False, cluster_by: Sequence[str] = (), bloom: Sequence[str] = ()
 ) -> int:
-    """Rebuild a mart. ``only_touched`` replaces just the partitions present in ``df``."""
-    return _write(df, path, partition_by, DEFAULT_COMPRESSION, None, only_touched)
+    """Rebuild a mart. ``only_touched`` replaces just the partitions present in ``df``.
+
+    ``cluster_by`` sorts the rows of a partition, so that a filter on these columns skips row groups by their ranges; ``bloom`` adds Bloom filters, by
+    which a lookup of single values skips row groups whatever their order.
+    """
+    return _write(df, path, partition_by, DEFAULT_COMPRESSION, None, only_touched, cluster_by=cluster_by, bloom=bloom)
 
 
 def failures_path(metadata_root: str, check: str) -> str:

@@ -564,3 +564,39 @@ ORACLE |= {
         }.items()
     },
 }
+
+# fmt: off
+_SUMMARY = """flight_date, '{grain}' AS grain, {value} AS value, count(*) AS flights, CAST(sum(dep_delay_min) AS BIGINT) AS dep_delay, count(dep_delay_min) AS dep_known,
+              count(*) FILTER (is_delayed_15) AS late, count(*) FILTER (delay_category IN ('ontime', 'early')) AS ontime,
+              count(*) FILTER (delay_category = 'severe_delay') AS severe"""
+_GRAINS = {"date": "CAST(NULL AS VARCHAR)", "category": "delay_category", "time_of_day": "time_of_day", "airline": "airline_iata", "airport": "dep_iata",
+           "hour": "CAST(dep_hour AS VARCHAR)"}
+# fmt: on
+
+ORACLE |= {
+    **{
+        f"{name}_summary": ORACLE[name]
+        for name in ("k_flights_by_date", "k_delay_category", "k_time_of_day", "k_airlines", "k_weekend", "k_total", "k_ontime", "k_avg_delay", "k_hours",
+                     "k_airports", "k_severe", "k_category_trend")
+    },
+    "stored_summary": _with(
+        TO_BATCH_FACT, " UNION ALL ".join(f"SELECT {_SUMMARY.format(grain=g, value=v)} FROM fact GROUP BY flight_date, {v}" for g, v in _GRAINS.items())
+    ),
+    "view_stg_flights": _with([*TO_PAGED, ("landed", LANDED_STAGED)], "SELECT * EXCLUDE (flight_icao_full), ingestion_date AS insert_date FROM landed WHERE ingestion_date = DATE '2024-02-05'"),
+    "view_stg_routes": """SELECT 'S' || o_orderkey % 10 AS airline_code, count(*) AS routes, CAST(sum(o_orderkey % 3) AS BIGINT) AS stops FROM orders GROUP BY 1""",
+    "view_int_kpis": _with([*TO_PAGED, ("landed", LANDED_STAGED)], f"SELECT {CATEGORY_RULES} AS delay_category, count(*) AS flights FROM landed GROUP BY 1"),
+    "view_int_route_delays": ORACLE["route_daily"],
+    "view_int_weekly": ORACLE["weekly_comparison"],
+    "route_lookup": _with(TO_FACT, "SELECT flight_key, flight_date, dep_delay_min FROM fact WHERE dep_iata = 'A3' AND arr_iata = 'B1'"),
+    "cast_failures": _with(
+        TO_PAGED,
+        """SELECT CAST(event_id AS VARCHAR) AS flight_icao_full, 'flight_date' AS "column", landed_on AS insert_date FROM paged
+           WHERE NOT is_error AND NOT is_cut AND event_id % 43 <> 0 AND event_id % 41 = 0
+           UNION ALL SELECT CAST(event_id AS VARCHAR), 'dep_delay_min', landed_on FROM paged WHERE NOT is_error AND NOT is_cut AND event_id % 47 = 0""",
+    ),
+    "check_results_one_pass": _with(
+        [*TO_RECATEGORISED, ("mismatched", MISMATCHED), ("repeated", f"SELECT * FROM ({ORACLE['duplicate_keys']})")],
+        """SELECT 'delay_category' AS "check", count(*) AS failures, count(*) AS stored, CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END AS status FROM mismatched
+           UNION ALL SELECT 'unique_flight_key', count(*), count(*), CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END FROM repeated""",
+    ),
+}

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from .. import operators as ops
 from ..functions import surrogate_key
 from ..operators.silver import FLIGHT
-from ..plans import marts, serving
+from ..plans import marts, serving, summary
 from ..plans.daily import Layout, run_batches
+from ..plans.views import register_views
 from ..schemas import REFERENCE_DATASETS
 from ..session import configure, discard, shared_dir
 from ..sources import (
@@ -36,6 +37,7 @@ from ..sources import (
     scan_insert_date,
     store_failures,
     write_bronze,
+    write_mart,
     write_reference,
 )
 from ..sources.pages import parse_pages
@@ -254,6 +256,67 @@ def check_results(spark, sf_dir):
     return spark.createDataFrame(rows, "check string, status string, failures bigint, stored bigint")
 
 
+def cast_failures(spark, sf_dir):
+    return ops.cast_failures(ops.flatten_flights(_pages(spark, sf_dir), audit=True))
+
+
+def check_results_one_pass(spark, sf_dir):
+    """Both checks of a fact in one pass over it; here over flights with duplicates and with wrong categories."""
+    root = shared_dir(spark, "metadata")
+    keyed = _recategorised(spark, sf_dir).join(surrogate_keys(spark, sf_dir), "event_id")
+    results = ops.check_fact(keyed, root)
+    rows = [(r.name, r.status, r.failures, spark.read.parquet(r.stored_at).count() if r.failures else 0) for r in results]
+    discard(spark, root)
+    return spark.createDataFrame(rows, "check string, status string, failures bigint, stored bigint")
+
+
+def _from_summary(name: str) -> Query:
+    return lambda spark, sf_dir: summary.ask_summary(summary.day_summary(_fact(spark, sf_dir, rolling=False)), name)
+
+
+def stored_summary(spark, sf_dir):
+    """The summary as it follows the fact over three upserts, by touched dates."""
+    path, kept = shared_dir(spark, "fact"), shared_dir(spark, "summary")
+    flights = derived.batched_flights(spark, sf_dir)
+    for day in BATCH_DAYS:
+        batch = marts.fact_flights(flights.where(F.col("insert_date") == F.lit(day).cast("date")), day, TIE_BREAK, rolling=False)
+        _, touched = ops.upsert_fact(spark, path, batch)
+        summary.keep_summary(spark, path, kept, touched)
+    grouped = spark.read.parquet(kept)
+    value = F.coalesce(*[F.col(c).cast("string") for c in summary.GRAINS.values() if c])
+    return grouped.select("flight_date", "grain", value.alias("value"), "flights", "dep_delay", "dep_known", "late", "ontime", "severe")
+
+
+def _viewed(spark, sf_dir, question: str) -> DataFrame:
+    """A question of a SQL user to the named layers."""
+    layout = Layout.under(shared_dir(spark, "views"))
+    write_bronze(ops.flatten_flights(_pages(spark, sf_dir)), layout.bronze)
+    write_mart(_fact(spark, sf_dir, rolling=False), layout.fact, ["flight_date"])
+    write_reference({"routes": derived.reference_rows(spark, sf_dir)["routes"]}, f"{layout.bronze}-reference")
+    register_views(spark, layout, f"{layout.bronze}-reference")
+    return spark.sql(question)
+
+
+VIEWED = {
+    "view_stg_flights": "SELECT * FROM stg_lnd_flights WHERE insert_date = DATE'2024-02-05'",
+    "view_stg_routes": "SELECT airline_code, count(*) AS routes, sum(CAST(stops AS BIGINT)) AS stops FROM stg_lnd_routes GROUP BY airline_code",
+    "view_int_kpis": "SELECT delay_category, count(*) AS flights FROM int_flights_kpis GROUP BY delay_category",
+    "view_int_route_delays": "SELECT * FROM int_avg_flight_delays",
+    "view_int_weekly": "SELECT * FROM int_weekly_comparison",
+}
+
+
+def _view_query(question: str) -> Query:
+    return lambda spark, sf_dir: _viewed(spark, sf_dir, question)
+
+
+def route_lookup(spark, sf_dir):
+    """One route of the stored fact, whose files skip the row groups of other routes."""
+    path = shared_dir(spark, "fact")
+    ops.upsert_fact(spark, path, _fact(spark, sf_dir, rolling=False))
+    return read_fact(spark, path).where("dep_iata = 'A3' AND arr_iata = 'B1'").select("flight_key", "flight_date", "dep_delay_min")
+
+
 def upsert_fact(spark, sf_dir):
     """Three insert dates, one upsert after the other."""
     path = shared_dir(spark, "fact")
@@ -384,6 +447,10 @@ QUERIES: dict[str, Query] = {
     "fct_flights_cut": fct_flights_cut,
     **{name: _mart(build) for name, build in MARTS.items()},
     **{name: _question(name) for name in serving.QUESTIONS},
+    **{f"{name}_summary": _from_summary(name) for name in summary.ANSWERS},
+    "stored_summary": stored_summary,
+    **{name: _view_query(question) for name, question in VIEWED.items()},
+    "route_lookup": route_lookup,
     **{f"{name}_order": _in_shown_order(name) for name in ("k_flights_by_date", "k_delay_category", "k_time_of_day")},
     "bronze_flights": bronze_flights,
     "landed_flights": landed_flights,
@@ -419,6 +486,8 @@ QUERIES: dict[str, Query] = {
     "check_category_strict": lambda spark, sf_dir: ops.category_mismatches(_recategorised(spark, sf_dir), strict=True),
     "stored_failures": stored_failures,
     "check_results": check_results,
+    "check_results_one_pass": check_results_one_pass,
+    "cast_failures": cast_failures,
 }
 
 
