@@ -18,6 +18,7 @@ from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 WITH_IDS = PIECES + ", ids array<long>"
 #: Pieces ranked by one task.
 RANK_ROWS = 50_000
-#: Entries of each of a task's caches.
+#: Entries of a generation of each of a worker's caches.
 CACHE = 300_000
 _SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -56,29 +57,36 @@ def document_ids(path: str, pattern: str, cache_size: int = CACHE) -> Callable[[
     if tokenizer.normalizer is not None or not all(t.special for t in tokenizer.get_added_tokens_decoder().values()):
         raise ValueError("expected a byte-level tokenizer without a normalizer and without added words")
     split, merge = regex.compile(pattern).findall, tokenizer.model.tokenize
-    of_pretoken: dict[str, bytes] = {}
     shown = byte_characters()
 
-    class Stretches(dict):
-        def __missing__(self, stretch: str) -> bytes:
-            ids = b""
-            for pretoken in split(stretch):
-                known = of_pretoken.get(pretoken)
-                if known is None:
-                    if len(of_pretoken) >= cache_size:
-                        of_pretoken.clear()
-                    letters = pretoken.encode().decode("latin-1").translate(shown)
-                    known = array("I", [t.id for t in merge(letters)]).tobytes()
-                    if len(pretoken) < 64:
-                        of_pretoken[pretoken] = known
-                ids += known
+    class Remembered(dict):
+        """Ids by text, in two generations: a full one becomes the old one, from which texts that occur again come back."""
+
+        def __init__(self, find: Callable[[str], bytes]):
+            self.find, self.old = find, {}
+
+        def __missing__(self, text: str) -> bytes:
+            ids = self.old.get(text)
+            if ids is None:
+                ids = self.find(text)
+                if len(text) >= 64:
+                    return ids
             if len(self) >= cache_size:
+                self.old = dict(self)
                 self.clear()
-            if len(stretch) < 64:
-                self[stretch] = ids
+            self[text] = ids
             return ids
 
-    later, first = Stretches(), Stretches()
+    def of_match(match: str) -> bytes:
+        return array("I", [t.id for t in merge(match.encode().decode("latin-1").translate(shown))]).tobytes()
+
+    matches = Remembered(of_match)
+
+    def of_stretch(stretch: str) -> bytes:
+        found = split(stretch)
+        return of_match(found[0]) if len(found) == 1 else b"".join([matches[m] for m in found])
+
+    later, first = Remembered(of_stretch), Remembered(of_stretch)
 
     def encode(text: str) -> bytes:
         if not text:
@@ -99,7 +107,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = 1
         encode = document_ids(tokenizer_path, pattern)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows: list[list] = [[] for _ in range(6 if keep_ids else 5)]
+            rows: list[list] = [[] for _ in range(5)]
+            kept: list[bytes] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encode(text or "") + closing
                 total = len(ids) // 4
@@ -111,10 +120,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = 1
                     rows[3].append(zlib.crc32(part))
                     rows[4].append(total)
                     if keep_ids:
-                        rows[5].append(array("I", part).tolist())
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * keep_ids
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds, strict=True)], names=names)
+                        kept.append(part)
+            columns, names = [pa.array(v, pa.int64()) for v in rows], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            if keep_ids:
+                flat = np.frombuffer(b"".join(kept), dtype=np.uint32).astype(np.int64)
+                ends = np.r_[0, np.cumsum(rows[2], dtype=np.int64)].astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                names.append("ids")
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         return handle
 
