@@ -1,13 +1,18 @@
 """Toxic passages: maximum-scoring segments over token log-odds.
 
-Each token has the log-odds of occurring in toxic rather than clean documents, with an informative Dirichlet prior taken from
-the counts of *all* documents, shrunk towards zero by its own uncertainty and less a drift that makes the expected score
-of clean text negative. A linear scan finds every maximal segment of a document; Karlin-Altschul statistics of clean text
-turn segment scores into extreme-value units, comparable over document lengths, and a logistic calibration on
-labelled documents that took no part in the counts makes them probabilities.
+Each token has the log-odds of occurring in toxic rather than clean documents, shrunk towards zero by its own uncertainty and less a drift that
+makes the expected score of clean text negative. Evidence comes in two layers: a stem, the first ``STEM`` letters, has an informative
+Dirichlet prior taken from the counts of *all* documents; a whole token has its own counts, with the split of its stem as prior, so
+a token with counts of its own is judged by them and an unseen one by its relatives. What repeats within a text counts less each time: the
+k-th occurrence of a token adds a k-th of its evidence, so no repeated phrase makes a passage by itself. A linear scan finds every maximal segment of a
+document; Karlin-Altschul statistics of clean text turn segment scores into extreme-value units, comparable over document lengths, and a logistic
+calibration on labelled documents that took no part in the counts makes them probabilities. Its slope is never negative: more evidence never lowers a score.
 
-Labels of at most ``MAX_LABELS`` documents are used, those with the smallest hashes of their ids; the corpus counts cover every
-document. Tokens are counted in ``BUCKETS`` hash buckets, so the model has a fixed size whatever the vocabulary.
+Tokens are runs of letters, marks and digits of any script; in scripts written without spaces they are pairs of neighbouring characters.
+
+Labels of at most ``MAX_LABELS`` documents are used, those with the smallest hashes of their ids; the corpus counts cover every document. Of the
+labelled documents' stems and tokens the ``MAX_KEYS`` most frequent are known by their 64-bit keys, a bound for what goes to the tasks; a token beyond it is
+judged by its stem, a stem beyond it is neutral.
 
 Null and empty texts have no tokens and score by the calibration's value for nothing found. Rows are scored independently;
 repeated rows and rows with a null id are scored alike. Several labels of one id: toxic if any says so. Without labels of
@@ -16,11 +21,15 @@ both classes every score is 0. Only the named columns are read.
 
 from __future__ import annotations
 
-import zlib
-from dataclasses import dataclass
+import re
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,33 +37,46 @@ from .boosting import logistic_fit
 from .common import column, keyed_texts, map_batches, small_batches, written
 
 MAX_LABELS = 100_000
-BUCKETS = 1 << 18
-#: Weight of the prior, in tokens.
+MAX_KEYS = 1 << 19
+#: Weight of the stems' prior and of a token's, in tokens.
 PRIOR = 1000.0
+TOKEN_PRIOR = 20.0
 #: Standard deviations by which log-odds are shrunk.
 SHRINK = 2.0
 #: Extreme-value units from which a segment counts as significant: -ln of its expected number in clean text.
 SIGNIFICANT = 1.0
-#: Letters of a token that count. Cutting words to a stem lets inflected and compounded forms share their evidence.
+#: Letters of a stem. Inflected and compounded forms share their evidence by it.
 STEM = 4
 _CACHE = 300_000
-_PUNCTUATION = ".,;:!?\"()[]"
+#: Counted entries after which a task hands on what it has.
+_FLUSH = 400_000
+
+_PLAIN = re.compile(r"[^\W_]+").findall
+_BEYOND = re.compile("[\u0300-\U0010ffff]").search
+_RUNS = regex.compile(r"[\p{L}\p{M}\p{N}]+").findall
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]+")
 
 
 def tokens(text: str) -> list[str]:
     text = text.lower()
-    for mark in _PUNCTUATION:
-        if mark in text:
-            text = text.replace(mark, " ")
-    return text.split()
-
-
-class _Buckets(dict):
-    def __missing__(self, token: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        self[token] = bucket = zlib.crc32(token[:STEM].encode()) & (BUCKETS - 1)
-        return bucket
+    if not _BEYOND(text):
+        return _PLAIN(text)
+    found = []
+    for run in _RUNS(text):
+        at = 0
+        for part in _UNSPACED.finditer(run):
+            first, end = part.span()
+            if first > at:
+                found.append(run[at:first])
+            found += [run[i : i + 2] for i in range(first, max(end - 1, first + 1))]
+            at = end
+        if at < len(run):
+            found.append(run[at:])
+    return found
+
+
+def key_of(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode()) >> 1
 
 
 def fold(id_column) -> F.Column:
@@ -71,74 +93,120 @@ def training_labels(labels: DataFrame, id_col: str = "doc_id", toxic_col: str =
     return known.groupBy("l_id", "fold").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("l_id"), "l_id").limit(max_labels)
 
 
-def count_tokens(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts by bucket: in all documents, in the toxic ones and in the clean ones of the counting folds."""
+def count_tokens(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Written counts by key: (key, stem, n_all, n_toxic, n_clean), over all documents, and over the toxic and the clean ones of the counting folds.
+    For a stem ``stem`` is null; whole tokens, which are counted in labelled documents only, name theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stems: list[Counter] = [Counter(), Counter(), Counter()]
+        whole: list[Counter] = [Counter(), Counter()]
+
+        def flush() -> pa.RecordBatch:
+            entries = [(s, None) for s in stems[0]] + [(t, t[:STEM]) for t in {*whole[0], *whole[1]}]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([key_of(t) for t, _ in entries], pa.int64()), pa.array([None if s is None else key_of(s) for _, s in entries], pa.int64()),
+                 pa.array([stems[0][t] if s is None else 0 for t, s in entries], pa.int64()),
+                 *(pa.array([(stems[k + 1] if s is None else whole[k])[t] for t, s in entries], pa.int64()) for k in (0, 1))],
+                names=["key", "stem", "n_all", "n_toxic", "n_clean"])
+            for counter in (*stems, *whole):
+                counter.clear()
+            return out
 
-    def run(batches):
-        bucket_of = _Buckets()
-        counts = np.zeros((3, BUCKETS), dtype=np.int64)
         for batch in batches:
-            seen: list[list[int]] = [[], [], []]
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if text:
-                    found = [bucket_of[t] for t in tokens(text)]
-                    seen[0] += found
-                    if toxic is not None:
-                        seen[1 if toxic else 2] += found
-            for k in range(3):
-                if seen[k]:
-                    counts[k] += np.bincount(np.array(seen[k]), minlength=BUCKETS)
-        used = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(c[used]) for c in counts)], names=["bucket", "n_all", "n_toxic", "n_clean"])
+                if not text:
+                    continue
+                found = tokens(text)
+                first = [t[:STEM] for t in found]
+                stems[0].update(first)
+                if toxic is not None:
+                    stems[1 if toxic else 2].update(first)
+                    whole[0 if toxic else 1].update([t for t in found if len(t) > STEM])
+            if sum(map(len, (stems[0], *whole))) > _FLUSH:
+                yield flush()
+        yield flush()
 
     # The labels are a bounded sample, so they can be broadcast. Fold 4 is kept for calibration.
     counting = labels.where("fold != 4").select("l_id", "toxic")
     marked = docs.join(F.broadcast(counting), F.col("doc_id") == F.col("l_id"), "left").select("text", "toxic")
-    partial = marked.mapInArrow(run, "bucket long, n_all long, n_toxic long, n_clean long")
-    table = partial.groupBy("bucket").agg(F.sum("n_all").alias("n_all"), F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
-    # BUCKETS rows at most. What no labelled document holds only adds to the total.
-    total = table.agg(F.sum("n_all")).first()[0] or 0
-    rows = np.array([tuple(r) for r in table.where("n_toxic + n_clean > 0").collect()], dtype=np.int64).reshape(-1, 4)
-    out = np.zeros((3, BUCKETS))
-    out[:, rows[:, 0]] = rows[:, 1:].T
-    return out[0] / max(total, 1), out[1], out[2]
+    partial = marked.mapInArrow(run, "key long, stem long, n_all long, n_toxic long, n_clean long")
+    return written(partial.groupBy("key", "stem").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")]), "toxicity-counts")
 
 
 @dataclass
 class Scorer:
-    """Token scores by bucket and the extreme-value constants of clean text."""
+    """Scores by key of token or stem, and the extreme-value constants of clean text."""
 
-    scores: np.ndarray
-    decay: float
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # ascending
+    scores: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    drift: float = 0.1
+    decay: float = 1.0
     log_k: float = 0.0
 
     def units(self, segment: np.ndarray | float, length) -> np.ndarray | float:
         """-ln of how many segments of this score clean text of this length would hold."""
         return self.decay * segment - self.log_k - np.log(np.maximum(length, 1))
 
+    def known(self, token: str) -> float | None:
+        key = key_of(token)
+        at = int(np.searchsorted(self.keys, key))
+        return float(self.scores[at]) if at < len(self.keys) and self.keys[at] == key else None
+
+    def evidence(self, token: str) -> float:
+        """What one occurrence of a token says, before the drift."""
+        own = self.known(token)
+        if own is None and len(token) > STEM:
+            own = self.known(token[:STEM])
+        return own or 0.0
 
-def log_odds(share: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> Scorer:
-    """Shrunken log-odds with the corpus as prior, shifted so that clean text drifts down; decay solves E[exp(decay·score)] = 1."""
-    prior = PRIOR * share + 1e-2
-    t, c = toxic + prior, clean + prior
-    delta = np.log(t / (t.sum() - t)) - np.log(c / (c.sum() - c))
-    spread = SHRINK * np.sqrt(1 / t + 1 / c)
-    seen = toxic + clean > 0
-    shrunk = np.where(seen, np.sign(delta) * np.maximum(np.abs(delta) - spread, 0), 0)
-    weight = clean / max(clean.sum(), 1)
+
+def _shrunk(delta: np.ndarray, deviation: np.ndarray) -> np.ndarray:
+    spread = SHRINK * deviation
     # Only positive evidence may build a passage; neutral words cost a little, clean ones more.
-    scores = np.clip(shrunk, -1.0, 6.0)
-    drift = max(0.1, float(weight @ scores) + 0.1)
-    scores = scores - drift
-    low, high = 1e-3, 20.0
-    if (scores[weight > 0] > 0).any():
+    return np.clip(np.sign(delta) * np.maximum(np.abs(delta) - spread, 0), -1.0, 6.0)
+
+
+def log_odds(counts: DataFrame) -> Scorer | None:
+    """The scorer that the counts give; none unless both classes have tokens. ``decay`` solves E[exp(decay·score)] = 1 over clean tokens."""
+    stems = counts.where("stem is null")
+    total, n_toxic, n_clean = stems.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_all", "n_toxic", "n_clean")]).first()
+    if not n_toxic or not n_clean:
+        return None
+    seen = F.col("n_toxic") + F.col("n_clean")
+
+    def most(rows: DataFrame, least: int) -> np.ndarray:
+        # MAX_KEYS rows at most.
+        frequent = rows.where(seen >= least).orderBy(seen.desc(), "key", "stem").limit(MAX_KEYS)
+        found = frequent.select("key", F.coalesce("stem", F.lit(0)).alias("stem"), "n_all", "n_toxic", "n_clean").toArrow()
+        return np.stack([c.to_numpy() for c in found.columns], axis=1).reshape(-1, 5)
+
+    # A token seen once says nothing that its stem does not.
+    s, w = most(stems, 1), most(counts.where("stem is not null"), 2)
+    s = s[np.argsort(s[:, 0])]
+    prior = PRIOR * s[:, 2] / total + 1e-2
+    t, c = s[:, 3] + prior, s[:, 4] + prior
+    deviation = np.sqrt(1 / t + 1 / c)
+    of_stem = _shrunk(np.log(t / (n_toxic + PRIOR - t)) - np.log(c / (n_clean + PRIOR - c)), deviation)
+    at = np.minimum(np.searchsorted(s[:, 0], w[:, 1]), len(s) - 1)
+    w, at = (x[s[at, 0] == w[:, 1]] for x in (w, at))
+    toxic_rate, clean_rate = (s[at, 3] + 0.5) / (n_toxic + 1), (s[at, 4] + 0.5) / (n_clean + 1)
+    share = toxic_rate / (toxic_rate + clean_rate)
+    both = n_toxic + n_clean
+    t, c = w[:, 3] + 2 * TOKEN_PRIOR * share * n_toxic / both, w[:, 4] + 2 * TOKEN_PRIOR * (1 - share) * n_clean / both
+    # A token is at least as certain as its stem, whose counts its own are added to.
+    of_token = _shrunk(np.log(t / n_toxic) - np.log(c / n_clean), np.minimum(np.sqrt(1 / t + 1 / c), deviation[at]))
+    # Clean text as a mixture: known tokens, and the rest of each stem.
+    rest = np.maximum(s[:, 4] - np.bincount(at, weights=w[:, 4], minlength=len(s)), 0)
+    weights, values = np.r_[w[:, 4], rest] / n_clean, np.r_[of_token, of_stem]
+    drift = max(0.1, float(weights @ values) + 0.1)
+    decay, low, high = 1.0, 1e-3, 20.0
+    if (values[weights > 0] > drift).any():
         for _ in range(60):
             middle = (low + high) / 2
-            low, high = (low, middle) if weight @ np.exp(middle * scores) > 1 else (middle, high)
+            low, high = (low, middle) if weights @ np.exp(middle * (values - drift)) > weights.sum() else (middle, high)
         decay = low
-    else:
-        decay = 1.0
-    return Scorer(scores, float(decay))
+    order = np.argsort(np.r_[s[:, 0], w[:, 0]], kind="stable")
+    return Scorer(np.r_[s[:, 0], w[:, 0]][order], np.r_[of_stem, of_token][order], drift, float(decay))
 
 
 def best_segment(scores: np.ndarray) -> float:
@@ -175,13 +243,31 @@ def maximal_segments(scores: np.ndarray, least: float = 0.0) -> list[tuple[int,
     return [(s, e, r - l) for s, e, l, r, _ in segments if r - l > least]
 
 
-def _scored(words: list[str], scorer: Scorer, bucket_of: _Buckets) -> np.ndarray:
-    return scorer.scores[np.fromiter((bucket_of[w] for w in words), np.int64, len(words))]
+class Evidence(dict):
+    """Evidence by token, remembered."""
+
+    def __init__(self, scorer: Scorer):
+        self.scorer = scorer
+
+    def __missing__(self, token: str) -> float:
+        if len(self) >= _CACHE:
+            self.clear()
+        self[token] = found = self.scorer.evidence(token)
+        return found
 
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Of each word: its evidence, a k-th of it at the k-th occurrence if it speaks for toxicity, less the drift."""
+        found = np.fromiter(map(self.__getitem__, words), float, len(words))
+        times: Counter = Counter()
+        for at in np.flatnonzero(found > 0):
+            times[words[at]] += 1
+            found[at] /= times[words[at]]
+        return found - self.scorer.drift
 
-def _statistics(text: str | None, scorer: Scorer, bucket_of: _Buckets) -> tuple[int, float, float]:
+
+def _statistics(text: str | None, evidence: Evidence) -> tuple[int, float, float]:
     """Of one text: tokens, best segment score, and the sum of extreme-value units over significant segments."""
-    scores = _scored(tokens(text or ""), scorer, bucket_of)
+    scorer, scores = evidence.scorer, evidence.scores(tokens(text or ""))
     n, best, units = len(scores), best_segment(scores), 0.0
     if n and scorer.units(best, n) >= SIGNIFICANT:
         each = np.array([s for _, _, s in maximal_segments(scores)])
@@ -192,28 +278,24 @@ def _statistics(text: str | None, scorer: Scorer, bucket_of: _Buckets) -> tuple[
 @dataclass
 class Model:
     scorer: Scorer
-    weights: np.ndarray | None = None
-
-    def inputs(self, n, best, units) -> np.ndarray:
-        """What the calibration weighs, one row per text."""
-        return np.c_[np.maximum(self.scorer.units(np.asarray(best), np.asarray(n)), -20), np.log1p(units)]
+    weights: np.ndarray | None = None  # slope, never negative, and intercept
 
-    def probability(self, n, best, units) -> np.ndarray:
+    def probability(self, units) -> np.ndarray:
         if self.weights is None:
-            return np.zeros(len(n))
-        total = self.inputs(n, best, units) @ self.weights[:2] + self.weights[2]
-        return 1 / (1 + np.exp(np.minimum(-total, 700)))
+            return np.zeros(len(units))
+        return 1 / (1 + np.exp(np.minimum(-(self.weights[0] * np.log1p(units) + self.weights[1]), 700)))
 
 
 def segment_statistics(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, tokens, best segment score, the sum of extreme-value units over significant segments, and the score."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        bucket_of = _Buckets()
+        evidence = Evidence(held.value.scorer)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n, best, units = zip(*(_statistics(text, model.scorer, bucket_of) for text in batch.column(1).to_pylist()), strict=True)
-            columns = [batch.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.float64()) for c in (best, units, model.probability(n, best, units)))]
+            n, best, units = zip(*(_statistics(text, evidence) for text in batch.column(1).to_pylist()), strict=True)
+            columns = [batch.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.float64()) for c in (best, units, held.value.probability(units)))]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "best", "units", "score"])
 
         return handle
@@ -237,10 +319,9 @@ def fit(keyed: DataFrame, labels: DataFrame, label_id: str = "doc_id", toxic_col
     """
     small_batches(keyed.sparkSession)
     known = written(training_labels(labels, label_id, toxic_col, held_out=held_out), "toxicity-labels")
-    share, toxic, clean = count_tokens(keyed, known)
-    scorer = log_odds(share, toxic, clean)
-    if not toxic.any() or not clean.any():
-        return Model(scorer)
+    scorer = log_odds(count_tokens(keyed, known))
+    if scorer is None:
+        return Model(Scorer())
     calibrating = F.broadcast(known.where("fold = 4").select("l_id", "toxic"))
     texts = written(keyed.join(calibrating, F.col("doc_id") == F.col("l_id"), "left_semi"), "toxicity-calibration")
 
@@ -253,20 +334,23 @@ def fit(keyed: DataFrame, labels: DataFrame, label_id: str = "doc_id", toxic_col
     if not 0 < y.sum() < len(y):
         return Model(scorer)
     scorer.log_k = float(scorer.decay * best[y == 0].mean() - 0.5772156649 - np.log(np.maximum(n[y == 0], 1)).mean())
-    n, best, units, y = measured().T
-    return Model(scorer, logistic_fit(Model(scorer).inputs(n, best, units), y, ridge=1e-2))
+    _, _, units, y = measured().T
+    slope, intercept = logistic_fit(np.log1p(units)[:, None], y, ridge=1e-2)
+    return Model(scorer, np.array([max(slope, 0.0), intercept]))
 
 
 def passages(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every significant passage: doc_id, first and end token, score and extreme-value units."""
 
+    held = docs.sparkSession.sparkContext.broadcast(scorer)
+
     def make():
-        bucket_of = _Buckets()
+        evidence = Evidence(held.value)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                scores = _scored(tokens(text or ""), scorer, bucket_of)
+                scores = evidence.scores(tokens(text or ""))
                 for start, end, total in maximal_segments(scores):
                     if (units := float(scorer.units(total, len(scores)))) >= SIGNIFICANT:
                         rows.append({"doc_id": doc_id, "first_token": start, "end_token": end, "segment_score": total, "units": units})
@@ -284,13 +368,14 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     if model.weights is None:
         return docs
     at = docs.columns.index(text_col)
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        bucket_of = _Buckets()
+        evidence = Evidence(held.value.scorer)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = zip(*(_statistics(t, model.scorer, bucket_of) for t in batch.column(at).to_pylist()), strict=True)
-            return batch.filter(pa.array(model.probability(*found) < 0.5))
+            units = [_statistics(t, evidence)[2] for t in batch.column(at).to_pylist()]
+            return batch.filter(pa.array(held.value.probability(units) < 0.5))
 
         return handle
 

@@ -1,10 +1,11 @@
 """Line dedup, substring dedup, n-gram join, PII, toxicity and URL filter."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 from itertools import product
-from math import comb
+from math import comb, log1p
 
 import duckdb
 import numpy as np
@@ -360,6 +361,30 @@ def test_maximal_segments(scores):
     assert toxicity.best_segment(array) == pytest.approx(max([t for *_, t in got], default=0))
 
 
+def test_a_long_log_of_spans_takes_linear_time():
+    import time
+
+    def seconds(n):
+        text = " ".join(f"user{i}@host{i % 97}.example.org from 10.{i % 250}.{i % 200}.7" for i in range(n))
+        start = time.process_time()
+        base, proposed = pii._scan(text)
+        assert len(base) == 2 * n and all(p["positive"] for p in proposed)
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(16_000) < 12 * max(seconds(4_000), 0.05)
+
+
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8)), max_size=20), st.integers(0, 60), st.integers(1, 9))
+def test_spans_apart(spans, start, length):
+    apart, held = pii.Apart(), []
+    for low, size in spans:
+        if not apart.meets(low, low + size):
+            apart.add(low, low + size)
+            held.append((low, low + size))
+    assert apart.meets(start, start + length) == any(a < start + length and start < b for a, b in held)
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = queries.op4_toxicity(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("held_out").collect()
@@ -369,6 +394,83 @@ def test_toxicity_on_held_out_labels(spark):
     assert right > 0.95 and sum(hit) / len(hit) > 0.7 and sum(r.predicted for r in rows if not r.toxic) / len(rows) < 0.02
 
 
+def test_evidence_never_lowers_a_toxicity_score(spark):
+    """The calibration's slope is not negative, for any labels; the strongest labelled documents score high, and repeating clean words does not."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    toxicity.small_batches(spark)
+    model = toxicity.fit(toxicity.keyed_texts(docs), labels)
+    units = np.linspace(0, 500, 200)
+    assert model.weights[0] > 0 and (np.diff(model.probability(units)) >= 0).all()
+    evidence = toxicity.Evidence(model.scorer)
+    worst = max((w for t in docs.select("text").limit(500).collect() for w in toxicity.tokens(t.text or "")), key=model.scorer.evidence)
+    for n in (20, 300, 3000):  # more toxic words in a text of one length never score less
+        scores = [model.probability([toxicity._statistics(" ".join([f"{worst}{i}" for i in range(k)] + ["la"] * (n - k)), evidence)[2]])[0] for k in range(0, min(n, 60), 3)]
+        assert scores == sorted(scores)
+    assert model.probability([toxicity._statistics("la de " * 400, evidence)[2]])[0] < 0.5
+    once, often = (evidence.scores([worst] * k) + model.scorer.drift for k in (1, 200))
+    assert often.sum() < 6 * once.sum()  # a word says little more however often it is repeated
+    flipped = labels.withColumn("toxic", 1 - F.col("toxic"))
+    assert toxicity.fit(toxicity.keyed_texts(docs), flipped).weights[0] >= 0
+
+
+def test_toxicity_scores_by_hand(spark):
+    """Counts, log-odds, repeats, best segment and units recomputed with dictionaries and all segments."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    toxicity.small_batches(spark)
+    model = toxicity.fit(toxicity.keyed_texts(docs), labels)
+    fold = {r.l_id: (r.fold, r.toxic) for r in toxicity.training_labels(labels).collect()}
+    texts = {r.doc_id: toxicity.tokens(r.text or "") for r in docs.collect()}
+    every, stems, whole = Counter(), (Counter(), Counter()), (Counter(), Counter())
+    for doc_id, words in texts.items():
+        every.update(w[:4] for w in words)
+        at, toxic = fold.get(doc_id, (4, 0))
+        if at != 4:
+            stems[1 - toxic].update(w[:4] for w in words)
+            whole[1 - toxic].update(w for w in words if len(w) > 4)
+    n = [c.total() for c in stems]
+
+    def shrunk(delta, deviation):
+        return min(max(math.copysign(max(abs(delta) - 2 * deviation, 0), delta), -1), 6)
+
+    def evidence(word):
+        stem = word[:4]
+        if not stems[0][stem] + stems[1][stem]:
+            return 0.0
+        prior = 1000 * every[stem] / every.total() + 0.01
+        t, c = stems[0][stem] + prior, stems[1][stem] + prior
+        deviation = math.sqrt(1 / t + 1 / c)
+        if len(word) > 4 and whole[0][word] + whole[1][word] >= 2:
+            rates = [(stems[k][stem] + 0.5) / (n[k] + 1) for k in (0, 1)]
+            share = rates[0] / sum(rates)
+            t, c = whole[0][word] + 40 * share * n[0] / sum(n), whole[1][word] + 40 * (1 - share) * n[1] / sum(n)
+            return shrunk(math.log(t / n[0]) - math.log(c / n[1]), min(deviation, math.sqrt(1 / t + 1 / c)))
+        return shrunk(math.log(t / (n[0] + 1000 - t)) - math.log(c / (n[1] + 1000 - c)), deviation)
+
+    scored = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    checked = 0
+    for doc_id, words in sorted(texts.items()):
+        if not 0 < len(words) <= 120:
+            continue
+        seen, scores = Counter(), []
+        for word in words:
+            value = evidence(word)
+            seen[word] += 1
+            scores.append((value / seen[word] if value > 0 else value) - model.scorer.drift)
+        best = max([0.0, *[sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]])
+        assert scored[doc_id].best == pytest.approx(best, abs=1e-6)
+        units = [model.scorer.decay * total - model.scorer.log_k - math.log(len(words)) for *_, total in toxicity.maximal_segments(np.array(scores))]
+        total = sum(max(u - 1, 0) for u in units)
+        assert scored[doc_id].score == pytest.approx(1 / (1 + math.exp(-(model.weights[0] * log1p(total) + model.weights[1]))), abs=1e-6)
+        checked += 1
+    assert checked > 100
+
+
+def test_toxicity_tokens():
+    assert toxicity.tokens("Ab-cd_ef, ÉT\u00c9s 12x!") == ["ab", "cd", "ef", "étés", "12x"]
+    assert toxicity.tokens("日本語 ok") == ["日本", "本語", "ok"]
+    assert toxicity.tokens("हिन्दी") == ["हिन्दी"] and toxicity.tokens("中") == ["中"] and toxicity.tokens("a中文b") == ["a", "中文", "b"]
+
+
 def test_toxicity_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (10, None)], "doc_id long, toxic int")
     scored = toxicity.score(edge_docs, labels)
@@ -424,12 +526,59 @@ def test_url_edges(spark):
     assert (alone.verdict, alone.difference) == ("allow", 0.0)
 
 
-def test_ratio_tells_models_apart():
-    counts = np.zeros((2, url_filter.ORDERS * url_filter._PER_ORDER))
-    for k, word in enumerate(("garden", "casino")):
-        contexts, grams, _ = url_filter.slots([f"https://{word}.net/{i}" for i in range(200)])
-        np.add.at(counts[k], contexts.ravel(), 1)
-        np.add.at(counts[k], grams.ravel(), 1)
-    good, bad, empty = url_filter.Ratio(counts).difference(["https://garden.net/7", "https://casino.net/7", ""])
-    assert good > 0.2 and bad < -0.2 and empty == 0
+def differences_by_hand(urls, taught):
+    """Plain dictionaries of contexts and what follows them."""
+    orders, back_off = url_filter.ORDERS, url_filter.BACK_OFF
+    models = {}
+    for verdict in ("allow", "block"):
+        models[verdict] = defaultdict(Counter)
+        for url in (u for u, v in taught if v == verdict):
+            data = b"\0" * (orders - 1) + url.encode()
+            for at in range(orders - 1, len(data)):
+                for order in range(orders):
+                    models[verdict][data[at - order : at]][data[at]] += 1
+    out = []
+    for url in urls:
+        data, total = b"\0" * (orders - 1) + url.encode(), 0.0
+        for at in range(orders - 1, len(data)):
+            for verdict, sign in (("allow", 1), ("block", -1)):
+                p = 1 / 256
+                for order in range(orders):
+                    after = models[verdict][data[at - order : at]]
+                    p = (after[data[at]] + back_off * p) / (after.total() + back_off)
+                total += sign * math.log(p)
+        out.append(total / max(len(url.encode()), 1))
+    return out
+
+
+def judged_urls(spark, rows):
+    """(url, decided, fold) as the operator's own table."""
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id long, url string, decided string, fold int")
+    return frame
+
+
+@pytest.mark.parametrize("frequent", [3, 20_000])
+def test_url_differences_by_hand(spark, frequent):
+    """Exact whatever the number of stretches that go to the tasks: every verdict is that of plain dictionaries."""
+    rng = np.random.default_rng(5)
+    words = ["garden", "casino", "bonus", "tree", "é", "中文", "a", ""]
+    urls = ["https://" + ".".join(rng.choice(words, 2)) + "/" + "/".join(rng.choice(words, int(rng.integers(0, 5)))) for _ in range(300)] + [""]
+    verdicts = ["allow" if "garden" in u or "tree" in u else "block" if "casino" in u else None for u in urls]
+    rows = [(u, v, int(rng.integers(0, 5))) for u, v in zip(urls, verdicts, strict=True)] + [(None, None, 1)]
+    got = {r.row_id: r.difference for r in url_filter.differences(judged_urls(spark, rows), frequent).collect()}
+    want = differences_by_hand([u or "" for u, *_ in rows], [(u, v) for u, v, fold in rows if v and fold])
+    assert len(got) == len(rows) and [got[i] for i in range(len(rows))] == pytest.approx(want, abs=1e-6)
+
+
+def test_varied_urls_do_not_change_verdicts(spark):
+    """100,000 URLs whose every context is new change nothing for others: counts are exact at any size."""
+    few = [(f"https://{w}.net/{i}", v, 1) for w, v in (("garden", "allow"), ("casino", "block")) for i in range(50)] + [("https://garden.net/x", None, 1), ("https://casino.net/x", None, 1)]
+    varied = [(hashlib.sha256(str(i).encode()).hexdigest()[:40].upper(), None, 1) for i in range(100_000)]
+    alone = {r.url: r.difference for r in url_filter.differences(judged_urls(spark, few)).collect()}
+    among = {r.url: r.difference for r in url_filter.differences(judged_urls(spark, few + varied)).where("url like 'https%'").collect()}
+    assert alone == among
+    assert alone["https://garden.net/x"] > 0.2 and alone["https://casino.net/x"] < -0.2
+
+
+def test_cut():
     assert url_filter.cut_of({(100, "block"): 5, (600, "allow"): 5}) == pytest.approx(0.0, abs=0.02)
