@@ -12,13 +12,16 @@ the longest, which turns the largest inner product into the smallest angle.
 A bucket may hold any share of the rows: buckets are cut into blocks of about ``BLOCK`` candidates, their queries into blocks of
 about ``QUERY_BLOCK``, and a task takes one pair of blocks.
 
-Vectors that are null, empty, zero, hold null or non-finite components, or differ in length from most, take no part. Rows that repeat an
+Vectors that are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths have no inner product: each
+length is searched by itself, in as many runs as there are lengths. Rows that repeat an
 id are candidates each on its own and may both appear; a query id that repeats is searched once, by the vector of the smallest
 hash. Null ids take no part. Only the two named columns are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, small_batches, written
-from .vectors import common_width, keyed_vectors, matrix, usable
+from .vectors import keyed_vectors, matrix, usable, widths
 
 TABLES = 10
 #: Axes probed in a table, as a share of all signed axes.
@@ -135,7 +138,11 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     spark = table.sparkSession
     small_batches(spark, rows=5000)
     vectors = keyed_vectors(table, id_col, vector_col).where("vec_id is not null")
-    width = common_width(vectors)
+    lengths = widths(vectors)
+    if len(lengths) > 1:
+        parts = [vectors.where(F.size("vector") == w) for w in lengths]
+        return reduce(DataFrame.unionByName, [search(part, is_query, k, "vec_id", "vector", tables, probed) for part in parts])
+    width = lengths[0] if lengths else 0
     good = vectors.where(usable(F.col("vector")) & (F.size("vector") == width))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     longest = good.agg(F.max(norm)).first()[0] if width else None

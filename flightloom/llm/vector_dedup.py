@@ -10,14 +10,16 @@ Equal vectors are one class with a weight. A pair of tiles returns one row per v
 and the smallest vector it is connected with, never the pairs themselves. Components follow from those rows. The final decision
 for a pair within ``1e-9`` of the threshold is its cosine by the plain formula.
 
-Vectors that are null, empty, zero, hold null or non-finite components, or differ in length from most, link with nothing and are
-their own component. Rows that repeat an id and a vector are vectors each on
+Vectors that are null, empty, zero or hold null or non-finite components link with nothing and are their own component. Vectors of different
+lengths have no cosine: each length is compared by itself, in as many runs as there are lengths. Rows that repeat an id and a vector are vectors each on
 their own; ids that repeat with different vectors share links and component. A row with a null id links with nothing and has a null
 component. Only the two named columns are read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, small_batches, written
 from .graph import components
-from .vectors import common_width, keyed_vectors, matrix, usable
+from .vectors import keyed_vectors, matrix, usable, widths
 
 THRESHOLD = 0.95
 TILE = 4096
@@ -136,7 +138,12 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, id_col: str
     spark = table.sparkSession
     small_batches(spark)
     vectors = keyed_vectors(table, id_col, vector_col)
-    width = common_width(vectors)
+    lengths = widths(vectors)
+    if len(lengths) > 1:
+        used = usable(F.col("vector"))
+        parts = [vectors.where(used & (F.size("vector") == w)) for w in lengths] + [vectors.where(~used)]
+        return reduce(DataFrame.unionByName, [near_duplicates(part, threshold, "vec_id", "vector", tile) for part in parts])
+    width = lengths[0] if lengths else 0
     good = F.col("vec_id").isNotNull() & usable(F.col("vector")) & (F.size("vector") == width)
     keyed = vectors.select("vec_id", "vector", F.when(good, F.xxhash64("vector")).alias("h1"), F.when(good, F.xxhash64(F.lit(1), "vector")).alias("h2"))
     classes = keyed.where("h1 is not null").groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector"))

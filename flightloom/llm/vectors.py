@@ -21,10 +21,9 @@ def keyed_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     return table.select(column(id_col).cast("long").alias("vec_id"), column(vector_col).cast("array<double>").alias("vector"))
 
 
-def common_width(vectors: DataFrame) -> int:
-    """The most frequent length among usable vectors (the smaller among equals); 0 without any."""
-    row = vectors.where(usable(F.col("vector"))).groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    return int(row["w"]) if row else 0
+def widths(vectors: DataFrame) -> list[int]:
+    """The lengths of usable vectors, ascending. Vectors of different lengths have no product, so each length is work of its own."""
+    return sorted(r["w"] for r in vectors.where(usable(F.col("vector"))).select(F.size("vector").alias("w")).distinct().collect())
 
 
 def matrix(vectors: pa.Array, width: int) -> np.ndarray:

@@ -126,3 +126,11 @@ def test_components_of_paths_stars_and_cliques(spark):
     want = {i: 100 for i in range(101, 161)} | {i: 7 for i in range(200, 260)} | {301: 300}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_every_length_is_compared_by_itself(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0]), (6, [0.0, 0.0, 1.0]), (7, [3.0]), (20, [5.0, 0.0, 0.1]), (9, None), (40, [1.0, 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(table(spark, rows)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (2, 4), 5: (2, 4), 6: (0, 6), 7: (0, 7), 20: (2, 4), 9: (0, 9), 40: (0, 40)}
+    found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(table(spark, rows), F.col("vec_id") % 20 == 0).collect())
+    assert found == [(20, 1, 4, 5.0), (20, 2, 5, 5.0), (20, 3, 6, 0.1), (40, 1, 2, 2.01), (40, 2, 1, 1.0), (40, 3, 3, 1.0)]
