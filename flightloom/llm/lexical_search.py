@@ -102,7 +102,8 @@ def _weighted(vectors: DataFrame, weights: np.ndarray, documents: int, total: in
 
 def _trees(weighted: DataFrame) -> DataFrame:
     """One row a tree."""
-    keys = ["heaviest", "second", "terms", "doc_id"]
+    # Equal vectors stand together; their hash, not their terms, goes into the sample that finds the ranges.
+    keys = [F.col("heaviest"), F.col("second"), F.xxhash64("terms", "component"), F.col("doc_id")]
     dealt = weighted.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def make():
