@@ -33,6 +33,7 @@ NARROW_PAGE = T.StructType(
 )
 COUNTS = ("pages", "corrupt_pages", "error_pages", "data_pages", "flights")
 _PREFIX = "insert_date="
+_FILE = [f"_metadata.file_{source} AS {name}" for source, name in (("path", "file"), ("modification_time", "modified"), ("size", "bytes"))]
 
 
 def parse_narrow(lines: DataFrame) -> DataFrame:
@@ -54,16 +55,14 @@ def _landed_dirs(spark: SparkSession, root: str, insert_dates: Sequence[str] | N
 
 def landed_files(spark: SparkSession, dirs: Sequence[str]) -> DataFrame:
     """(insert_date, file, modified, bytes) of the files in some date directories. Listed by Spark, not read."""
-    files = spark.read.format("binaryFile").load([*dirs])
-    return files.select(_date_of("path").alias("insert_date"), F.col("path").alias("file"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
+    files = spark.read.format("binaryFile").load([*dirs]).selectExpr(*_FILE)
+    return files.withColumn("insert_date", _date_of("file"))
 
 
 def file_counts(spark: SparkSession, dirs: Sequence[str]) -> DataFrame:
     """The ledger's rows of the files in some date directories, read from the files. Files that hold no page have none."""
-    lines = spark.read.text([*dirs]).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_size").alias("bytes"))
     return (
-        parse_narrow(lines)
+        parse_narrow(spark.read.text([*dirs]).selectExpr("value", *_FILE))
         .groupBy(_date_of(F.col("file")).alias("insert_date"), "file", "modified", "bytes")
         .agg(
             count_rows().alias("pages"),
@@ -90,7 +89,7 @@ def _fingerprints(files: DataFrame | None) -> dict[str, tuple[int, int]]:
     """(hash, number) of the files of each date. Bounded by the calendar."""
     if files is None:
         return {}
-    # The two sources spell a file's scheme in different ways.
+    # Below the root, so that a lake that is reached in another way stays the same.
     name = F.regexp_extract("file", f"/({_PREFIX}[^/]+/.*)$", 1)
     mark = F.bit_xor(F.xxhash64(name, F.unix_millis("modified"), "bytes"))
     return {str(r["insert_date"]): (r["mark"], r["files"]) for r in files.groupBy("insert_date").agg(mark.alias("mark"), count_rows().alias("files")).collect()}
@@ -111,9 +110,8 @@ def refresh_ledger(spark: SparkSession, raw_root: str, ledger: str, insert_dates
         # A file without any page keeps a row of zeros, so it does not look new each time.
         counts = file_counts(spark, present).drop("insert_date", "modified", "bytes").withColumnRenamed("file", "counted")
         zeros = {c: 0 for c in (*COUNTS, "unpaginated_pages")}
-        file_name = lambda path: F.regexp_extract(path, f"/({_PREFIX}[^/]+/.*)$", 1)
         listed = landed_files(spark, present).where("bytes > 0")
-        rows = listed.join(counts, file_name("file") == file_name(F.col("counted")), "left").drop("counted").fillna(zeros)
+        rows = listed.join(counts, F.col("file") == F.col("counted"), "left").drop("counted").fillna(zeros)
         write_bronze(rows, ledger)
     for day in set(known) - set(now):
         discard(spark, f"{ledger.rstrip('/')}/{_PREFIX}{day}")

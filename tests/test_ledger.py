@@ -24,6 +24,7 @@ def test_ledger_answers_the_audit(spark, tmp_path):
     land(raw, "2024-01-01", page(FULL, FULL, total=250), page(FULL), {"error": "down"})
     land(raw, "2024-01-02", page(), "cut off {", {"data": [FULL]}, "\n \n")
     land(raw, "2024-01-03", json.dumps(page(FULL)) + "\n" + json.dumps(page(FULL, total=900)))
+    (raw / "insert_date=2024-01-01" / "flights_page_0.json").rename(raw / "insert_date=2024-01-01" / "flights page é%20.json")
     assert refresh_ledger(spark, str(raw), ledger) == ["2024-01-01", "2024-01-02", "2024-01-03"]
     stored = read_ledger(spark, ledger)
     assert stored.count() == 8
