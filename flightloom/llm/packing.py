@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 from .common import keyed_texts, map_batches, small_batches, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-WITH_IDS = PIECES + ", ids array<long>"
-#: Pieces ranked by one task.
-RANK_ROWS = 50_000
+WITH_IDS = PIECES + ", ids array<int>"
+#: Pieces of one length that are ranked together, about.
+RANK_ROWS = 5_000
 #: Entries of a generation of each of a worker's caches.
 CACHE = 300_000
+#: The same where ids are kept: their batches take the room.
+CACHE_WITH_IDS = 100_000
 _SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -104,7 +106,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = 1
     closing = array("I", [closing_id]).tobytes()
 
     def make():
-        encode = document_ids(tokenizer_path, pattern)
+        encode = document_ids(tokenizer_path, pattern, CACHE_WITH_IDS if keep_ids else CACHE)
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows: list[list] = [[] for _ in range(5)]
@@ -123,7 +125,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = 1
                         kept.append(part)
             columns, names = [pa.array(v, pa.int64()) for v in rows], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             if keep_ids:
-                flat = np.frombuffer(b"".join(kept), dtype=np.uint32).astype(np.int64)
+                flat = np.frombuffer(b"".join(kept), dtype=np.uint32).astype(np.int32)  # token ids stay far below 2**31
                 ends = np.r_[0, np.cumsum(rows[2], dtype=np.int64)].astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
                 names.append("ids")
@@ -200,8 +202,10 @@ def place(cut: DataFrame, capacity: int = 1024) -> DataFrame:
     # At most capacity² rows: a length appears in a pattern, and a pattern among the results, boundedly often.
     claims = spark.createDataFrame(_claims(shortest_pack_first(histogram, capacity)) or [(0, 0, 0, 0, 0)],
                                    "c_length long, low long, high long, base long, c_offset long")
-    salts = max(1, -(-sum(histogram.values()) // RANK_ROWS))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
+    # By each length's own count: of long documents most pieces have the one length ``capacity``.
+    salts = spark.createDataFrame([(length, -(-n // RANK_ROWS)) for length, n in histogram.items()] or [(0, 1)], "l_length long, salts long")
+    salt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("salts")).alias("salt")
+    salted = cut.join(F.broadcast(salts), F.col("length") == F.col("l_length")).select(*cut.columns, salt)
     counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("length").alias("s_length"), F.col("salt").alias("s_salt"),
