@@ -47,9 +47,9 @@ SHRINK = 2.0
 SIGNIFICANT = 1.0
 #: Letters of a stem. Inflected and compounded forms share their evidence by it.
 STEM = 4
-_CACHE = 300_000
+_CACHE = 120_000
 #: Counted entries after which a task hands on what it has.
-_FLUSH = 400_000
+_FLUSH = 100_000
 
 _PLAIN = re.compile(r"[^\W_]+").findall
 _BEYOND = re.compile("[\u0300-\U0010ffff]").search
