@@ -7,13 +7,16 @@ a document with a smaller id. Windows are judged on the input, not on what is le
    neighbouring windows mostly share one, so a document has few. Anchors are grouped by hash: one that occurs in a single
    document proves all its windows unique, and the first document of any other one is known from a map-side minimum.
 2. Reference shards. The windows around a shared anchor in its first document are reference text; those in later documents are
-   queries. Shards collect the references of some first documents and hold about ``SHARD_WINDOWS`` windows, so an automaton has
-   a bounded size. A shard with more queries than one task should stream gets several tasks, each with its own copy of the
+   queries. A first document is cut into stretches by where its anchors first stand; shards collect some stretches and hold about
+   ``SHARD_WINDOWS`` windows, so an automaton has a bounded size however long one document is. Windows that a long document
+   repeats within itself are reference text once. A shard with more queries than one task should stream gets several tasks, each with its own copy of the
    automaton: a common passage is no hot spot. Queries stream past; matching statistics at least ``window`` long whose
    owner is a smaller document mark a window.
 3. The rest. A query window that its shard does not hold may still stand in another document with that anchor. These windows go by
    a 128-bit hash to one more minimum. So all windows are decided, whatever the data look like.
 
+Anchors and hashes that stand in very many places get their first document by a broadcast (``hot``), so no task gathers them.
+
 Words are compared by 64-bit hashes. Null and short texts have no windows. Rows with a null id are returned as they are and remove
 nothing. Rows that repeat an id are one document as far as order goes: they do not remove from each other, and each is cut by its
 own words. Only the two named columns are read.
@@ -31,10 +34,13 @@ from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
 from .common import keyed_texts, map_batches, small_batches, word_list, written
+from .hot import join_facts
 
 WINDOW = 50
 GRAM = 20
 SHARD_WINDOWS = 60_000
+#: Stretches of a document in a shard, if it had to hold that document alone.
+STRETCHES = 8
 TASK_WINDOWS = 1_000_000
 _CACHE = 300_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -133,8 +139,26 @@ def find_anchors(keyed: DataFrame, window: int, gram: int) -> DataFrame:
     return map_batches(keyed, make, _ANCHORS)
 
 
+def _unseen(words: np.ndarray, parts: list[dict], window: int) -> list[dict]:
+    """Reference parts of one text without the windows that the same shard has from an earlier place of that text; query parts as they are."""
+    hashes = [group_hashes(words, window, m) for m in _MULTIPLIERS]
+    seen: dict[int, set] = {}
+    kept = []
+    for part in sorted(parts, key=lambda p: p["first"]):
+        if part["query"]:
+            kept.append(part)
+            continue
+        known, span = seen.setdefault(part["shard"], set()), slice(part["first"], part["first"] + part["n"])
+        for at, pair in enumerate(zip(*(h[span].tolist() for h in hashes), strict=True), part["first"]):
+            if pair not in known:
+                known.add(pair)
+                kept.append(part | {"first": at, "n": 1})
+    return kept
+
+
 def _cut_slices(marked: DataFrame, window: int) -> DataFrame:
     """Slices of word hashes: neighbouring windows of one document with the same shard and role make one slice."""
+    long = SHARD_WINDOWS // STRETCHES
 
     def make():
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -142,6 +166,8 @@ def _cut_slices(marked: DataFrame, window: int) -> DataFrame:
             columns = [batch.column(i).to_pylist() for i in range(3)]
             for doc_id, key, text, parts in zip(*columns, batch.column(3).to_pylist(), strict=True):
                 words = word_hashes(word_list(text))
+                if sum(p["n"] for p in parts if not p["query"]) > long:
+                    parts = _unseen(words, parts, window)
                 start = end = -1
                 state = None
                 for part in [*sorted(parts, key=lambda p: p["first"]), None]:
@@ -218,12 +244,14 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     """doc_id, key and the repeated windows of each document that has some, as an array of (first, n)."""
     found = written(find_anchors(keyed, window, gram), "substring-anchors")
     each = found.select("doc_id", "key", F.inline("anchors"))
-    spread = each.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("hash", "lo")
-    shared = written(each.join(spread, "hash").select("doc_id", "key", "first", "n", "lo"), "substring-shared")
+    spread = each.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min_by("first", "doc_id").alias("at"), F.count(F.lit(1)).alias("places"))
+    stretch = F.floor(F.col("at") / max(1, SHARD_WINDOWS // STRETCHES)).alias("stretch")
+    spread = written(spread.where("lo < hi").select("hash", "lo", stretch, "places"), "substring-spread")
+    shared = written(join_facts(each, spread, ["hash"]).select("doc_id", "key", "first", "n", "lo", "stretch"), "substring-shared")
     is_query = (F.col("doc_id") != F.col("lo")).cast("int")
     total = shared.agg(F.sum(F.when(is_query == 0, F.col("n")))).first()[0] or 0
     shards = max(1, -(-total // SHARD_WINDOWS))
-    shard = F.pmod(F.xxhash64("lo"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("lo", "stretch"), F.lit(shards))
     parts = shared.select("doc_id", "key", F.struct("first", "n", shard.alias("shard"), is_query.alias("query")).alias("p"))
     parts = parts.groupBy("doc_id", "key").agg(F.collect_set("p").alias("parts"))
     texts = keyed.where("doc_id is not null").select("doc_id", "text")
@@ -237,8 +265,9 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     ordered = dealt.drop("salts").repartition("shard", "salt").sortWithinPartitions("shard", "salt", "query", "doc_id", "first")
     matched = written(_stream(ordered, window), "substring-matched")
     rest = matched.select("doc_id", "key", F.inline("rest"))
-    first = rest.groupBy("a", "b").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("a", "b", "lo")
-    late = rest.join(first, ["a", "b"]).where("doc_id > lo").select("doc_id", "key", F.array(F.struct("first", F.lit(1).alias("n"))).alias("runs"))
+    first = rest.groupBy("a", "b").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("places"))
+    first = written(first.where("lo < hi").select("a", "b", "lo", "places"), "substring-first")
+    late = join_facts(rest, first, ["a", "b"]).where("doc_id > lo").select("doc_id", "key", F.array(F.struct("first", F.lit(1).alias("n"))).alias("runs"))
     both = matched.where(F.size("runs") > 0).select("doc_id", "key", "runs").unionByName(late)
     return both.groupBy("doc_id", "key").agg(F.flatten(F.collect_set("runs")).alias("runs"))
 

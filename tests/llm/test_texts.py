@@ -10,12 +10,12 @@ from math import comb, log1p
 import duckdb
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flightloom.llm import line_dedup, ngram_join, pii, queries, substring_dedup, toxicity, url_filter
+from flightloom.llm import hot, line_dedup, ngram_join, pii, queries, substring_dedup, toxicity, url_filter
 from flightloom.llm.automaton import SuffixAutomaton
 from flightloom.llm.common import word_list
 
@@ -150,9 +150,10 @@ def test_substring_query(spark):
     assert got == want and any(r[1] for r in got.values())
 
 
-@pytest.mark.parametrize("shard,task", [(60_000, 1_000_000), (30, 50)])
-def test_substrings_in_many_shards(spark, monkeypatch, shard, task):
+@pytest.mark.parametrize("shard,task,hot_rows", [(60_000, 1_000_000, 2_000), (30, 50, 3)])
+def test_substrings_in_many_shards(spark, monkeypatch, shard, task, hot_rows):
     """Passages in changing surroundings, repeats of a short period, chains in which a later document is the second holder."""
+    monkeypatch.setattr(hot, "LEAST_HOT", hot_rows)
     monkeypatch.setattr(substring_dedup, "SHARD_WINDOWS", shard)
     monkeypatch.setattr(substring_dedup, "TASK_WINDOWS", task)
     rng = np.random.default_rng(2)
@@ -168,6 +169,35 @@ def test_substrings_in_many_shards(spark, monkeypatch, shard, task):
     assert got == substrings_by_hand(docs, 8)
 
 
+def test_one_long_document_fills_many_shards(spark, monkeypatch):
+    """Its copy and a common passage are found, however its windows are dealt; what it repeats within itself is reference text once."""
+    monkeypatch.setattr(substring_dedup, "SHARD_WINDOWS", 400)
+    monkeypatch.setattr(hot, "LEAST_HOT", 5)
+    rng = np.random.default_rng(5)
+    long = [f"w{v}" for v in rng.integers(0, 500, 4_000)]
+    docs = [(0, " ".join(long + ["a"] * 3_000)), (1, " ".join(long[50:3_900])), (2, "a " * 500)]
+    docs += [(3 + i, " ".join(long[700:760] + [f"n{i}"] + long[90:100] + ["b"] * i)) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    slices = []
+    whole = substring_dedup._cut_slices
+    monkeypatch.setattr(substring_dedup, "_cut_slices", lambda marked, window: slices.append(whole(marked, window)) or slices[0])
+    got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.remove_repeats(df, window=8, gram=3).collect()}
+    assert got == substrings_by_hand(docs, 8)
+    loads = [r.n for r in slices[0].where("query = 0").groupBy("shard").agg(F.sum(F.octet_length("words") / 8 - 7).alias("n")).collect()]
+    assert len(loads) > 4 and max(loads) < 2_000 and sum(loads) < 4_200
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 9)), max_size=30), st.integers(0, 5))
+def test_facts_of_hot_and_other_keys(spark, rows, least):
+    df = spark.createDataFrame(rows, "k int, v int")
+    facts = df.groupBy("k").agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("places")).where("k > 0")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(hot, "LEAST_HOT", least)
+        got = Counter(tuple(r) for r in hot.join_facts(df, facts, ["k"]).select("k", "v", "top").collect())
+    assert got == Counter((k, v, max(w for j, w in rows if j == k)) for k, v in rows if k)
+
+
 def test_substring_edges(edge_docs, no_docs):
     got = substring_dedup.remove_repeats(edge_docs, window=5, gram=2).collect()
     assert len(got) == edge_docs.count()
