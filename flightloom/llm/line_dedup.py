@@ -10,7 +10,7 @@ fewer lines in a row are windows too if they hold that many words; the pipeline
 * Fingerprints that stand at one place only cannot repeat; they are counted first, map-side, and drop most of the text.
 * Around the others a match is extended both ways: all windows that hold the fingerprint as their minimum compare their lines by
   a 128-bit hash with the first place of the same window. One aggregation finds the first place, so no list of places
-  is ever gathered, however common a line is.
+  is ever gathered, however common a line is. Very common fingerprints and windows get theirs by a broadcast (``hot``).
 * Neighbouring repeated windows join into maximal runs, and texts are cut at the runs' ends by slices.
 
 Null texts stay null and have no lines. Texts of fewer than ``min_lines`` lines stay as they are, but for long lines if ``min_words`` is given. Documents stand in the order of
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, written
+from .hot import join_facts
 
 MIN_LINES = 3
 #: Words from which one or two repeated lines are a passage of their own.
@@ -65,11 +66,13 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place = F.struct("d", "k", "j")
     # Neighbouring windows mostly share the line that is their minimum, so a fingerprint counts once for each such line at most
     # min_lines times; only one whose windows all hold the same single place may be dropped.
-    spread = found.groupBy("f").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    spread = found.groupBy("f").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("places"))
     same = (F.col("lo.d").eqNullSafe(F.col("hi.d"))) & (F.col("lo.k") == F.col("hi.k")) & (F.col("hi.j") == F.col("lo.j"))
-    shared = found.join(spread.where(~same).select("f"), "f", "left_semi")
-    first = shared.groupBy("n", "w1", "w2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1").drop("places")
-    later = shared.join(first, ["n", "w1", "w2"]).where(place > F.col("first")).select("d", "k", "j", "n", "first_line", "last_line").distinct()
+    shared = join_facts(found, written(spread.where(~same).select("f", "places"), "line-fingerprints"), ["f"])
+    shared = written(shared.drop("f"), "line-shared")
+    first = shared.groupBy("n", "w1", "w2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
+    later = join_facts(shared, written(first, "line-first"), ["n", "w1", "w2"]).where(place > F.col("first"))
+    later = later.select("d", "k", "j", "n", "first_line", "last_line").distinct()
     order = Window.partitionBy("d", "k").orderBy("j", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.when(F.col("j") <= F.max(F.col("j") + F.col("n")).over(before), 0).otherwise(1)

@@ -67,7 +67,9 @@ def test_line_dedup_query_equals_its_sql(spark):
     assert sorted(map(tuple, got)) == sorted(want) and any(r.n_removed for r in got)
 
 
-def test_line_dedup_against_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [2_000, 2])
+def test_line_dedup_against_brute_force(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(hot, "LEAST_HOT", hot_rows)
     rng = np.random.default_rng(1)
     pool = [f"line {i}" for i in range(12)] + ["", "  "]
     docs = [(i, "\n".join(rng.choice(pool, rng.integers(0, 25)))) for i in range(60)]
