@@ -422,6 +422,18 @@ def test_generators_have_no_bound_and_take_linear_time():
     assert ("email", 0, len(name) + len(host) + 6) in pii.candidates(f"{name} [at] {host}")
 
 
+def test_training_sample_is_bounded_and_takes_copies_once(spark, monkeypatch):
+    docs = [(i, f"mail u{i}@host.example.org or 10.0.{i % 250}.7") for i in range(3000)] + [(7, "mail u7@host.example.org or 10.0.7.7")] * 3000
+    found = pii.scan(spark.createDataFrame(docs, "doc_id long, text string"))
+    sizes = []
+    monkeypatch.setattr(pii, "Selector", lambda x, positive, held: sizes.append((len(x), positive.sum(), held.sum())))
+    pii.train(found, 1_000)
+    pii.train(found, 10_000_000)
+    distinct = found.dropDuplicates(["doc_id"]).agg(F.sum(F.size("proposed"))).first()[0]
+    (few, _, held), (whole, positive, _) = sizes
+    assert 400 < few <= 1_000 and 0.15 < held / few < 0.35 and whole == distinct and 0 < positive < whole
+
+
 def test_pii_edges(edge_docs, no_docs):
     found = pii.find(edge_docs)
     assert found.count() == edge_docs.count() and pii.find(no_docs).count() == 0
