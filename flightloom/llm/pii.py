@@ -10,9 +10,9 @@ alike. So what is learned from base matches holds for the forms that the base pa
   255, no domain, too few digits). The latter two are made for a share of the spans only (``SPARE``) and never selected.
 * Neither: a candidate that is another form of its kind as far as one can tell (``plausible``). Trees do not learn from it, but judge it.
 
-They learn from at most ``MAX_TRAINING`` labelled candidates of all documents, chosen by a hash. Their margins are
-calibrated on held-out candidates, and the threshold of each kind is the lowest one that keeps ``PRECISION`` there; a kind
-without enough held-out examples of both classes adds nothing. Chosen candidates that overlap no base span are added, best
+They learn from every labelled candidate of all documents, but for a quarter held out by a hash: Spark counts equal feature vectors, and sums
+the trees' histograms over them. Their margins are calibrated on the held-out candidates, all of them, and the threshold of each kind is the
+lowest one that keeps ``PRECISION`` there; a kind without enough held-out examples of both classes adds nothing. Chosen candidates that overlap no base span are added, best
 first, without overlaps within a kind. Base spans always stay.
 
 Null texts count as empty and hold nothing. Rows are independent: repeated rows and null ids need no rule. Only the two named
@@ -29,16 +29,16 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .boosting import Booster, logistic_fit, sigmoid
+from .boosting import Booster, logistic_fit, logistic_fit_table, sigmoid
 from .common import column, keyed_texts, map_batches, small_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the sample of candidates that the trees learn from.
-MAX_TRAINING = 20_000
 PRECISION = 0.98
+#: Decimals of the probabilities that are held against thresholds, so that no kind has more than a million of them to try.
+DECIMALS = 6
 #: Held-out examples of either class that a kind needs before it may add spans.
 LEAST_HELD_OUT = 20
 
@@ -259,7 +259,7 @@ class Selector:
         if not (0 < truth.sum() < len(truth)):
             return
         self.calibration = logistic_fit(margin[:, None], truth)
-        p = self.probability(x[held_out])
+        p = np.round(self.probability(x[held_out]), DECIMALS)
         for k, name in enumerate(KINDS):
             own, right = p[kind == k], truth[kind == k]
             if min(right.sum(), len(right) - right.sum()) >= LEAST_HELD_OUT:
@@ -269,15 +269,65 @@ class Selector:
                 if (precise & last).any():
                     self.thresholds[name] = float(own[order][np.flatnonzero(precise & last)[-1]])
 
+    @classmethod
+    def of_table(cls, examples: DataFrame) -> "Selector":
+        """The same of a written table (x, held, n, right) of any size: of each vector, how many candidates have it and how many are positive."""
+        self = cls(np.zeros((0, N_FEATURES)), np.zeros(0), np.zeros(0, dtype=bool))
+        counts = {r["held"]: (r["n"], r["right"]) for r in examples.groupBy("held").agg(F.sum("n").alias("n"), F.sum("right").alias("right")).collect()}
+        (n, right), (n_held, right_held) = (counts.get(held, (0, 0)) for held in (False, True))
+        if not 0 < right < n:
+            return self
+        self.booster.fit_table(examples.where("not held"))
+        if not 0 < right_held < n_held:
+            return self
+        sums = [F.sum("n").alias("n"), F.sum("right").alias("right")]
+
+        def margins(batch: pa.RecordBatch) -> pa.RecordBatch:
+            x = np.array(batch.column(0).to_pylist(), dtype=float)
+            return pa.RecordBatch.from_arrays([pa.array(x[:, 0].astype(int), pa.int64()), pa.array(self.booster.margin(x)), *batch.columns[1:]], names=["kind", "x", "n", "right"])
+
+        def probabilities(batch: pa.RecordBatch) -> pa.RecordBatch:
+            p = np.round(self._of_margin(batch.column(1).to_numpy()), DECIMALS)
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), *batch.columns[2:]], names=["kind", "p", "n", "right"])
+
+        judged = map_batches(examples.where("held").select("x", "n", "right"), lambda: margins, "kind long, x double, n long, right long")
+        judged = written(judged.groupBy("kind", "x").agg(*sums), "pii-margins")
+        self.calibration = logistic_fit_table(judged)
+        by_p = map_batches(judged, lambda: probabilities, "kind long, p double, n long, right long").groupBy("kind", "p").agg(*sums)
+        above = Window.partitionBy("kind").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        precise = F.sum("right").over(above) / F.sum("n").over(above) >= PRECISION
+        lowest = by_p.withColumn("precise", precise).groupBy("kind").agg(*sums, F.min(F.when(F.col("precise"), F.col("p"))).alias("least"))
+        for r in lowest.collect():
+            if min(r["right"], r["n"] - r["right"]) >= LEAST_HELD_OUT and r["least"] is not None:
+                self.thresholds[KINDS[r["kind"]]] = r["least"]
+        return self
+
+    def _of_margin(self, margin: np.ndarray) -> np.ndarray:
+        return sigmoid(self.calibration[0] * margin + self.calibration[1])
+
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.calibration[0] * self.booster.margin(x) + self.calibration[1])
+        return self._of_margin(self.booster.margin(x))
+
+    def adds(self, kind: str, p: float) -> bool:
+        """Whether a candidate of this probability is taken."""
+        return np.round(p, DECIMALS) >= self.thresholds[kind]
+
+
+def examples(found: DataFrame) -> DataFrame:
+    """Every labelled candidate of a written ``scan``, as counts: (x, held, n, right), where a quarter is held out. Copies count once."""
+    each = found.select("doc_id", F.explode("proposed").alias("c")).where("c.positive is not null").select("doc_id", "c.*").distinct()
+    held = F.pmod(F.xxhash64("doc_id", "kind", "start", "end", "made"), F.lit(4)) == 0
+    return each.groupBy("x", held.alias("held")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("positive").cast("long")).alias("right"))
 
 
-def train(found: DataFrame, max_training: int = MAX_TRAINING) -> Selector:
-    """Fit on at most ``max_training`` labelled candidates of a written ``scan``, those with the smallest hashes; copies count once.
+def train(found: DataFrame, max_training: int | None = None) -> Selector:
+    """Fit on all labelled candidates of a written ``scan``; copies count once.
 
-    A bound on the hash, from the number of candidates, keeps about a fifth more than that before any are ordered.
+    Callers may name a bound instead. Then it is those with the smallest hashes, and a bound on the hash, from the number of candidates, keeps about
+    a fifth more than that before any are ordered.
     """
+    if max_training is None:
+        return Selector.of_table(written(examples(found), "pii-examples"))
     total = found.agg(F.sum(F.size(F.filter("proposed", lambda c: c["positive"].isNotNull())))).first()[0] or 0
     bound = min(1.0, 1.2 * max_training / max(total, 1))
     each = found.select("doc_id", F.explode("proposed").alias("c")).where("c.positive is not null").select("doc_id", "c.*")
@@ -299,7 +349,7 @@ def select_spans(found: DataFrame, selector: Selector) -> DataFrame:
             for i in np.argsort(-p, kind="stable"):
                 c = proposed[i]
                 where = c["start"], c["end"]
-                if p[i] >= selector.thresholds[c["kind"]] and not taken[c["kind"]].meets(*where) and not any(k.meets(*where) for k in known.values()):
+                if selector.adds(c["kind"], p[i]) and not taken[c["kind"]].meets(*where) and not any(k.meets(*where) for k in known.values()):
                     taken[c["kind"]].add(*where)
                     spans.append({k: c[k] for k in ("kind", "start", "end")})
             return sorted(spans, key=lambda s: (s["start"], KINDS.index(s["kind"])))
@@ -340,7 +390,7 @@ def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[{}]") -
     """
     spark = docs.sparkSession
     small_batches(spark)
-    # Ids only spread the sample; the text's own hash serves.
+    # Ids only tell copies and what is held out; the text's own hash serves.
     keyed = docs.select(F.xxhash64(column(text_col)).alias("doc_id"), column(text_col).alias("text"))
     selector = train(written(scan(keyed).where(F.size("proposed") > 0), "pii"))
     at, schema = docs.columns.index(text_col), docs.schema
@@ -357,7 +407,7 @@ def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[{}]") -
             spans = [(b["start"], b["end"], b["kind"]) for b in base]
             if proposed:
                 p = selector.probability(np.array([c["x"] for c in proposed], dtype=float))
-                spans += [(c["start"], c["end"], c["kind"]) for c, q in zip(proposed, p, strict=True) if q >= selector.thresholds[c["kind"]]]
+                spans += [(c["start"], c["end"], c["kind"]) for c, q in zip(proposed, p, strict=True) if selector.adds(c["kind"], q)]
             out, done = [], 0
             for start, end, kind in sorted(spans):
                 if start >= done:

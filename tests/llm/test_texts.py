@@ -685,3 +685,34 @@ def test_varied_urls_do_not_change_verdicts(spark):
 
 def test_cut():
     assert url_filter.cut_of({(100, "block"): 5, (600, "allow"): 5}) == pytest.approx(0.0, abs=0.02)
+
+
+def test_training_takes_every_labelled_candidate(spark, monkeypatch):
+    """More than the 20,000 of which a sample used to be drawn; rows that repeat count once."""
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.format_string("mail u%d@host%d.example.org or 10.0.%d.7, order no. %d", "id", F.col("id") % 7, F.col("id") % 250, F.col("id") + 100_000_000).alias("text"))
+    found = pii.scan(docs.union(docs.where("doc_id < 100"))).localCheckpoint()
+    seen = []
+    monkeypatch.setattr(pii.Selector, "of_table", classmethod(lambda cls, table: seen.append(table.agg(F.sum("n"), F.sum("right"), F.sum(F.when(F.col("held"), F.col("n")))).first())))
+    pii.train(found)
+    labelled = F.filter("proposed", lambda c: c["positive"].isNotNull())
+    want = found.where("doc_id >= 100 or doc_id is null").agg(F.sum(F.size(labelled))).first()[0] + found.dropDuplicates(["doc_id"]).where("doc_id < 100").agg(F.sum(F.size(labelled))).first()[0]
+    n, right, held = seen[0]
+    assert n == want > 20_000 and 0 < right < n and 0.24 < held / n < 0.26
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(600):
+        number = "".join(map(str, rng.integers(0, 10, 10)))
+        rows += pii._scan(f"call me on +1 ({number[:3]}) {number[3:6]}-{number[6:]} today" if i % 2 else f"order no. {number} shipped, ref {number}1")[1]
+    x, y = np.array([r["x"] for r in rows], dtype=np.float32).astype(float), np.array([r["positive"] for r in rows], dtype=float)
+    held = np.arange(len(rows)) % 4 == 0
+    y[::17] = 1 - y[::17]
+    table = spark.createDataFrame([(v.tolist(), bool(h), int(r)) for v, h, r in zip(x, held, y, strict=True)], "x array<float>, held boolean, right long")
+    table = table.groupBy("x", "held").agg(F.count(F.lit(1)).alias("n"), F.sum("right").alias("right")).localCheckpoint()
+    whole, counted = pii.Selector(x, y, held), pii.Selector.of_table(table)
+    for (f, t, v), (g, u, w) in zip(whole.booster.trees[:10], counted.booster.trees[:10], strict=True):
+        assert np.allclose(v, w, atol=1e-6)
+    assert len(counted.booster.trees) == len(whole.booster.trees) and np.allclose(whole.probability(x), counted.probability(x), atol=1e-3)
+    assert counted.thresholds == pytest.approx(whole.thresholds, abs=1e-3)
