@@ -7,8 +7,8 @@ and get a hash of the row followed by the row itself.
 A window group is one task's work and cannot be split by Spark, and a single busy route may hold a large share of all rows.
 So group sizes are checked first (one narrow, map-side combined count, which runs while the plan is built). If there are
 groups beyond ``max_group_rows``, the rows are written once to the shared folder, those of large groups apart; these are then
-dealt into pieces by range partitioning on group and order columns, so pieces follow the rows' own order, whatever the type or
-spread of the key. Each piece is its own window group, and the last rows of the pieces before it -- six values -- are carried
+dealt by range partitioning on group and order columns and sorted, and every ``max_group_rows`` of a range's rows are a piece, so pieces
+follow the rows' own order, whatever the type or spread of the key, and small pieces need no more tasks. Each piece is its own window group, and the last rows of the pieces before it -- six values -- are carried
 in by a join. The result is the same to the last digit.
 """
 
@@ -29,6 +29,8 @@ ROUTE = ("dep_iata", "arr_iata")
 FLIGHT = ("flight_iata_full", "flight_date")
 FRAME_ROWS = 7  # fixed value: this row and the six before it
 MAX_GROUP_ROWS = 5_000_000
+#: Rows of a range, at least: tasks, files and the sample that finds the ranges follow the input, not the number of pieces.
+RANGE_ROWS = 250_000
 #: Rows that a stored tail holds beyond those a frame reaches.
 TAIL_SPARE = 6
 
@@ -40,6 +42,7 @@ SILVER_COLUMNS = (
 
 _POSITION = "_position"
 _PIECE = "_piece"
+_ROW = "_row"
 _GROUP = "_group"
 _COPY = "_copy"
 _LARGE = "_large"
@@ -90,9 +93,13 @@ def _roll_cut_groups(
     group_key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in group])
     order = [*order, _COPY]
     keyed = numbered.withColumn(_GROUP, group_key)
-    # Twice as many pieces as needed: ranges are drawn from a sample.
-    dealt = keyed.repartitionByRange(-(-2 * total // max_group_rows), _GROUP, *_ascending(order))
-    rows = _stored(dealt.withColumn(_PIECE, F.spark_partition_id().cast("bigint")), "pieces")
+    # Twice as many ranges as needed: they are drawn from a sample.
+    ranges = -(-2 * total // max(max_group_rows, RANGE_ROWS))
+    dealt = keyed.repartitionByRange(ranges, _GROUP, *_ascending(order)).sortWithinPartitions(_GROUP, *_ascending(order))
+    # The lower 33 bits of this id number a range's rows, the upper ones the ranges. A piece is named by its first row.
+    numbered_rows = dealt.withColumn(_ROW, F.monotonically_increasing_id())
+    first = F.col(_ROW) - F.col(_ROW).bitwiseAND(F.lit((1 << 33) - 1)) % max_group_rows
+    rows = _stored(numbered_rows.withColumn(_PIECE, first), "pieces")
     piece = [_GROUP, _PIECE]
 
     # The last rows of every piece. Ranking with a limit is cut down on the map side, so only these rows are shuffled.
@@ -131,10 +138,8 @@ def _roll_cut_groups(
     extra = F.coalesce(F.aggregate(known, F.lit(0).cast("bigint"), lambda a, v: a + v), F.lit(0))
     total_value = F.coalesce(F.col("_sum"), F.lit(0)) + extra
     count = F.col("_known") + F.coalesce(F.array_size(known), F.lit(0))
-    # Positions grow from piece to piece as well.
-    position = F.shiftleft(F.col(_PIECE), 32) + F.col("_at")
-    return joined.withColumns({output: F.try_divide(total_value.cast("double"), count), _POSITION: position}).drop(
-        _GROUP, _PIECE, _COPY, "_sum", "_known", "_at", "_carried"
+    return joined.withColumns({output: F.try_divide(total_value.cast("double"), count), _POSITION: F.col(_ROW)}).drop(
+        _GROUP, _PIECE, _ROW, _COPY, "_sum", "_known", "_at", "_carried"
     )
 
 

@@ -204,3 +204,14 @@ def test_incremental_window_orders_by_text(spark, tmp_path):
     batch = df.where(F.col("flight_date") >= split)
     pairs = lambda frame: sorted((r.k, r.avg_delay_7d) for r in incremental_window(frame, batch, ["k"]).collect())
     assert pairs(str(tmp_path / "f")) == pairs(spark.read.parquet(str(tmp_path / "f"))) != []
+
+
+def test_small_pieces_need_no_more_tasks(spark):
+    """A piece used to be a task and a file, and so a result sent to the driver."""
+    df = spark.createDataFrame(make_flights(11, n=2000, hot_share=1.0), SCHEMA)
+    got = results(rolling_route_delay(df, ["event_id"], max_group_rows=5))
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "flightloom"
+    newest = max(root.glob("pieces-*"), key=lambda p: p.stat().st_mtime)
+    sizes = [r["count"] for r in spark.read.parquet(str(newest)).groupBy("_group", "_piece").count().collect()]
+    assert max(sizes) <= 5 and len(sizes) >= 400 and len(list(newest.glob("*.parquet"))) <= 8
+    assert got == results(rolling_route_delay(df, ["event_id"]))
