@@ -33,6 +33,8 @@ RANK_ROWS = 5_000
 CACHE = 300_000
 #: The same where ids are kept: their batches take the room.
 CACHE_WITH_IDS = 100_000
+#: Rows of a batch where ids are kept: a worker holds the ids of all of them at once.
+ROWS_WITH_IDS = 500
 _SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -102,7 +104,7 @@ def document_ids(path: str, pattern: str, cache_size: int = CACHE) -> Callable[[
 def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = 1024, closing_id: int = 0, keep_ids: bool = False,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's ids with the closing id, cut every ``capacity`` ids. One row per piece, with its ids if asked."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, ROWS_WITH_IDS) if keep_ids else small_batches(docs.sparkSession)
     closing = array("I", [closing_id]).tobytes()
 
     def make():

@@ -7,6 +7,7 @@ from array import array
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -108,3 +109,11 @@ def test_bpe_query_round_trip(spark, edge_docs, no_docs, reference):
     want = Counter((r.doc_id, (r.text or "").encode()) for r in edge_docs.collect())
     assert Counter((r.doc_id, bytes(r.decoded)) for r in decoded) == want
     assert bpe.encode(no_docs, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_batches_are_smaller_where_ids_are_kept(spark):
+    docs = spark.range(1200).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+    args = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    cut = packing.pieces(docs, *args, keep_ids=True)
+    sizes = cut.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) == 1200 and max(r.n for r in sizes) <= 500
